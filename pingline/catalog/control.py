@@ -15,23 +15,21 @@ from pingline.plans.definitions import DEADLINES, RULES, seconds_of
 from pingline.sources import tables
 
 
-def targets(spark, sf_dir):
+def targets(files):
     """A day's target is what the day holds, so hours compare with the daily curve."""
-    return tables.deliveries(spark, sf_dir).groupBy("stream", "par_day").agg(F.count(F.lit(1)).alias("daily_target"))
-
-
-def counters(spark, sf_dir):
-    return completeness.hourly_counters(tables.files(spark, sf_dir))
+    return files.groupBy("stream", "par_day").agg(F.sum("records").alias("daily_target"))
 
 
 def complete_hours(spark, sf_dir):
-    return completeness.hourly_completeness(counters(spark, sf_dir), targets(spark, sf_dir))
+    files = tables.files(spark, sf_dir)
+    return completeness.hourly_completeness(completeness.hourly_counters(files), targets(files))
 
 
 def audit(spark, sf_dir):
     """Counters of which some are one too high and others were lost."""
     hour = F.col("par_hour").cast("int")
-    sensors = counters(spark, sf_dir).select(
+    counters = completeness.hourly_counters(tables.files(spark, sf_dir))
+    sensors = counters.select(
         "stream", "par_day", "par_hour",
         F.when(hour % 8 == 7, 0).when(hour % 6 == 5, F.col("count") + 1).otherwise(F.col("count")).alias("sensor_count"),
     )
@@ -83,7 +81,8 @@ def hourly_completeness(spark, sf_dir):
 
 @query("SELECT * FROM v_latch")
 def completeness_latch(spark, sf_dir):
-    return completeness.completeness_latch(tables.files(spark, sf_dir), targets(spark, sf_dir))
+    files = tables.files(spark, sf_dir)
+    return completeness.completeness_latch(files, targets(files))
 
 
 @query("SELECT * FROM v_audit")
@@ -109,43 +108,70 @@ def chain_status(spark, sf_dir):
 # ---- rules --------------------------------------------------------------
 
 
+def sensor_rows(df, *fields):
+    """One pass over a table for all sensors it feeds: (job, sensor, field[, condition])."""
+    entries = []
+    for job, sensor, field, *condition in fields:
+        job = F.lit(job) if isinstance(job, str) else job
+        if condition:
+            job = F.when(condition[0], job)
+        entries.append(
+            F.struct(job.alias("job"), F.lit(sensor).alias("sensor"), F.lit(field).alias("field"),
+                     F.col(field).cast("string").alias("value"))
+        )
+    return (
+        df.select("period", F.explode(F.array(*entries)).alias("e"))
+        .select("e.job", "e.sensor", "period", "e.field", "e.value")
+        .filter(F.col("job").isNotNull())
+    )
+
+
 def control_sensors(spark, sf_dir):
     """Sensors of all jobs in long form; flags are the texts true and false."""
-    hours = complete_hours(spark, sf_dir).withColumn("period", F.concat("par_day", F.lit("T"), "par_hour"))
-    audits = audit(spark, sf_dir).withColumn("period", F.concat("par_day", F.lit("T"), "par_hour"))
+    hour_key = ["stream", "par_day", "par_hour"]
+    hours = complete_hours(spark, sf_dir).drop("updated_at")
+    hours = hours.join(audit(spark, sf_dir).select(*hour_key, "match"), hour_key, "full")
+    hours = hours.withColumn("period", F.concat("par_day", F.lit("T"), "par_hour"))
     health = factory(spark, sf_dir).withColumn("period", F.col("par_day"))
     days = completeness.daily_completeness(completions(spark, sf_dir)).withColumn("period", F.col("par_day"))
     lags = monitoring.batch_lag(tables.transactions(spark, sf_dir), ["batch_id"]).withColumn("period", F.col("batch_id").cast("string"))
     batches = monitoring.weather_batches(tables.weather(spark, sf_dir))
-    totals = monitoring.weather_ready(batches)
-    latched = monitoring.weather_latch(batches).withColumn("complete", F.lit(True))
+    latched = monitoring.weather_latch(batches).select("period", F.lit(True).alias("complete"))
+    weather = monitoring.weather_ready(batches).join(latched, "period", "left")
     gate = gated_models(spark, sf_dir).withColumn("period", F.col("run_no").cast("string"))
     written = newest_ts(spark, sf_dir) - F.make_dt_interval(hours=(F.col("run_no") % 4).cast("int"))
-    gate = gate.withColumnRenamed("accuracy", "accuracy_text").withColumnRenamed("accuracy_value", "accuracy")
-    gate = gate.withColumn("updated_at", written)
+    gate = gate.drop("accuracy").withColumnRenamed("accuracy_value", "accuracy").withColumn("updated_at", written)
     bronze, silver = F.concat(F.lit("bronze-"), "stream"), F.concat(F.lit("silver-"), "stream", F.lit("-hour"))
 
-    def rows(df, job, sensor, *fields):
-        job = F.lit(job) if isinstance(job, str) else job
-        pairs = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields])
-        return df.select(job.alias("job"), F.lit(sensor).alias("sensor"), "period", F.explode(pairs).alias("p")).select(
-            "job", "sensor", "period", "p.*"
-        )
-
     parts = [
-        rows(hours, bronze, "hourly-status", "complete", "pct_of_expected"),
-        rows(audits, bronze, "audit-result", "match"),
-        rows(audits, silver, "audit-result", "match"),
-        rows(hours.filter("complete"), silver, "hourly-status", "count"),
-        rows(days, F.col("pipelineId"), "daily-status", "all_hours_complete"),
-        rows(health, "iot-factory", "factory_health", "all_healthy", "healthy_count", "updated_at"),
-        rows(lags.withColumnRenamed("cob_complete", "complete"), "banking-streaming", "cob_status", "complete"),
-        rows(lags, "banking-streaming", "consumer_lag", "lag_seconds"),
-        rows(latched, "dryrun-weather", "weather-ready", "complete"),
-        rows(totals, "dryrun-weather", "weather-ready", "total_readings"),
-        rows(totals, "dryrun-weather", "weather-audit", "total_readings"),
-        rows(gate, "ml-evaluation", "eval_status", "passed"),
-        rows(gate, "ml-deployment", "eval_status", "passed", "accuracy", "updated_at"),
+        sensor_rows(
+            hours,
+            (bronze, "hourly-status", "complete", F.col("complete").isNotNull()),
+            (bronze, "hourly-status", "pct_of_expected", F.col("complete").isNotNull()),
+            (silver, "hourly-status", "count", F.col("complete")),
+            (bronze, "audit-result", "match", F.col("match").isNotNull()),
+            (silver, "audit-result", "match", F.col("match").isNotNull()),
+        ),
+        sensor_rows(
+            health, *[("iot-factory", "factory_health", f) for f in ("all_healthy", "healthy_count", "updated_at")]
+        ),
+        sensor_rows(days, (F.col("pipelineId"), "daily-status", "all_hours_complete")),
+        sensor_rows(
+            lags.withColumnRenamed("cob_complete", "complete"),
+            ("banking-streaming", "cob_status", "complete"),
+            ("banking-streaming", "consumer_lag", "lag_seconds"),
+        ),
+        sensor_rows(
+            weather,
+            ("dryrun-weather", "weather-ready", "complete", F.col("complete").isNotNull()),
+            ("dryrun-weather", "weather-ready", "total_readings"),
+            ("dryrun-weather", "weather-audit", "total_readings"),
+        ),
+        sensor_rows(
+            gate,
+            ("ml-evaluation", "eval_status", "passed"),
+            *[("ml-deployment", "eval_status", f) for f in ("passed", "accuracy", "updated_at")],
+        ),
     ]
     return reduce(DataFrame.unionByName, parts)
 

@@ -8,9 +8,8 @@ from pingline.catalog.control import gated_models
 from pingline.catalog.registry import query
 from pingline.functions.columns import credit_label, floor_window, haversine_km, par_day, par_hour, tower_id
 from pingline.operators import calendar, features, lookup, monitoring, quality
-from pingline.schemas import FEATURE_COLUMNS
 from pingline.session import scratch_path
-from pingline.sources import feeds, tables
+from pingline.sources import bronze, feeds, tables
 
 # ---- machines -----------------------------------------------------------
 
@@ -160,7 +159,10 @@ def ml_promote(spark, sf_dir):
 
 @query()
 def ml_train(spark, sf_dir):
-    return features.train(labelled(spark, sf_dir).select("row_id", *FEATURE_COLUMNS), "row_id")
+    prepared = features.normalize(labelled(spark, sf_dir), ["row_id"])
+    path = scratch_path(spark, "prepared")
+    bronze.write_partitioned(features.positional_split(prepared, "row_id"), path, ["split"], "overwrite")
+    return features.train(spark.read.parquet(path))
 
 
 # ---- places -------------------------------------------------------------

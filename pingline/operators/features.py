@@ -89,31 +89,26 @@ def promote(gated: DataFrame, day: Column) -> DataFrame:
     )
 
 
-def train(rows: DataFrame, key: str) -> DataFrame:
-    """Fit a logistic regression on the training part and measure it on the test part."""
+def train(prepared: DataFrame) -> DataFrame:
+    """Fit a logistic regression on the train rows of a stored, split table and measure
+    it on the test rows. The fit reads the table once and then works on cached blocks."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
-
-    names = list(FEATURE_RANGES)
-    split = positional_split(normalize(rows, [key]), key)
-    vectors = VectorAssembler(inputCols=names, outputCol="features").transform(split)
-    model = LogisticRegression(maxIter=50, labelCol="label").fit(vectors.filter(F.col("split") == "train"))
     from pyspark.ml.functions import vector_to_array
 
+    vectors = VectorAssembler(inputCols=list(FEATURE_RANGES), outputCol="features").transform(prepared)
+    model = LogisticRegression(maxIter=50, labelCol="label").fit(vectors.filter(F.col("split") == "train"))
     p = F.element_at(vector_to_array("probability"), 2)
     p = F.least(F.greatest(p, F.lit(1e-15)), F.lit(1 - 1e-15))
     y = F.col("label")
-    scored = model.transform(vectors.filter(F.col("split") == "test"))
-    measured = scored.agg(
+    measured = model.transform(vectors.filter(F.col("split") == "test")).agg(
         F.count(F.lit(1)).alias("test_rows"),
         F.avg((F.col("prediction") == y).cast("double")).alias("accuracy"),
         F.avg(-(y * F.log(p) + (1 - y) * F.log(1 - p))).alias("loss"),
     )
-    trained = fingerprint(split.filter(F.col("split") == "train"), FEATURE_COLUMNS).select(
-        F.col("row_count").alias("training_rows"), F.hex("fingerprint").alias("weights_hash")
-    )
+    trained = fingerprint(prepared.filter(F.col("split") == "train"), FEATURE_COLUMNS)
     return measured.select(
         F.lit("v1.0").alias("model_version"), "accuracy", "loss", "test_rows",
-        trained.select("training_rows").scalar().alias("training_rows"),
-        trained.select("weights_hash").scalar().alias("weights_hash"),
+        trained.select("row_count").scalar().alias("training_rows"),
+        trained.select(F.hex("fingerprint")).scalar().alias("weights_hash"),
     )
