@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pingline.catalog.registry import query
@@ -15,14 +15,14 @@ from pingline.plans.definitions import DEADLINES, RULES, seconds_of
 from pingline.sources import tables
 
 
-def targets(files):
+def with_target(table, records):
     """A day's target is what the day holds, so hours compare with the daily curve."""
-    return files.groupBy("stream", "par_day").agg(F.sum("records").alias("daily_target"))
+    return table.withColumn("daily_target", F.sum(records).over(Window.partitionBy("stream", "par_day")))
 
 
 def complete_hours(spark, sf_dir):
-    files = tables.files(spark, sf_dir)
-    return completeness.hourly_completeness(completeness.hourly_counters(files), targets(files))
+    counters = completeness.hourly_counters(tables.files(spark, sf_dir))
+    return completeness.hourly_completeness(with_target(counters, "count"))
 
 
 def audit(spark, sf_dir):
@@ -81,8 +81,7 @@ def hourly_completeness(spark, sf_dir):
 
 @query("SELECT * FROM v_latch")
 def completeness_latch(spark, sf_dir):
-    files = tables.files(spark, sf_dir)
-    return completeness.completeness_latch(files, targets(files))
+    return completeness.completeness_latch(with_target(tables.files(spark, sf_dir), "records"))
 
 
 @query("SELECT * FROM v_audit")
@@ -136,8 +135,7 @@ def control_sensors(spark, sf_dir):
     days = completeness.daily_completeness(completions(spark, sf_dir)).withColumn("period", F.col("par_day"))
     lags = monitoring.batch_lag(tables.transactions(spark, sf_dir), ["batch_id"]).withColumn("period", F.col("batch_id").cast("string"))
     batches = monitoring.weather_batches(tables.weather(spark, sf_dir))
-    latched = monitoring.weather_latch(batches).select("period", F.lit(True).alias("complete"))
-    weather = monitoring.weather_ready(batches).join(latched, "period", "left")
+    weather = monitoring.weather_ready(batches)
     gate = gated_models(spark, sf_dir).withColumn("period", F.col("run_no").cast("string"))
     written = newest_ts(spark, sf_dir) - F.make_dt_interval(hours=(F.col("run_no") % 4).cast("int"))
     gate = gate.drop("accuracy").withColumnRenamed("accuracy_value", "accuracy").withColumn("updated_at", written)
@@ -163,7 +161,7 @@ def control_sensors(spark, sf_dir):
         ),
         sensor_rows(
             weather,
-            ("dryrun-weather", "weather-ready", "complete", F.col("complete").isNotNull()),
+            ("dryrun-weather", "weather-ready", "complete", F.col("complete")),
             ("dryrun-weather", "weather-ready", "total_readings"),
             ("dryrun-weather", "weather-audit", "total_readings"),
         ),

@@ -114,8 +114,7 @@ def dq_schema_drift(spark, sf_dir):
     SELECT a.stream, a.par_day, a.par_hour, count(*) AS replayed_rows, min(a.arrived_at) AS first_replay
     FROM v_arrive a JOIN v_latch l USING (stream, par_day, par_hour) WHERE a.arrived_at > l.completed_at GROUP BY ALL""")
 def dq_stale_replay(spark, sf_dir):
-    files = tables.files(spark, sf_dir)
-    done = completeness_latch(files, control.targets(files))
+    done = completeness_latch(control.with_target(tables.files(spark, sf_dir), "records"))
     return quality.stale_replay(arrivals(spark, sf_dir), done, ["stream", "par_day", "par_hour"])
 
 

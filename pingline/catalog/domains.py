@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pingline.catalog.control import gated_models
 from pingline.catalog.registry import query
-from pingline.functions.columns import credit_label, floor_window, haversine_km, par_day, par_hour, tower_id
+from pingline.functions.columns import credit_label, floor_window, haversine_km, par_day, par_hour, time_of_micros, tower_id
 from pingline.operators import calendar, features, lookup, monitoring, quality
 from pingline.session import scratch_path
 from pingline.sources import bronze, feeds, tables
@@ -79,14 +79,8 @@ def bank_daily_summary(spark, sf_dir):
     SELECT r.*, total_readings >= 12 AND valid_readings / total_readings >= 0.75 AS ready_now, l.period IS NOT NULL AS complete
     FROM v_wx_ready r LEFT JOIN v_wx_latch l USING (period)""")
 def weather_ready(spark, sf_dir):
-    batches = monitoring.weather_batches(tables.weather(spark, sf_dir))
-    latched = monitoring.weather_latch(batches).select("period", F.lit(True).alias("complete"))
-    return (
-        monitoring.weather_ready(batches)
-        .withColumn("ready_now", monitoring.ready("total_readings", "valid_readings"))
-        .join(latched, "period", "left")
-        .withColumn("complete", F.coalesce("complete", F.lit(False)))
-    )
+    state = monitoring.weather_ready(monitoring.weather_batches(tables.weather(spark, sf_dir)))
+    return state.withColumn("ready_now", monitoring.ready("total_readings", "valid_readings"))
 
 
 @query("SELECT * FROM v_wx_latch")
@@ -263,9 +257,10 @@ def window_calendar(spark, sf_dir):
     SELECT session_id, count(*) AS pings, min(time) AS first_ping, max(time) AS last_ping FROM v_ping GROUP BY 1""")
 def ping_explode(spark, sf_dir):
     pings = calendar.explode_pings(tables.sessions(spark, sf_dir))
-    return pings.groupBy("session_id").agg(
-        F.count(F.lit(1)).alias("pings"), F.min("time").alias("first_ping"), F.max("time").alias("last_ping")
+    per_session = pings.groupBy("session_id").agg(
+        F.count(F.lit(1)).alias("pings"), F.min("time_us").alias("first"), F.max("time_us").alias("last")
     )
+    return per_session.select("session_id", "pings", time_of_micros("first").alias("first_ping"), time_of_micros("last").alias("last_ping"))
 
 
 @query("""
@@ -274,5 +269,5 @@ def ping_explode(spark, sf_dir):
     FROM v_ping GROUP BY 1""")
 def ping_window_clip(spark, sf_dir):
     """Pings by the window they fall in, with those of sessions begun in an earlier one."""
-    pings = calendar.assign_windows(calendar.explode_pings(tables.sessions(spark, sf_dir)))
-    return pings.groupBy("window_start").agg(F.count(F.lit(1)).alias("pings"), F.count_if("spilled").alias("spilled_pings"))
+    pings = calendar.explode_pings(tables.sessions(spark, sf_dir))
+    return calendar.window_totals(calendar.assign_windows(pings))

@@ -221,8 +221,7 @@ def sensor_flatten(spark, sf_dir):
            || ', batches_received=' || batches_received || CASE WHEN l.period IS NULL THEN '' ELSE ', complete=true' END
     FROM v_wx_ready LEFT JOIN (SELECT period FROM v_wx_latch) l USING (period)""")
 def event_sensor_timeline(spark, sf_dir):
-    batches = monitoring.weather_batches(tables.weather(spark, sf_dir))
-    latched = monitoring.weather_latch(batches).select("period", F.lit(True).alias("complete"))
-    snapshots = monitoring.weather_ready(batches).join(latched, "period", "left").withColumn("sensor", F.lit("weather-ready"))
+    state = monitoring.weather_ready(monitoring.weather_batches(tables.weather(spark, sf_dir)))
+    snapshots = state.withColumn("sensor", F.lit("weather-ready")).withColumn("complete", F.when(F.col("complete"), True))
     snapshots = snapshots.withColumn("period", F.to_timestamp_ntz("period", F.lit("yyyyMMdd'T'HH")))
     return eventlog.merged_timeline(log(spark, sf_dir), snapshots)

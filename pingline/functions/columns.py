@@ -49,12 +49,18 @@ def pseudonym(phone: Column | str, salt: str) -> Column:
     return F.sha2(F.concat(F.lit(salt), col(phone)), 256)
 
 
+_HOURS = [f"{h:02d}" for h in range(24)]
+
+
 def par_day(ts: Column | str) -> Column:
-    return F.date_format(col(ts), "yyyyMMdd")
+    """``yyyyMMdd``. Arithmetic costs half of what a date formatter does per row."""
+    t = col(ts)
+    return (F.year(t) * 10000 + F.month(t) * 100 + F.dayofmonth(t)).cast("string")
 
 
 def par_hour(ts: Column | str) -> Column:
-    return F.date_format(col(ts), "HH")
+    """``HH``, zero padded."""
+    return F.element_at(F.array(*[F.lit(h) for h in _HOURS]), F.hour(col(ts)) + 1)
 
 
 def iso_seconds(ts: Column | str) -> Column:
@@ -82,7 +88,7 @@ def parse_period(period: Column | str) -> Column:
 
 
 def hour_of_millis(ms: Column | str) -> Column:
-    return F.floor(F.pmod(F.floor(col(ms) / 1000), F.lit(86400)) / 3600).cast("int")
+    return F.floor(F.pmod(col(ms), F.lit(86_400_000)) / 3_600_000).cast("int")
 
 
 def time_of_millis(ms: Column | str) -> Column:
@@ -92,8 +98,15 @@ def time_of_millis(ms: Column | str) -> Column:
 def floor_window(ts: Column | str, seconds: int = 900) -> Column:
     """Start of the tumbling window a timestamp falls in. Unlike ``window`` it may
     stand several times in one select."""
-    width = seconds * 1_000_000
-    return ntz(F.timestamp_micros(F.floor(epoch_micros(ts) / width) * width))
+    return time_of_micros(floor_micros(epoch_micros(ts), seconds))
+
+
+def floor_micros(us: Column | str, seconds: int) -> Column:
+    return col(us) - F.pmod(col(us), F.lit(seconds * 1_000_000))
+
+
+def time_of_micros(us: Column | str) -> Column:
+    return ntz(F.timestamp_micros(col(us)))
 
 
 def machine_health(temperature, vibration, pressure) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pingline.functions.columns import PING_SECONDS, floor_window
+from pingline.functions.columns import PING_SECONDS, epoch_micros, floor_micros, floor_window, time_of_micros
 
 STREAMS = ["cdr", "seq"]
 
@@ -37,22 +37,33 @@ def ping_count(duration: Column | str) -> Column:
 
 
 def explode_pings(sessions: DataFrame) -> DataFrame:
-    """A ping every ten seconds of each session, at least one."""
-    numbered = sessions.withColumn(
+    """A ping every ten seconds of each session, at least one.
+
+    Times are epoch micros (``start_us``, ``time_us``): the zone-free timestamps are
+    converted once per session and once per result, not once per ping.
+    """
+    numbered = sessions.withColumn("start_us", epoch_micros("start_ts")).withColumn(
         "ping_no", F.explode(F.sequence(F.lit(0), ping_count("duration_s") - 1))
     )
-    return numbered.withColumn(
-        "time", F.col("start_ts") + F.make_dt_interval(secs=(F.col("ping_no") * PING_SECONDS).cast("decimal(18,6)"))
-    )
+    step = int(PING_SECONDS * 1_000_000)
+    return numbered.withColumn("time_us", F.col("start_us") + F.col("ping_no").cast("bigint") * step)
 
 
 def clip(pings: DataFrame, low: Column, high: Column) -> DataFrame:
     """Half open: a ping at the end belongs to what follows."""
-    return pings.filter((F.col("time") >= low) & (F.col("time") < high))
+    return pings.filter((F.col("time_us") >= epoch_micros(low)) & (F.col("time_us") < epoch_micros(high)))
 
 
 def assign_windows(pings: DataFrame, seconds: int = 900) -> DataFrame:
     """Each ping in exactly one window, marked when its session began in an earlier one."""
-    return pings.withColumn("window_start", floor_window("time", seconds)).withColumn(
-        "spilled", floor_window("start_ts", seconds) < F.col("window_start")
+    return pings.withColumn("window_us", floor_micros("time_us", seconds)).withColumn(
+        "spilled", F.col("start_us") < F.col("window_us")
+    )
+
+
+def window_totals(assigned: DataFrame) -> DataFrame:
+    """Own and spilled-over pings of every window."""
+    counts = assigned.groupBy("window_us").agg(
+        F.count(F.lit(1)).alias("pings"), F.count_if("spilled").alias("spilled_pings")
     )
+    return counts.select(time_of_micros("window_us").alias("window_start"), "pings", "spilled_pings")

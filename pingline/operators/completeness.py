@@ -65,24 +65,29 @@ def _share(count: str, expected: str) -> Column:
     return F.when(F.col(expected) > 0, F.col(count) / F.col(expected)).otherwise(0.0)
 
 
-def hourly_completeness(counters: DataFrame, targets: DataFrame) -> DataFrame:
-    """Counters against the expected volume; ``targets`` has stream, par_day, daily_target."""
+def with_stream_targets(table: DataFrame, targets: dict[str, int] = DAILY_TARGETS) -> DataFrame:
+    """Add ``daily_target`` from the fixed target of each stream."""
+    by_stream = F.create_map(*[F.lit(x) for pair in targets.items() for x in pair])
+    return table.withColumn("daily_target", F.try_element_at(by_stream, F.col("stream")))
+
+
+def hourly_completeness(counters: DataFrame) -> DataFrame:
+    """Counters with a ``daily_target`` against the volume expected of their hour."""
     return (
-        counters.join(targets, ["stream", "par_day"])
-        .withColumn("expected_count", expected_in_hour("daily_target", "par_hour"))
+        counters.withColumn("expected_count", expected_in_hour("daily_target", "par_hour"))
         .withColumn("pct_of_expected", _share("count", "expected_count"))
         .withColumn("complete", (F.col("files_processed") >= MIN_FILES) & (F.col("pct_of_expected") >= MIN_SHARE))
         .drop("daily_target")
     )
 
 
-def completeness_latch(files: DataFrame, targets: DataFrame) -> DataFrame:
-    """The file on whose arrival an hour first became complete. Works on one row per file."""
+def completeness_latch(files: DataFrame) -> DataFrame:
+    """The file on whose arrival an hour first became complete. Works on one row per
+    file, with a ``daily_target``."""
     hour = ["stream", "par_day", "par_hour"]
     arrivals = Window.partitionBy(*hour).orderBy("arrived_at", "file_no").rowsBetween(Window.unboundedPreceding, 0)
     running = (
         files.filter(F.col("records") > 0)
-        .join(targets, ["stream", "par_day"])
         .withColumn("expected_count", expected_in_hour("daily_target", "par_hour"))
         .withColumn("files_then", F.count(F.lit(1)).over(arrivals))
         .withColumn("records_then", F.sum("records").over(arrivals))

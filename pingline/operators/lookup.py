@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pingline.functions.columns import haversine_km
-from pingline.operators.ordered import carry_last, id_chunk, previous, running_total, time_chunk
+from pingline.operators.ordered import carry_last, id_chunk, running_total, time_chunk
 
 # fixed values
 ALWAYS_NEIGHBOURS = 3
@@ -27,17 +27,19 @@ def as_of(mixed: DataFrame, by: list[str], order: list[str], value: str, out: st
 def cumulative_shares(items: DataFrame, rank: str = "rank", exponent: float = SITE_EXPONENT) -> DataFrame:
     """Half-open share interval ``(lo, hi]`` of each ranked item, weight ``1/rank^exponent``.
 
-    The weights are summed as decimals: the bounds of neighbours then meet exactly,
-    whatever order the partial sums arrive in.
+    The weights are summed as decimals: the sums are exact, so one item's ``lo`` is
+    the very number that is its neighbour's ``hi``.
     """
     weighted = items.withColumn("__w", (1 / F.pow(F.col(rank), exponent)).cast("decimal(28,18)"))
-    chunk = id_chunk(rank)
-    summed = running_total(weighted, [], [rank], {"__upto": "__w"}, chunk)
+    summed = running_total(weighted, [], [rank], {"__upto": "__w"}, id_chunk(rank))
     total = weighted.select(F.sum("__w").cast("double")).scalar()
     last = weighted.select(F.max(rank)).scalar()
-    hi = F.when(F.col(rank) == last, 1.0).otherwise(F.col("__upto").cast("double") / total)
-    shares = summed.withColumn("hi", hi).drop("__w", "__upto")
-    return previous(shares, [], [rank], {"lo": "hi"}, chunk).withColumn("lo", F.coalesce("lo", F.lit(-1.0)))
+    upto, before = F.col("__upto"), F.col("__upto") - F.col("__w")
+    return (
+        summed.withColumn("hi", F.when(F.col(rank) == last, 1.0).otherwise(upto.cast("double") / total))
+        .withColumn("lo", F.when(before == 0, -1.0).otherwise(before.cast("double") / total))
+        .drop("__w", "__upto")
+    )
 
 
 def weighted_pick(probes: DataFrame, shares: DataFrame, u: str = "u") -> DataFrame:

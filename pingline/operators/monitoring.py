@@ -122,16 +122,6 @@ def ready(total: Column | str, valid: Column | str) -> Column:
     return (total >= MIN_READINGS) & (valid / total >= MIN_VALID_SHARE)
 
 
-def weather_ready(batches: DataFrame) -> DataFrame:
-    """Totals per period. Readiness is latched: once met it stays, see ``weather_latch``."""
-    return batches.groupBy("period").agg(
-        F.sum("total").alias("total_readings"),
-        F.sum("valid").alias("valid_readings"),
-        F.count(F.lit(1)).alias("batches_received"),
-        F.max("arrived_at").alias("updated_at"),
-    )
-
-
 def weather_running(batches: DataFrame) -> DataFrame:
     """Totals as the batches arrive; a period has six batches, so its window is small."""
     arrivals = Window.partitionBy("period").orderBy("batch_no").rowsBetween(Window.unboundedPreceding, 0)
@@ -140,6 +130,18 @@ def weather_running(batches: DataFrame) -> DataFrame:
     )
 
 
+def weather_ready(batches: DataFrame) -> DataFrame:
+    """Totals per period, and whether it was ready at any of its batches: readiness is
+    latched, a later poor batch does not unset it."""
+    return weather_running(batches).groupBy("period").agg(
+        F.sum("total").alias("total_readings"),
+        F.sum("valid").alias("valid_readings"),
+        F.count(F.lit(1)).alias("batches_received"),
+        F.max("arrived_at").alias("updated_at"),
+        F.bool_or(ready("total_then", "valid_then")).alias("complete"),
+    )
+
+
 def weather_latch(batches: DataFrame) -> DataFrame:
     """First batch of each period at which it was ready."""
     met = weather_running(batches).filter(ready("total_then", "valid_then"))

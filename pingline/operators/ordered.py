@@ -18,7 +18,8 @@ _CHUNK = "__chunk"
 
 
 def time_chunk(ts: str, seconds: int = 3600) -> Column:
-    return F.floor(epoch_micros(ts) / F.lit(seconds * 1_000_000)).cast("bigint")
+    width, us = F.lit(seconds * 1_000_000), epoch_micros(ts)
+    return ((us - F.pmod(us, width)) / width).cast("bigint")
 
 
 def id_chunk(key: str, size: int = 65536) -> Column:

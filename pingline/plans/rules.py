@@ -6,12 +6,10 @@ The rule and deadline tables are fixed lists of a few dozen rows, hence the broa
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pingline.functions.columns import epoch_micros
+from pingline.functions.columns import epoch_micros, seconds_of
 from pingline.operators.monitoring import ready, weather_running
 from pingline.plans.definitions import DEADLINES, ML_CHAIN, deadlines_table, rules_table
 
@@ -71,8 +69,6 @@ def sla_outcome(runs: DataFrame, day_shift: int = 0, deadlines: DataFrame | None
 
 def _deadline(job: str) -> tuple[int, int, int]:
     _, text, expected, longest = next(d for d in DEADLINES if d[0] == job)
-    from pingline.functions.columns import seconds_of
-
     return int(text.lstrip(":")), seconds_of(expected), seconds_of(longest)
 
 
@@ -81,33 +77,32 @@ def dry_run_events(batches: DataFrame, job: str = "dryrun-weather") -> DataFrame
     the trigger, the projected deadline outcome, batches after the trigger, and
     a final count other than the one the trigger saw."""
     minute, expected_s, _ = _deadline(job)
-    running = weather_running(batches)
-    fired = (
-        running.filter(ready("total_then", "valid_then"))
-        .groupBy("period")
-        .agg(
-            F.min("batch_no").alias("fired_batch"),
-            F.min("arrived_at").alias("fired_at"),
-            F.min("total_then").alias("baseline"),
-        )
+    whole = Window.partitionBy("period")  # a period has six batches
+    met = ready("total_then", "valid_then")
+    seen = (
+        weather_running(batches)
+        .withColumn("fired_batch", F.min(F.when(met, F.col("batch_no"))).over(whole))
+        .withColumn("final", F.max("total_then").over(whole))
+        .withColumn("seen_at", F.max("arrived_at").over(whole))
+        .filter(F.col("batch_no") >= F.col("fired_batch"))
     )
+    fired = F.col("batch_no") == F.col("fired_batch")
     start = F.to_timestamp_ntz("period", F.lit("yyyyMMdd'T'HH"))
-    projected = F.col("fired_at") + F.make_dt_interval(secs=F.lit(expected_s))
+    projected = F.col("arrived_at") + F.make_dt_interval(secs=F.lit(expected_s))
     outcome = F.when(projected <= start + F.make_dt_interval(mins=F.lit(minute)), "MET").otherwise("BREACH")
-    after = batches.join(fired, "period").filter(F.col("batch_no") > F.col("fired_batch"))
-    final = batches.groupBy("period").agg(F.sum("total").alias("final"), F.max("arrived_at").alias("seen_at"))
-    drifted = final.join(fired, "period").filter(F.col("final") != F.col("baseline"))
-
-    def as_event(df: DataFrame, kind: str, at: Column, detail: Column) -> DataFrame:
-        return df.select("period", F.lit(kind).alias("event_type"), at.alias("at"), detail.cast("string").alias("detail"))
-
-    parts = [
-        as_event(fired, "DRY_RUN_WOULD_TRIGGER", F.col("fired_at"), F.col("baseline")),
-        as_event(fired, "DRY_RUN_SLA_PROJECTION", projected, outcome),
-        as_event(after, "DRY_RUN_LATE_DATA", F.col("arrived_at"), F.col("total")),
-        as_event(drifted, "DRY_RUN_DRIFT", F.col("seen_at"), F.col("final") - F.col("baseline")),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    drift = F.col("final") - F.col("total_then")
+
+    def event(kind: str, when: Column, at: Column, detail: Column) -> Column:
+        body = F.struct(F.lit(kind).alias("event_type"), at.alias("at"), detail.cast("string").alias("detail"))
+        return F.when(when, body)
+
+    events = F.array(
+        event("DRY_RUN_WOULD_TRIGGER", fired, F.col("arrived_at"), F.col("total_then")),
+        event("DRY_RUN_SLA_PROJECTION", fired, projected, outcome),
+        event("DRY_RUN_LATE_DATA", ~fired, F.col("arrived_at"), F.col("total")),
+        event("DRY_RUN_DRIFT", fired & (drift != 0), F.col("seen_at"), drift),
+    )
+    return seen.select("period", F.explode(F.array_compact(events)).alias("e")).select("period", "e.*")
 
 
 def cascade(ready_times: DataFrame, chain: list[str] = ML_CHAIN) -> DataFrame:
