@@ -16,13 +16,14 @@ from pingline.functions.columns import epoch_micros, par_day, par_hour
 from pingline.operators import monitoring
 from pingline.operators.quality import late
 from pingline.sources import bronze
+from pingline.sources.tables import table
 
 FILES_PER_TRIGGER = 5
 
 
 def event_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int = 64) -> DataFrame:
     """The events table as a stream. ``ts`` becomes zoned, as watermarks require."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    schema = table(spark, sf_dir, "events").schema
     # a one-character class makes the path a glob, which takes a file as well as a folder
     raw = (
         spark.readStream.schema(schema)
