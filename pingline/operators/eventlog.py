@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -32,7 +33,7 @@ def normalize(log: DataFrame) -> DataFrame:
 
 
 def between(
-    log: DataFrame, start_ms: Column, end_ms: Column, source: str | None = None, event_type: str | None = None
+    log: DataFrame, start_ms: Column | int, end_ms: Column | int, source: str | None = None, event_type: str | None = None
 ) -> DataFrame:
     """Events in a time range. Asked for one source the end is exclusive, because
     its key sorts after the bare timestamp; otherwise both ends are inclusive."""
@@ -44,16 +45,14 @@ def between(
     return out if event_type is None else out.filter(F.col("eventType") == event_type)
 
 
-def range_of(date: str, hour: str | None = None) -> tuple[Column, Column]:
+def range_of(date: str, hour: str | None = None) -> tuple[int, int]:
     """Bounds of a ``yyyy-MM-dd`` day, or of one of its hours, in epoch millis."""
-    import datetime as dt
-
     start = dt.datetime.strptime(date, "%Y-%m-%d").replace(tzinfo=dt.timezone.utc)
     width = dt.timedelta(days=1)
     if hour is not None:
         start, width = start + dt.timedelta(hours=int(hour)), dt.timedelta(hours=1)
     low = int(start.timestamp() * 1000)
-    return F.lit(low), F.lit(low + int(width.total_seconds() * 1000))
+    return low, low + int(width.total_seconds() * 1000)
 
 
 def overview(log: DataFrame, since_ms: Column) -> DataFrame:
