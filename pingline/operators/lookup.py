@@ -69,23 +69,47 @@ def weighted_pick(probes: DataFrame, shares: DataFrame, u: str = "u") -> DataFra
 
 # ---- nearest neighbours -------------------------------------------------
 
-_LEVELS = 24
-_FAN = 16
+_PLACE = ["lat", "lon"]
+_AXES = ["x", "y", "z"]
+_CUBE = ["level", "cx", "cy", "cz"]
+_COARSE = range(0, 10)  # cubes from half the globe down to 50 km
+_FINE = range(10, 29)  # 25 km down to 10 cm
+_FAN = 64
 
 
 def _cell(coordinate: str, level: Column) -> Column:
-    """Cells of size 4/2^level over the cube the unit sphere lies in."""
+    """Cubes of side 4/2^level over the box the unit sphere lies in."""
     return F.floor((F.col(coordinate) + 2) * F.pow(F.lit(2.0), level) / 4).cast("bigint")
 
 
-def _smallest_ids(points: DataFrame, place: list[str], k: int) -> DataFrame:
-    """The k smallest ids of every place; a crowded place is cut into ``_FAN`` parts first."""
+def _in_cubes(places: DataFrame, levels: range) -> DataFrame:
+    """Every place once per level with the cube it lies in."""
+    level = F.explode(F.sequence(F.lit(levels.start), F.lit(levels.stop - 1)))
+    return places.withColumn("level", level).select(
+        *places.columns, "level", *[_cell(a, F.col("level")).alias(f"c{a}") for a in _AXES]
+    )
+
+
+def _smallest_ids(points: DataFrame, k: int) -> DataFrame:
+    """The k smallest ids of every place; a crowded place is cut into parts first."""
     part = F.pmod(F.xxhash64("id"), F.lit(_FAN))
-    first = Window.partitionBy(*place, "__part").orderBy("id")
+    first = Window.partitionBy(*_PLACE, "__part").orderBy("id")
     few = points.withColumn("__part", part).withColumn("__n", F.row_number().over(first)).filter(F.col("__n") <= k)
-    final = Window.partitionBy(*place).orderBy("id")
+    final = Window.partitionBy(*_PLACE).orderBy("id")
     few = few.withColumn("__n", F.row_number().over(final)).filter(F.col("__n") <= k)
-    return few.groupBy(*place).agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    return few.groupBy(*_PLACE).agg(F.array_sort(F.collect_list("id")).alias("ids"))
+
+
+def _finest_full_cube(asking: DataFrame, cubes: DataFrame, k: int, levels: range) -> DataFrame:
+    """Level of the smallest cube around each asking place that holds k ids."""
+    holding = cubes.groupBy(*_CUBE).agg(F.sum(F.size("ids")).alias("n"))
+    enough = holding.filter((F.col("n") >= k) | (F.col("level") == 0)).select(*_CUBE)
+    return (
+        _in_cubes(asking.select(*_PLACE, *_AXES), levels)
+        .join(enough, _CUBE)
+        .groupBy(*_PLACE)
+        .agg(F.max("level").alias("finest"), *[F.first(a).alias(a) for a in _AXES])
+    )
 
 
 def nearest_neighbours(
@@ -96,7 +120,7 @@ def nearest_neighbours(
 ) -> DataFrame:
     """The ``always`` nearest towers, and up to ``more`` further ones within ``within_km``.
 
-    Exact, ties by id, linear in the number of towers:
+    Exact, ties by id, without comparing all towers of a region:
 
     * towers at one place share one search, and a place stands in it with its
       ``k`` smallest ids (no more of them can be among anybody's neighbours);
@@ -104,39 +128,44 @@ def nearest_neighbours(
       that holds ``k`` ids; all ``k`` nearest are then within the cube's diagonal
       (1.74 sides), so the 27 cubes around it one level up (two sides wide) hold
       them all. As the next finer cube holds fewer than ``k`` ids, dense regions
-      use small cubes and no cube is compared all against all.
+      use small cubes, and few places of any cube ask at its size;
+    * only places with no company within a fine cube go on to the coarse ones.
+      A coarse cube may hold a large share of all places, so there the candidates
+      are spread over ``_FAN`` parts and the few who ask are repeated for each.
     """
     k = always + more + 1  # a place meets itself too
-    place = ["lat", "lon"]
-    points = towers.select(F.col("tower_id").alias("id"), *place)
+    points = towers.select(F.col("tower_id").alias("id"), *_PLACE)
     rad_lat, rad_lon = F.radians("lat"), F.radians("lon")
-    places = _smallest_ids(points, place, k).select(
-        *place, "ids",
+    places = _smallest_ids(points, k).select(
+        *_PLACE, "ids",
         (F.cos(rad_lat) * F.cos(rad_lon)).alias("x"),
         (F.cos(rad_lat) * F.sin(rad_lon)).alias("y"),
         F.sin(rad_lat).alias("z"),
     )
-    axes = ["x", "y", "z"]
-    cube = ["level", "cx", "cy", "cz"]
-    levelled = places.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(_LEVELS)))).select(
-        *place, "ids", *axes, "level", *[_cell(a, F.col("level")).alias(f"c{a}") for a in axes]
+    fine, coarse = _in_cubes(places, _FINE), _in_cubes(places, _COARSE)
+    in_company = _finest_full_cube(places, fine, k, _FINE)
+    alone = places.join(in_company.select(*_PLACE), _PLACE, "left_anti")
+    found = in_company.unionByName(_finest_full_cube(alone, coarse, k, _COARSE))
+
+    search = found.withColumn("level", F.greatest(F.col("finest") - 1, F.lit(0)))
+    search = search.select(
+        *[F.col(p).alias(f"q_{p}") for p in _PLACE], "level", *[_cell(a, F.col("level")).alias(f"c{a}") for a in _AXES]
     )
-    full = levelled.groupBy(*cube).agg(F.sum(F.size("ids")).alias("n")).filter((F.col("n") >= k) | (F.col("level") == 0))
-    finest = (
-        levelled.select(*place, *axes, *cube)
-        .join(full.select(*cube), cube)
-        .groupBy(*place)
-        .agg(F.max("level").alias("finest"), *[F.first(a).alias(a) for a in axes])
+    for axis in _AXES:
+        step = F.explode(F.array(*[F.lit(d) for d in (-1, 0, 1)]))
+        search = search.withColumn("__d", step).withColumn(f"c{axis}", F.col(f"c{axis}") + F.col("__d")).drop("__d")
+    candidate = [*_PLACE, "ids", *_CUBE]
+    near = search.filter(F.col("level") >= _FINE.start).join(fine.select(*candidate), _CUBE)
+    part = F.pmod(F.xxhash64(*_PLACE), F.lit(_FAN)).cast("int")
+    parts = F.explode(F.sequence(F.lit(0), F.lit(_FAN - 1)))
+    far = (
+        search.filter(F.col("level") < _FINE.start)
+        .withColumn("__part", parts)
+        .join(coarse.select(*candidate, part.alias("__part")), [*_CUBE, "__part"])
+        .drop("__part")
     )
-    around = F.array(*[F.lit(d) for d in (-1, 0, 1)])
-    search = finest.withColumn("level", F.greatest(F.col("finest") - 1, F.lit(0)))
-    search = search.select(*[F.col(p).alias(f"q_{p}") for p in place], "level", *[_cell(a, F.col("level")).alias(f"c{a}") for a in axes])
-    for axis in axes:
-        search = search.withColumn("__d", F.explode(around)).withColumn(f"c{axis}", F.col(f"c{axis}") + F.col("__d")).drop("__d")
     distance = haversine_km("q_lat", "q_lon", "lat", "lon")
-    met = search.join(levelled.select(*place, "ids", *cube), cube).select(
-        "q_lat", "q_lon", distance.alias("d"), F.explode("ids").alias("id")
-    )
+    met = near.unionByName(far).select("q_lat", "q_lon", distance.alias("d"), F.explode("ids").alias("id"))
     closest = Window.partitionBy("q_lat", "q_lon").orderBy("d", "id")
     lists = (
         met.withColumn("__n", F.row_number().over(closest))
@@ -146,8 +175,8 @@ def nearest_neighbours(
     )
     others = F.slice(F.filter("near", lambda n: n["id"] != F.col("tower_id")), 1, always + more)
     return (
-        towers.select("tower_id", *place)
-        .join(lists, place)
+        towers.select("tower_id", *_PLACE)
+        .join(lists, _PLACE)
         .select("tower_id", F.posexplode(others).alias("pos", "n"))
         .select(
             "tower_id",

@@ -139,14 +139,21 @@ def inconsistent_status(rows: DataFrame) -> DataFrame:
 
 
 def flapping(
-    rows: DataFrame, entity: str, state: str, ts: str, tie: str, span_seconds: int = 300, min_toggles: int = 4
+    rows: DataFrame,
+    entity: str,
+    state: str,
+    ts: str,
+    tie: str,
+    span_seconds: int = 300,
+    min_toggles: int = 4,
+    chunk_seconds: int = 3600,
 ) -> DataFrame:
     """Moments at which an entity's state had changed ``min_toggles`` times within the span.
 
     Changes are counted per (entity, span-wide slot); each change is also lent to
     the next slot, which is as far as a span can reach.
     """
-    changes = previous(rows, [entity], [ts, tie], {"__before": state}, time_chunk(ts))
+    changes = previous(rows, [entity], [ts, tie], {"__before": state}, time_chunk(ts, chunk_seconds))
     changes = changes.filter(F.col("__before") != F.col(state)).select(entity, ts, tie, epoch_micros(ts).alias("__us"))
     slot = time_chunk(ts, span_seconds)
     lent = changes.withColumn("__own", slot).withColumn("__slot", F.explode(F.array(slot, slot + 1)))

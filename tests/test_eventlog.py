@@ -107,3 +107,15 @@ def test_sensors(spark):
     )
     got = sorted((r.period.hour, r.sensor, r.field, r.value) for r in eventlog.flatten_sensors(items).collect())
     assert got == [(4, "ready", "audit.n", "1"), (4, "ready", "total", "3"), (5, "ready", "total", "4")]
+
+
+def test_store_prunes_and_pushes_down(spark, log, tmp_path):
+    from pingline.sources import eventstore
+
+    path = str(tmp_path / "log")
+    eventstore.write_log(log, path)
+    eventstore.write_log(log.withColumn("date", F.lit("2026-03-01")), path)
+    got = eventstore.read_range(spark, path, NOW - 2 * HOUR, NOW, source="ingest")
+    assert sorted(r.event_id for r in got.collect()) == [1, 2]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "EqualTo(pipelineId,ingest)" in plan and "GreaterThanOrEqual(timestamp" in plan
