@@ -85,7 +85,7 @@ def dedup(spark, sf_dir):
 @query("""
     , a AS (SELECT par_day, par_hour, ts, event_id + CASE WHEN k % 10 = 0 THEN 7 ELSE 0 END AS pos, event_id FROM v_evt),
     o AS (SELECT par_day, par_hour, ts, lag(ts) OVER (PARTITION BY par_day, par_hour ORDER BY pos * 2 + CASE WHEN pos = event_id THEN 0 ELSE 1 END) AS before FROM a)
-    SELECT par_day, par_hour, count(*) AS total_rows, count_if(before > ts) AS out_of_order_rows FROM o GROUP BY ALL""")
+    SELECT par_day, par_hour, count(*) AS total_rows, count_if(coalesce(before > ts, false)) AS out_of_order_rows FROM o GROUP BY ALL""")
 def dq_out_of_order(spark, sf_dir):
     """Some rows arrive seven places late in their hour's file."""
     moved = F.col("k") % 10 == 0

@@ -99,8 +99,8 @@ def stream_dedup(spark, sf_dir):
 @query("""
     , s AS (SELECT machine_id, par_day, arg_max(derived_status, epoch_us(updated_at)::HUGEINT * 1000000000 + event_id) AS status,
                    max(updated_at) AS updated_at FROM v_iot_class GROUP BY ALL)
-    SELECT par_day, count_if(status = 'healthy') AS healthy_count, 10 AS total, max(updated_at) AS updated_at,
-           count_if(status = 'healthy') = 10 AS all_healthy
+    SELECT par_day, count_if(coalesce(status, '') = 'healthy') AS healthy_count, 10 AS total, max(updated_at) AS updated_at,
+           count_if(coalesce(status, '') = 'healthy') = 10 AS all_healthy
     FROM (SELECT DISTINCT par_day FROM s) CROSS JOIN v_roster LEFT JOIN s USING (machine_id, par_day) GROUP BY par_day""")
 def stream_factory_health(spark, sf_dir):
     evt = keyed_events(spark, sf_dir)

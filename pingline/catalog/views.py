@@ -114,8 +114,8 @@ VIEWS = {
     "v_roster": """
         SELECT 'machine_' || lpad(CAST(r.range AS VARCHAR), 2, '0') AS machine_id FROM range(1, 11) r""",
     "v_factory": """
-        SELECT par_day, count_if(status = 'healthy') AS healthy_count, 10 AS total,
-               count_if(status = 'healthy') = 10 AS all_healthy, max(updated_at) AS updated_at
+        SELECT par_day, count_if(coalesce(status, '') = 'healthy') AS healthy_count, 10 AS total,
+               count_if(coalesce(status, '') = 'healthy') = 10 AS all_healthy, max(updated_at) AS updated_at
         FROM (SELECT DISTINCT par_day FROM v_machine) CROSS JOIN v_roster
         LEFT JOIN (SELECT machine_id, par_day, arg_max(status, updated_at) AS status, max(updated_at) AS updated_at
                    FROM v_machine GROUP BY ALL) USING (machine_id, par_day)
