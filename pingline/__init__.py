@@ -1,5 +1,5 @@
 """Pingline: ping, sensor and event analytics on Spark DataFrames."""
 
-from pingline.session import build_session, configure, scratch_path
+from pingline.session import build_session, configure, scratch_path, stored
 
-__all__ = ["build_session", "configure", "scratch_path"]
+__all__ = ["build_session", "configure", "scratch_path", "stored"]

@@ -57,7 +57,9 @@ def gated_models(spark, sf_dir):
 
 
 def newest_ts(spark, sf_dir):
-    return tables.table(spark, sf_dir, "events").select(F.max("ts")).scalar()
+    """The log's last moment, as the constant a caller would pass for "now"."""
+    text = tables.table(spark, sf_dir, "events").select(F.max("ts").cast("string")).first()[0]
+    return F.lit(text).cast("timestamp_ntz")
 
 
 @query("""
@@ -222,13 +224,14 @@ def job_runs(spark, sf_dir):
         took = F.make_dt_interval(secs=(F.col("n") * seconds).cast("decimal(18,6)"))
         return df.select(job.alias("job"), start.alias("period_start"), "started_at", (F.col("started_at") + took).alias("finished_at"))
 
-    hour = period_start("par_day", "par_hour")
-    parts = [
-        runs(hours, F.concat(F.lit("bronze-"), "stream"), hour, 40),
-        runs(hours, F.concat(F.lit("silver-"), "stream", F.lit("-hour")), hour, 120),
-        runs(days, F.concat(F.lit("silver-"), "stream", F.lit("-day")), period_start("par_day"), 12),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    both = F.array(
+        F.struct(F.concat(F.lit("bronze-"), "stream").alias("job"), F.lit(40).alias("seconds")),
+        F.struct(F.concat(F.lit("silver-"), "stream", F.lit("-hour")).alias("job"), F.lit(120).alias("seconds")),
+    )
+    hourly = hours.withColumn("j", F.explode(both))
+    return runs(hourly, F.col("j.job"), period_start("par_day", "par_hour"), F.col("j.seconds")).unionByName(
+        runs(days, F.concat(F.lit("silver-"), "stream", F.lit("-day")), period_start("par_day"), F.lit(12))
+    )
 
 
 _LIMITS = ", ".join(

@@ -21,7 +21,7 @@ def log(spark, sf_dir):
 
 
 def newest_ms(events):
-    return events.select(F.max("timestamp")).scalar()
+    return events.select(F.max("timestamp")).first()[0]
 
 
 @query("""
@@ -175,8 +175,8 @@ def event_first10(spark, sf_dir):
 def event_cell_drilldown(spark, sf_dir):
     """All events of the cell the newest event lies in, newest first."""
     events = eventlog.timeline(log(spark, sf_dir))
-    cell = events.select(F.max_by(F.struct("pipelineId", "date", "hour"), F.struct("timestamp", "event_id"))).scalar()
-    mine = events.filter(F.struct("pipelineId", "date", "hour") == cell)
+    last = eventlog.newest(events, 1).first()
+    mine = events.filter((F.col("pipelineId") == last.pipelineId) & (F.col("date") == last.date) & (F.col("hour") == last.hour))
     return mine.orderBy(F.desc("timestamp"), F.desc("event_id"))
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -84,14 +83,14 @@ def type_breakdown(log: DataFrame, since_ms: Column) -> DataFrame:
 
 def hourly_histogram(log: DataFrame, since_ms: Column) -> DataFrame:
     """24 slots per source, zeros kept; events without a valid time fall out."""
-    recent = log.filter(F.col("timestamp") >= since_ms).select(
-        F.coalesce("pipelineId", F.lit("unknown")).alias("pipelineId"), "timestamp"
-    )
-    counts = recent.groupBy("pipelineId", F.when(F.col("timestamp") > 0, hour_of_millis("timestamp")).alias("hour")).agg(
-        F.count(F.lit(1)).alias("n")
+    hour = F.when(F.col("timestamp") > 0, hour_of_millis("timestamp"))
+    slots = F.array(*[F.count_if(hour == h) for h in range(24)])
+    return (
+        log.filter(F.col("timestamp") >= since_ms)
+        .groupBy(F.coalesce("pipelineId", F.lit("unknown")).alias("pipelineId"))
+        .agg(slots.alias("slots"))
+        .select("pipelineId", F.posexplode("slots").alias("hour", "n"))
     )
-    slots = counts.select("pipelineId").distinct().select("pipelineId", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour"))
-    return slots.join(counts, ["pipelineId", "hour"], "left").select("pipelineId", "hour", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def timeline(log: DataFrame) -> DataFrame:
@@ -118,16 +117,17 @@ def metrics(log: DataFrame, start_ms: Column, end_ms: Column) -> DataFrame:
         .groupBy("eventType", "pipelineId", F.date_format(time_of_millis("timestamp"), "yyyy-MM-dd'T'HH").alias("hour"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    def part(name: str, key: Column) -> DataFrame:
-        return cells.groupBy(key.alias("item")).agg(F.sum("n").alias("n")).select(F.lit(name).alias("measure"), "item", "n")
-
-    total = cells.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(
-        F.lit("total").alias("measure"), F.lit("").alias("item"), "n"
+    # the few cells are repeated per measure, so the log is read once
+    entry = lambda name, item: F.struct(F.lit(name).alias("measure"), item.alias("item"))
+    kind = F.col("eventType")
+    entries = F.array(
+        entry("total", F.lit("")), entry("type", kind), entry("source", F.col("pipelineId")), entry("hour", F.col("hour")),
+        F.when(kind.isin(SLA_TYPES), entry("sla", kind)),
     )
-    sla = cells.agg(*[F.coalesce(F.sum(F.when(F.col("eventType") == t, F.col("n"))), F.lit(0)).alias(t) for t in SLA_TYPES])
-    sla = sla.unpivot([], SLA_TYPES, "item", "n").select(F.lit("sla").alias("measure"), "item", "n")
-    parts = [total, part("type", F.col("eventType")), part("source", F.col("pipelineId")), part("hour", F.col("hour")), sla]
-    return reduce(DataFrame.unionByName, parts)
+    counted = cells.select(F.explode(F.array_compact(entries)).alias("e"), "n").select("e.measure", "e.item", "n")
+    always = [("total", "", 0), *[("sla", t, 0) for t in SLA_TYPES]]
+    zeros = log.sparkSession.createDataFrame(always, "measure string, item string, n bigint")
+    return counted.unionByName(zeros).groupBy("measure", "item").agg(F.sum("n").alias("n"))
 
 
 def worst_severity(log: DataFrame, by: list[str]) -> DataFrame:

@@ -21,28 +21,29 @@ def normalize(rows: DataFrame, keep: list[str] = []) -> DataFrame:
     return checked.select(*keep, *[min_max(c) if c in FEATURE_RANGES else F.col(c).cast("double") for c in FEATURE_COLUMNS])
 
 
-def cut_key(rows: DataFrame, key: str, ratio: float = TRAIN_RATIO, chunk_size: int = 65536) -> Column:
-    """Key of the last training row when rows are taken in key order; null for none.
+def cut_key(rows: DataFrame, key: str, ratio: float = TRAIN_RATIO, chunk_size: int = 65536) -> int | None:
+    """Key of the last training row when rows are taken in key order; None for none.
 
-    ``key`` is a unique integer. Rows are counted per chunk of keys, then only the
-    chunk holding the cut is sorted; the table itself is not shuffled.
+    ``key`` is a unique integer. Keys are counted per chunk, the chunk holding the
+    cut is found from the running counts, and only that chunk is sorted. Three small
+    jobs over the key column; the table itself is never shuffled.
     """
-    keys = rows.select(key, id_chunk(key, chunk_size).alias("__chunk_no"))
-    counts = keys.groupBy("__chunk_no").agg(F.count(F.lit(1)).alias("n"))
-    total = keys.select(F.floor(F.count(F.lit(1)) * ratio)).scalar()
-    upto = running_total(counts, [], ["__chunk_no"], {"upto": "n"}, id_chunk("__chunk_no", 4096))
-    cut = upto.filter((F.col("upto") >= total) & (F.col("upto") - F.col("n") < total)).select(
-        "__chunk_no", (total - F.col("upto") + F.col("n")).alias("__take")
-    )
-    inside = running_total(
-        keys.join(cut, "__chunk_no"), ["__chunk_no"], [key], {"__pos": F.lit(1)}, F.lit(0)
-    )
-    return inside.filter(F.col("__pos") == F.col("__take")).select(F.max(key)).scalar()
+    keys = rows.select(key)
+    wanted = int(keys.count() * ratio)
+    if wanted == 0:
+        return None
+    counts = keys.groupBy(id_chunk(key, chunk_size).alias("chunk")).agg(F.count(F.lit(1)).alias("n"))
+    upto = running_total(counts, [], ["chunk"], {"upto": "n"}, id_chunk("chunk", 4096))
+    cut = upto.filter((F.col("upto") >= wanted) & (F.col("upto") - F.col("n") < wanted)).first()
+    low = cut.chunk * chunk_size
+    inside = keys.filter((F.col(key) >= low) & (F.col(key) < low + chunk_size)).orderBy(key)
+    return inside.offset(wanted - (cut.upto - cut.n) - 1).first()[0]
 
 
 def positional_split(rows: DataFrame, key: str, ratio: float = TRAIN_RATIO) -> DataFrame:
-    """The first ``floor(n * ratio)`` rows in key order train, the rest test."""
-    is_train = F.col(key) <= cut_key(rows, key, ratio)
+    """The first ``int(n * ratio)`` rows in key order train, the rest test."""
+    cut = cut_key(rows, key, ratio)
+    is_train = F.lit(False) if cut is None else F.col(key) <= cut
     return rows.withColumn("split", F.when(is_train, "train").otherwise("test"))
 
 

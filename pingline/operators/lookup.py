@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pingline.functions.columns import haversine_km
 from pingline.operators.ordered import carry_last, id_chunk, running_total, time_chunk
+from pingline.session import stored
 
 # fixed values
 ALWAYS_NEIGHBOURS = 3
@@ -32,8 +33,7 @@ def cumulative_shares(items: DataFrame, rank: str = "rank", exponent: float = SI
     """
     weighted = items.withColumn("__w", (1 / F.pow(F.col(rank), exponent)).cast("decimal(28,18)"))
     summed = running_total(weighted, [], [rank], {"__upto": "__w"}, id_chunk(rank))
-    total = weighted.select(F.sum("__w").cast("double")).scalar()
-    last = weighted.select(F.max(rank)).scalar()
+    total, last = weighted.select(F.sum("__w").cast("double"), F.max(rank)).first()
     upto, before = F.col("__upto"), F.col("__upto") - F.col("__w")
     return (
         summed.withColumn("hi", F.when(F.col(rank) == last, 1.0).otherwise(upto.cast("double") / total))
@@ -50,7 +50,7 @@ def weighted_pick(probes: DataFrame, shares: DataFrame, u: str = "u") -> DataFra
     item is spread over many join keys and no probe meets more than the few items
     of its own cell.
     """
-    cells = shares.select(F.greatest(F.count(F.lit(1)), F.lit(1)).cast("double")).scalar()
+    cells = float(max(shares.count(), 1))
     spread = shares.withColumn(
         "__cell",
         F.explode(
@@ -142,10 +142,11 @@ def nearest_neighbours(
         (F.cos(rad_lat) * F.sin(rad_lon)).alias("y"),
         F.sin(rad_lat).alias("z"),
     )
+    places = stored(places, "places")  # read by every step below
     fine, coarse = _in_cubes(places, _FINE), _in_cubes(places, _COARSE)
     in_company = _finest_full_cube(places, fine, k, _FINE)
     alone = places.join(in_company.select(*_PLACE), _PLACE, "left_anti")
-    found = in_company.unionByName(_finest_full_cube(alone, coarse, k, _COARSE))
+    found = stored(in_company.unionByName(_finest_full_cube(alone, coarse, k, _COARSE)), "cubes")
 
     search = found.withColumn("level", F.greatest(F.col("finest") - 1, F.lit(0)))
     search = search.select(

@@ -37,16 +37,16 @@ def latest_status(statuses: DataFrame, by: list[str]) -> DataFrame:
 
 
 def factory_health(latest: DataFrame, by: list[str], roster: list[str] = MACHINES) -> DataFrame:
-    """Healthy machines of the fixed roster. An absent one is not healthy, a stray one not counted."""
-    grid = latest.select(*by).distinct().select(*by, F.explode(F.array(*[F.lit(m) for m in roster])).alias("machine_id"))
+    """Healthy machines of the fixed roster, from one row per machine. An absent one is
+    not healthy, a stray one not counted; no join with the roster is needed for either."""
+    listed = F.col("machine_id").isin(roster)
     return (
-        grid.join(latest, ["machine_id", *by], "left")
-        .groupBy(*by)
+        latest.groupBy(*by)
         .agg(
-            F.count_if(F.col("status") == "healthy").alias("healthy_count"),
-            F.count(F.lit(1)).alias("total"),
-            F.max("updated_at").alias("updated_at"),
+            F.count_if(listed & (F.col("status") == "healthy")).alias("healthy_count"),
+            F.max(F.when(listed, F.col("updated_at"))).alias("updated_at"),
         )
+        .withColumn("total", F.lit(len(roster)))
         .withColumn("all_healthy", F.col("healthy_count") == F.col("total"))
     )
 

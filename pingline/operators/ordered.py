@@ -27,6 +27,11 @@ def id_chunk(key: str, size: int = 65536) -> Column:
     return F.floor(F.col(key) / size).cast("bigint")
 
 
+def _at(order: list[str]) -> Column:
+    """What a latest-by aggregate orders on. A single number keeps it a hash aggregate."""
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+
+
 def running_total(
     df: DataFrame, by: list[str], order: list[str], values: dict[str, Column | str], chunk: Column, fan: int = 4096
 ) -> DataFrame:
@@ -71,7 +76,7 @@ def carry_last(
     result is null, or the key's first value when ``default_first``."""
     staged = df.withColumn(_CHUNK, chunk)
     known = staged.filter(F.col(value).isNotNull())
-    at = F.struct(*order)
+    at = _at(order)
     last = known.groupBy(*by, _CHUNK).agg(
         F.max_by(value, at).alias("__last"), F.min_by(value, at).alias("__first"), F.lit(True).alias("__known")
     )
@@ -97,7 +102,7 @@ def previous(
 ) -> DataFrame:
     """Value of the row before, ``{new column: column}``, per ``by`` in ``order``."""
     staged = df.withColumn(_CHUNK, chunk)
-    at = F.struct(*order)
+    at = _at(order)
     tails = staged.groupBy(*by, _CHUNK).agg(*[F.max_by(v, at).alias(f"__{n}") for n, v in values.items()])
     chain = Window.partitionBy(*by).orderBy(_CHUNK)
     heads = tails.select(*by, _CHUNK, *[F.lag(f"__{n}").over(chain).alias(f"__{n}") for n in values])

@@ -32,11 +32,10 @@ def aggregate_calls(bronze: DataFrame, period: tuple[str, ...] = HOURLY) -> Data
 
 
 def aggregate_browsing(bronze: DataFrame, period: tuple[str, ...] = HOURLY) -> DataFrame:
-    """Per phone and host: pings, towers, duration. A host has one site name."""
+    """Per phone and host: pings, towers, duration. A host has one site name, so the
+    first step may group by it too, which keeps it a hash aggregate."""
     visitor = [*period, "phone_hash", "host_name"]
-    cells = bronze.groupBy(*visitor, "cell_tower").agg(
-        F.count(F.lit(1)).alias("n"), F.min("site_name").alias("site_name")
-    )
+    cells = bronze.groupBy(*visitor, "site_name", "cell_tower").agg(F.count(F.lit(1)).alias("n"))
     return cells.groupBy(*visitor).agg(
         F.min("site_name").alias("site_name"),
         F.sum("n").alias("total_pings"),

@@ -143,5 +143,5 @@ def chain_status(completeness: DataFrame, audit: DataFrame) -> DataFrame:
         .withColumn("hour_ready", F.col("bronze_complete") & F.col("audit_match"))
         .drop("match")
     )
-    days = hours.groupBy("stream", "par_day").agg((F.count_if("hour_ready") >= 24).alias("day_ready"))
-    return hours.join(days, ["stream", "par_day"])
+    day = Window.partitionBy("stream", "par_day")  # at most 24 rows
+    return hours.withColumn("day_ready", F.count_if("hour_ready").over(day) >= 24)

@@ -99,8 +99,7 @@ def test_split(spark, n, train):
 
 def test_split_across_chunks(spark):
     keys = spark.range(1000).select((F.col("id") * 1000).alias("k"))
-    cut = spark.range(1).select(features.cut_key(keys, "k", 0.8, chunk_size=7000)).first()[0]
-    assert cut == 799_000
+    assert features.cut_key(keys, "k", 0.8, chunk_size=7000) == 799_000
 
 
 GATES = [
