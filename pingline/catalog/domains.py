@@ -16,7 +16,7 @@ from pingline.sources import bronze, feeds, tables
 
 @query("SELECT * FROM v_machine")
 def iot_machine_status(spark, sf_dir):
-    return monitoring.machine_status(tables.machine_readings(spark, sf_dir), ["par_day", "par_hour"], digits=6)
+    return monitoring.machine_status(tables.machine_readings(spark, sf_dir), ["par_day", "par_hour"], digits=9)
 
 
 @query("SELECT * FROM v_factory")
@@ -31,9 +31,9 @@ def iot_factory_health(spark, sf_dir):
           FROM (SELECT unnest(generate_series(date_trunc('hour', (SELECT min(ts) FROM events)),
                                               date_trunc('hour', (SELECT max(ts) FROM events)), INTERVAL 1 HOUR)) AS h) g)
     SELECT c.par_day, c.par_hour, count(r.machine_id) AS total_readings, count(DISTINCT r.machine_id) AS machine_count,
-           round(coalesce(avg(t), 0), 6) AS avg_temperature, round(coalesce(avg(v), 0), 6) AS avg_vibration,
-           round(coalesce(avg(p), 0), 6) AS avg_pressure, round(max(t), 6) AS max_temperature,
-           round(max(v), 6) AS max_vibration, round(min(p), 6) AS min_pressure
+           round(coalesce(avg(t), 0), 9) AS avg_temperature, round(coalesce(avg(v), 0), 9) AS avg_vibration,
+           round(coalesce(avg(p), 0), 9) AS avg_pressure, round(max(t), 9) AS max_temperature,
+           round(max(v), 9) AS max_vibration, round(min(p), 9) AS min_pressure
     FROM c LEFT JOIN r USING (par_day, par_hour) GROUP BY ALL""")
 def iot_hour_summary(spark, sf_dir):
     """Some temperatures are missing; every hour of the calendar gets a row."""
@@ -41,7 +41,7 @@ def iot_hour_summary(spark, sf_dir):
     span = calendar.span_of(readings, "updated_at")
     hours = calendar.calendar(span, 3600).select(par_day("window_start").alias("par_day"), par_hour("window_start").alias("par_hour"))
     gappy = readings.withColumn("temperature", F.when(F.col("k") % 20 != 0, F.col("temperature")))
-    return monitoring.factory_hours(gappy, hours, ["par_day", "par_hour"], digits=6)
+    return monitoring.factory_hours(gappy, hours, ["par_day", "par_hour"], digits=9)
 
 
 # ---- transactions -------------------------------------------------------
@@ -175,9 +175,10 @@ def geo_haversine(spark, sf_dir):
 
 
 @query("""
-    SELECT tower_no, substr(md5(CAST(round(lat, 4) AS VARCHAR) || ',' || CAST(round(lon, 4) AS VARCHAR)), 1, 8) AS place_id FROM v_tower""")
+    SELECT tower_no, substr(md5(CAST(floor(lat * 10000) / 10000 AS VARCHAR) || ',' || CAST(floor(lon * 10000) / 10000 AS VARCHAR)), 1, 8) AS place_id FROM v_tower""")
 def geo_tower_id(spark, sf_dir):
-    return tables.towers(spark, sf_dir).select("tower_no", tower_id(F.round("lat", 4), F.round("lon", 4)).alias("place_id"))
+    four = lambda c: F.floor(F.col(c) * 10000) / 10000
+    return tables.towers(spark, sf_dir).select("tower_no", tower_id(four("lat"), four("lon")).alias("place_id"))
 
 
 @query("""

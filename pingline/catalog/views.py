@@ -108,8 +108,8 @@ VIEWS = {
                CASE WHEN avg(temperature) >= 75 OR avg(vibration) >= 80 OR avg(pressure) <= 2 THEN 'critical'
                     WHEN avg(temperature) >= 60 OR avg(vibration) >= 50 OR avg(pressure) <= 3 THEN 'degraded'
                     ELSE 'healthy' END AS status,
-               round(avg(temperature), 6) AS temperature, round(avg(vibration), 6) AS vibration,
-               round(avg(pressure), 6) AS pressure, count(*) AS readings_count, max(updated_at) AS updated_at
+               round(avg(temperature), 9) AS temperature, round(avg(vibration), 9) AS vibration,
+               round(avg(pressure), 9) AS pressure, count(*) AS readings_count, max(updated_at) AS updated_at
         FROM v_iot GROUP BY ALL""",
     "v_roster": """
         SELECT 'machine_' || lpad(CAST(r.range AS VARCHAR), 2, '0') AS machine_id FROM range(1, 11) r""",

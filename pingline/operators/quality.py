@@ -150,17 +150,29 @@ def flapping(
 ) -> DataFrame:
     """Moments at which an entity's state had changed ``min_toggles`` times within the span.
 
-    Changes are counted per (entity, span-wide slot); each change is also lent to
-    the next slot, which is as far as a span can reach.
+    Changes are counted per (entity, span-wide slot); each change is also lent to the
+    next slot, moved on by one span. For a change at ``t`` the span then holds its own
+    slot's changes up to ``t`` and the lent ones from ``t`` on: two running counts, in
+    place of a frame that is counted afresh for every row.
     """
+    span = span_seconds * 1_000_000
     changes = previous(rows, [entity], [ts, tie], {"__before": state}, time_chunk(ts, chunk_seconds))
     changes = changes.filter(F.col("__before") != F.col(state)).select(entity, ts, tie, epoch_micros(ts).alias("__us"))
     slot = time_chunk(ts, span_seconds)
-    lent = changes.withColumn("__own", slot).withColumn("__slot", F.explode(F.array(slot, slot + 1)))
-    window = Window.partitionBy(entity, "__slot").orderBy("__us").rangeBetween(-span_seconds * 1_000_000, 0)
+    copies = F.array(
+        F.struct(slot.alias("slot"), F.lit(0).alias("lent"), F.col("__us").alias("at")),
+        F.struct((slot + 1).alias("slot"), F.lit(1).alias("lent"), (F.col("__us") + span).alias("at")),
+    )
+    placed = changes.select(entity, ts, tie, F.explode(copies).alias("c")).select(entity, ts, tie, "c.*")
+    group = Window.partitionBy(entity, "slot")
+    upto = group.orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
+    before = group.orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
+    toggles = (
+        F.sum(1 - F.col("lent")).over(upto) + F.sum("lent").over(group) - F.coalesce(F.sum("lent").over(before), F.lit(0))
+    )
     return (
-        lent.withColumn("toggles", F.count(F.lit(1)).over(window))
-        .filter((F.col("__slot") == F.col("__own")) & (F.col("toggles") >= min_toggles))
+        placed.withColumn("toggles", toggles)
+        .filter((F.col("lent") == 0) & (F.col("toggles") >= min_toggles))
         .select(entity, tie, ts, "toggles")
     )
 

@@ -97,15 +97,21 @@ def write_partitioned(df: DataFrame, path: str, keys: list[str], mode: str = "ap
 
 
 def read_partition(
-    spark: SparkSession, path: str, day: Column | str | None = None, hour: Column | str | None = None
+    spark: SparkSession,
+    path: str,
+    day: Column | str | None = None,
+    hour: Column | str | None = None,
+    view: str | None = None,
 ) -> DataFrame:
     """A partitioned table, or one day or hour of it; the filters stay on the raw
-    partition columns so that whole folders are pruned."""
+    partition columns so that whole folders are pruned. ``view`` names it for SQL."""
     df = spark.read.parquet(path)
     if day is not None:
         df = df.filter(F.col("par_day") == day)
     if hour is not None:
         df = df.filter(F.col("par_hour") == hour)
+    if view is not None:
+        df.createOrReplaceTempView(view)
     return df
 
 

@@ -136,6 +136,8 @@ def test_append_doubles_and_overwrite_replaces_one_period(spark, rows, tmp_path)
 def test_partition_filters_prune(spark, rows, tmp_path):
     path = str(tmp_path / "pruned")
     bronze.write_silver(rows([("a", 1)], "k string, v int"), path, "20260301", "04")
+    bronze.read_partition(spark, path, "20260301", view="silver")
+    assert spark.sql("SELECT k FROM silver").count() == 1
     plan = bronze.read_partition(spark, path, "20260301", "04")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(par_day" in plan
 
