@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pingline.functions.columns import haversine_km
+from pingline.operators.joins import spread_join
 from pingline.operators.ordered import carry_last, id_chunk, running_total, time_chunk
 from pingline.session import stored
 
@@ -176,8 +177,7 @@ def nearest_neighbours(
     )
     others = F.slice(F.filter("near", lambda n: n["id"] != F.col("tower_id")), 1, always + more)
     return (
-        towers.select("tower_id", *_PLACE)
-        .join(lists, _PLACE)
+        spread_join(towers.select("tower_id", *_PLACE), lists, _PLACE)
         .select("tower_id", F.posexplode(others).alias("pos", "n"))
         .select(
             "tower_id",
@@ -192,4 +192,4 @@ def nearest_neighbours(
 def city_index(towers: DataFrame) -> DataFrame:
     """Towers by city, one row each, with the size of the city's list."""
     sizes = towers.groupBy("city").agg(F.count(F.lit(1)).alias("towers_in_city"))
-    return towers.select("city", "tower_id").join(sizes, "city")
+    return spread_join(towers.select("city", "tower_id"), sizes, ["city"])

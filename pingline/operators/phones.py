@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pingline.functions.columns import pseudonym
+from pingline.operators.joins import spread_join
 
 
 def distinct_phones(pings: DataFrame, columns: list[str]) -> DataFrame:
@@ -37,13 +38,14 @@ def pseudonymise(pings: DataFrame, columns: dict[str, str], dimension: DataFrame
 
     Only phones stored under a hash other than today's need the lookup, so the
     join side is empty until a salt changes; everything else is a projection.
+    A busy phone's rows are spread over several tasks.
     """
     rekeyed = dimension.filter(F.col("hash") != pseudonym("phone", salt)).select("phone", "hash")
     out = pings
     for phone, hashed in columns.items():
         side = rekeyed.select(F.col("phone").alias(phone), F.col("hash").alias(f"__{hashed}"))
         out = (
-            out.join(side, phone, "left")
+            spread_join(out, side, [phone], "left")
             .withColumn(hashed, F.coalesce(F.col(f"__{hashed}"), pseudonym(phone, salt)))
             .drop(f"__{hashed}", phone)
         )

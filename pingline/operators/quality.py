@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pingline.functions.columns import epoch_micros, machine_health
+from pingline.operators.joins import spread_join
 from pingline.operators.ordered import id_chunk, previous, running_total, time_chunk
 
 
@@ -101,7 +102,7 @@ def payload_drift(payloads: DataFrame, column: str, expected: list[str]) -> Data
 def stale_replay(arrivals: DataFrame, completed: DataFrame, period: list[str]) -> DataFrame:
     """Per completed period: rows that arrived after it had been completed."""
     return (
-        arrivals.join(completed.select(*period, "completed_at"), period)
+        spread_join(arrivals, completed.select(*period, "completed_at"), period)
         .filter(F.col("arrived_at") > F.col("completed_at"))
         .groupBy(*period)
         .agg(F.count(F.lit(1)).alias("replayed_rows"), F.min("arrived_at").alias("first_replay"))

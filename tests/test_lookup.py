@@ -168,3 +168,13 @@ def test_calendar(spark):
     got = calendar.calendar_between(spark, "2026-03-01 00:07:00", "2026-03-01 01:00:00", streams=["cdr", "seq"])
     assert got.count() == 10
     assert got.agg(F.min("window_start")).first()[0] == T0
+
+
+def test_spread_join_equals_a_join(spark):
+    from pingline.operators.joins import spread_join
+
+    many = spark.range(500).select("id", F.when(F.col("id") < 300, 0).otherwise(F.col("id") % 9).alias("k"))
+    side = spark.range(5).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    for how in ("inner", "left"):
+        got = spread_join(many, side, ["k"], how).select("k", "id", "v")
+        assert sorted(map(str, got.collect())) == sorted(map(str, many.join(side, "k", how).select("k", "id", "v").collect()))
