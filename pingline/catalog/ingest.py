@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pingline.catalog.registry import query
-from pingline.functions.columns import ntz, par_day
+from pingline.functions.columns import par_day
 from pingline.operators import phones, silver
 from pingline.session import scratch_path
 from pingline.sources import bronze, tables

@@ -15,7 +15,6 @@ from pingline.operators.phones import pseudonymise
 
 # fixed values: the raw key layout
 PERIOD_IN_PATH = r"par_day=(\d{8})/par_hour=(\d{2})"
-STREAM_IN_PATH = r"(?:^|/)(cdr|seq)/(?=par_day=|[^/]+$)"
 RAW_FILE = r"\.jsonl\.gz$"
 SPARK_RAW_FILE = r"\.json(l)?\.gz$"
 MAX_RECORDS_PER_FILE = 100_000

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pingline.functions import columns as C
-from pingline.operators import features, lookup, monitoring
+from pingline.operators import features, monitoring
 from pingline.schemas import FEATURE_COLUMNS
 
 T0 = datetime(2026, 3, 1, 10)
@@ -130,7 +130,6 @@ def test_fingerprint_ignores_order(spark):
 
 
 def test_training_learns(spark):
-    x = F.rand(1)
     rows_ = spark.range(2000).select("id", *[F.rand(i).alias(c) for i, c in enumerate(C.FEATURE_RANGES)])
     rows_ = rows_.withColumn("label", (F.col("income") > 0.5).cast("double")).withColumn("split", F.when(F.col("id") < 1600, "train").otherwise("test"))
     got = features.train(rows_.cache()).first()

@@ -95,8 +95,6 @@ def test_normalize_defaults(rows):
 
 
 def test_sensors(spark):
-    from pyspark.sql import Row
-
     items = spark.createDataFrame(
         [
             ("w", "SENSOR#ready#x", {"date": "20260301", "hour": "04", "total": "3"}, {"audit": {"n": "1"}}),

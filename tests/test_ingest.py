@@ -6,8 +6,6 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from pingline import schemas
-from pingline.functions.columns import pseudonym
 from pingline.operators import phones, silver
 from pingline.sources import bronze, feeds
 
