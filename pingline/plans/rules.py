@@ -1,7 +1,8 @@
 """Rule checks, deadlines, dry runs and chains over control tables.
 
 A sensor table is long: job, sensor, period, field, value (text), updated_at.
-The rule and deadline tables are fixed lists of a few dozen rows, hence the broadcasts.
+The built-in rule and deadline tables are fixed lists of a few dozen rows, hence the
+broadcasts.
 """
 
 from __future__ import annotations
@@ -33,16 +34,17 @@ def _holds(as_of: Column) -> Column:
 def evaluate(sensors: DataFrame, phase: str, as_of: Column, rules: DataFrame | None = None) -> DataFrame:
     """All rules of a phase per job and period (``trigger: ALL``). A sensor that was
     never written fails its rules."""
-    spark = sensors.sparkSession
-    wanted = (rules if rules is not None else rules_table(spark)).filter(F.col("phase") == phase)
+    # the fixed list is a few dozen rows; a caller's own table is joined by its measured size
+    small = F.broadcast if rules is None else (lambda df: df)
+    wanted = (rules_table(sensors.sparkSession) if rules is None else rules).filter(F.col("phase") == phase)
     totals = wanted.groupBy("job").agg(F.count(F.lit(1)).alias("total_rules"))
     values = sensors.select("job", "period", "sensor", "field", F.col("value").alias("s_value"))
-    matched = values.join(F.broadcast(wanted), ["job", "sensor", "field"], "left")
+    matched = values.join(small(wanted), ["job", "sensor", "field"], "left")
     return (
         matched.withColumn("held", F.when(_holds(as_of), F.col("rule_no")))
         .groupBy("job", "period")
         .agg(F.count_distinct("held").alias("passed_rules"))
-        .join(F.broadcast(totals), "job")
+        .join(small(totals), "job")
         .withColumn("passed", F.col("passed_rules") == F.col("total_rules"))
     )
 
@@ -52,8 +54,7 @@ def sla_outcome(runs: DataFrame, day_shift: int = 0, deadlines: DataFrame | None
 
     ``:MM`` counts from the period's hour, ``HH:MM`` from its day plus ``day_shift`` days.
     """
-    spark = runs.sparkSession
-    limits = F.broadcast(deadlines if deadlines is not None else deadlines_table(spark))
+    limits = F.broadcast(deadlines_table(runs.sparkSession)) if deadlines is None else deadlines
     base = F.when(F.col("within_hour"), F.date_trunc("hour", "period_start")).otherwise(
         F.date_trunc("day", "period_start") + F.make_dt_interval(F.lit(day_shift))
     )
