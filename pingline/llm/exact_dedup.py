@@ -89,8 +89,9 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     if not shared.isEmpty():
         numbered = stored(numbered, "chunk-texts")  # row numbers must not change between two reads
     listed = stored(recipes(numbered, shared, hash_of), "chunk-recipes").withColumn("at", order_key("doc_id", "row"))
-    groups = listed.groupBy("recipe").agg(
-        F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"), F.min("at").alias("first"))
+    # stored, so that the join shuffles both sides itself and may split the rows of a large group
+    groups = stored(listed.groupBy("recipe").agg(
+        F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"), F.min("at").alias("first")), "chunk-groups")
     return listed.join(groups, "recipe").select(
         "doc_id", "keep_id", "group_size", (F.col("at") == F.col("first")).alias("kept"), "text_sha256")
 

@@ -148,7 +148,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per document: doc_id, fingerprint (16 hex digits), component_id."""
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     printed = stored(with_fingerprint(slim, "text", "fp", width).withColumn("at", F.coalesce("doc_id", F.lit(LAST_ID))), "simhash")
-    roots = grouped(printed, bits, segments)
+    # stored, so that the join shuffles both sides itself and may split a fingerprint's rows
+    roots = stored(grouped(printed, bits, segments), "groups")
     root = F.when(F.col("root") != LAST_ID, F.col("root"))
     return printed.join(roots, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), root.alias("component_id"))

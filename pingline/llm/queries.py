@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pingline.llm import exact_dedup, near_dedup, quality, sql
+from pingline.llm import byte_bpe, chat, exact_dedup, html_extract, line_dedup, near_dedup, packing, quality, sharding, sql, suffix_dedup
 from pingline.llm.common import prepare, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +30,37 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without strings that an earlier one holds."""
+    left = suffix_dedup.without_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "found.n_bytes", "found.n_removed", "found.n_spans", F.sha2("found.kept", 256).alias("kept_sha256"))
+
+
+@query
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted, and what reading it back gives."""
+    planted = spark.sql(
+        "SELECT -7L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)")
+    columns = ["conv_id", "turn", "role", "text"]
+    done = chat.formatted(read(spark, sf_dir, "conversations").select(columns).union(planted))
+    turns = done.withColumn("turns", chat.read_back(F.col("formatted")))
+    line = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    loss = F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: chat.INSTRUCT.unescape(s["text"]))
+    return turns.withColumn("loss_text", F.array_join(loss, "")).select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join(line, ""), 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"), "valid", "complete",
+        F.coalesce("first_bad", F.lit(-1)).alias("first_bad"))
+
+
+@query
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    texts = html_extract.extracted(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document, under risk-controlled cutoffs."""
@@ -35,12 +68,46 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@query
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids, and of the bytes read back from them."""
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ids = byte_bpe.encoded(read(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
+    return byte_bpe.decoded(ids, vocabulary).select(
+        "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document, rows shared out evenly."""
+    return sharding.by_rows(read(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of every document."""
     return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's text lines without the boilerplate of its host."""
+    pages = read(spark, sf_dir, "pages").select(
+        "page_id", "url", F.regexp_replace("html", "(?s)<!--.*?-->|<[^>]*>", "\n").alias("text"))
+    left = line_dedup.without_boilerplate(pages, line_dedup.host_of("url"))
+    return left.select("page_id", line_dedup.host_of("url").alias("host"), "lines.n_lines", "lines.n_dropped",
+                       F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document and its place in a sequence."""
+    pieces = packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 @query
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group, survivor and digest of every document."""

@@ -63,3 +63,57 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PART
   row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS LAST, row) = 1 AS kept, sha256(t) AS text_sha256
 FROM d
 """
+
+
+def _chat() -> str:
+    from pingline.llm.chat import INSTRUCT
+
+    first, rest = INSTRUCT.pattern()
+    escaped = "regexp_replace({}, '(%s)(\\\\*)(%s)', '\\1\\\\\\2\\3', 'g')" % (first, rest)
+    marks = " ".join(f"WHEN '{r}' THEN {len(a) + len(b)}" for r, (a, b) in INSTRUCT.marks.items())
+    other = sum(map(len, INSTRUCT.other))
+    known = ", ".join(f"'{r}'" for r in INSTRUCT.marks)
+    loss = ", ".join(f"'{r}'" for r in sorted(INSTRUCT.loss))
+    moves = ", ".join(f"('{s}', '{r}', '{t}')" for (s, r), t in INSTRUCT.moves.items())
+    # states by the role before: the machine's state after a legal prefix
+    return rf"""
+WITH RECURSIVE given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, unnest([0, 1]), unnest(['user', 'assistant']), '</s>[INST] ok [/INST]'),
+t AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS place FROM given),
+moves(state, role, goes) AS (VALUES {moves}),
+walk(conv_id, place, state, bad) AS (
+  SELECT DISTINCT conv_id, -1::BIGINT, 'start', NULL::BIGINT FROM t
+  UNION ALL
+  SELECT w.conv_id, w.place + 1, coalesce(m.goes, w.state), coalesce(w.bad, CASE WHEN m.goes IS NULL THEN w.place + 1 END)
+  FROM walk w JOIN t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.place = w.place + 1
+  LEFT JOIN moves m ON m.state = w.state AND m.role = t.role),
+ends AS (SELECT conv_id, max_by(state, place) AS state, min(bad) AS bad FROM walk GROUP BY conv_id),
+sums AS (
+  SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+    coalesce(string_agg(text, '' ORDER BY place) FILTER (role IN ({loss})), '') AS loss_text,
+    sum(length({escaped.format('text')}) + CASE role {marks} ELSE {other} + length({escaped.format('role')}) END)::BIGINT AS formatted_chars
+  FROM t GROUP BY conv_id)
+SELECT s.conv_id, n_turns, turns_sha256, length(loss_text) AS loss_chars, sha256(loss_text) AS loss_sha256, formatted_chars,
+  bad IS NULL AS valid, bad IS NULL AND state = 'answered' AS complete, coalesce(bad, -1)::INT AS first_bad
+FROM sums s JOIN ends e ON s.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+
+op2_chat = _chat()
+
+op8_line_dedup = r"""
+WITH p AS (
+  SELECT page_id, regexp_replace(regexp_extract(lower(url), '^(?:[a-z][a-z0-9+.-]*:)?(?://)?(?:[^/?#@]*@)?([^/?#:]*)', 1), '^(www|m|blog)\.', '') AS host,
+    string_split(regexp_replace(html, '(?s)<!--.*?-->|<[^>]*>', chr(10), 'g'), chr(10)) AS lines, row_number() OVER () AS row FROM pages),
+l AS (SELECT DISTINCT row, host, regexp_replace(unnest(lines), '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS line FROM p),
+n AS (SELECT host, line, count(*) AS n FROM l WHERE line != '' GROUP BY ALL HAVING count(*) >= 3),
+total AS (SELECT host, count(*) AS pages FROM p GROUP BY host),
+common AS (SELECT n.host, list(line) AS drops FROM n JOIN total t ON n.host IS NOT DISTINCT FROM t.host WHERE n.n > 0.3 * pages GROUP BY ALL),
+k AS (
+  SELECT page_id, p.host, lines, list_filter(lines, lambda x: NOT coalesce(list_contains(drops,
+    regexp_replace(x, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')), false)) AS kept
+  FROM p LEFT JOIN common c ON p.host IS NOT DISTINCT FROM c.host)
+SELECT page_id, host, len(coalesce(lines, []))::BIGINT AS n_lines, (len(coalesce(lines, [])) - len(coalesce(kept, [])))::BIGINT AS n_dropped,
+  sha256(coalesce(array_to_string(kept, chr(10)), '')) AS kept_sha256 FROM k
+"""
