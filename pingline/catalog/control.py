@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pingline.catalog.registry import query
-from pingline.functions.columns import period_start
+from pingline.functions.columns import VALID_QUALITY, epoch_micros, machine_health, period_start
 from pingline.operators import completeness, features, monitoring
 from pingline.plans import rules
-from pingline.plans.definitions import DEADLINES, RULES, seconds_of
+from pingline.plans.definitions import DEADLINES, seconds_of
+from pingline.session import stored
 from pingline.sources import tables
 
 
@@ -27,13 +28,14 @@ def complete_hours(spark, sf_dir):
 
 def audit(spark, sf_dir):
     """Counters of which some are one too high and others were lost."""
-    hour = F.col("par_hour").cast("int")
     counters = completeness.hourly_counters(tables.files(spark, sf_dir))
-    sensors = counters.select(
-        "stream", "par_day", "par_hour",
-        F.when(hour % 8 == 7, 0).when(hour % 6 == 5, F.col("count") + 1).otherwise(F.col("count")).alias("sensor_count"),
-    )
-    return completeness.reconcile(sensors, completeness.stored_counts(tables.deliveries(spark, sf_dir)))
+    return completeness.reconcile(miscounted(counters), completeness.stored_counts(tables.deliveries(spark, sf_dir)))
+
+
+def miscounted(counters):
+    hour = F.col("par_hour").cast("int")
+    wrong = F.when(hour % 8 == 7, 0).when(hour % 6 == 5, F.col("count") + 1).otherwise(F.col("count"))
+    return counters.select("stream", "par_day", "par_hour", wrong.alias("sensor_count"))
 
 
 def completions(spark, sf_dir):
@@ -43,14 +45,10 @@ def completions(spark, sf_dir):
     return tables.events(spark, sf_dir).select(job.alias("pipelineId"), date.alias("date"))
 
 
-def factory(spark, sf_dir):
-    hourly = monitoring.machine_status(tables.machine_readings(spark, sf_dir), ["par_day", "par_hour"])
-    return monitoring.factory_health(monitoring.latest_status(hourly, ["par_day"]), ["par_day"])
-
-
 def gated_models(spark, sf_dir):
     models = tables.models(spark, sf_dir)
-    share = lambda c: F.when(F.lower(c) == "nan", F.col(c)).otherwise((F.col(c).try_cast("int") / 100).cast("string"))
+    # shares of whole percents; a text that is no number stays as it is
+    share = lambda c: F.coalesce((F.col(c).try_cast("int") / 100).cast("string"), F.col(c))
     return features.quality_gate(
         models.select("run_no", "model_version", share("accuracy_pct").alias("accuracy"), share("loss_pct").alias("loss"), "weights_hash")
     )
@@ -109,16 +107,82 @@ def chain_status(spark, sf_dir):
 # ---- rules --------------------------------------------------------------
 
 
+#: Grouping sets of one reading of the events: files, machine hours, completions, transaction
+#: batches and weather batches.
+FACTS = {
+    "files": ["stream", "par_day", "par_hour", "file_no"],
+    "machines": ["machine_id", "par_day", "par_hour"],
+    "completions": ["pipelineId", "date"],
+    "batches": ["batch_id"],
+    "weather": ["period", "batch_no"],
+}
+
+
+def facts(spark, sf_dir, newest):
+    """What all sensors are made of, in one reading and one shuffle of the events. On days of
+    the newest day's parity all machines run calmly; transactions come in batches of two."""
+    evt = tables.events(spark, sf_dir)
+    keys = sorted({k for ks in FACTS.values() for k in ks})
+    event = F.col("event_type")
+    calm = F.dayofmonth("ts") % 2 == F.dayofmonth(newest) % 2
+    m = {c: F.col(c) for c in ("temperature", "vibration", "pressure")}
+    rows = tables.with_machine(evt).select(
+        tables.stream_of().alias("stream"), "par_day", "par_hour", F.floor(F.minute("ts") / 15).cast("int").alias("file_no"),
+        "machine_id", *[F.when(calm, F.lit(v)).otherwise(m[c]).alias(c) for c, v in (("temperature", 20.0), ("vibration", 10.0), ("pressure", 5.0))],
+        F.when(event.isin("view", "click"), "silver-seq-hour").when(event == "error", "bronze-cdr").otherwise("silver-cdr-hour").alias("pipelineId"),
+        F.when(F.col("k") == 0, F.date_format("ts", "yyyy-MM-dd")).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH")).alias("date"),
+        F.floor(F.col("event_id") / 2).cast("bigint").alias("batch_id"),
+        F.concat("par_day", F.lit("T"), "par_hour").alias("period"), F.floor(F.minute("ts") / 10).cast("int").alias("batch_no"),
+        (F.lit(0.6) + (F.col("k") % 41) / F.lit(100.0)).alias("quality"), "ts",
+    )
+    cube = rows.groupingSets([[F.col(k) for k in ks] for ks in FACTS.values()], *[F.col(k) for k in keys]).agg(
+        F.count(F.lit(1)).alias("n"), F.min("ts").alias("oldest"), F.max("ts").alias("newest"),
+        *[F.avg(c).alias(f"{c}_mean") for c in monitoring.MEASURES],
+        F.count_if(F.col("quality") >= VALID_QUALITY).alias("valid"), F.grouping_id().alias("kind"),
+    )
+    cube = stored(cube, "rule-facts")
+    bits = {k: 1 << (len(keys) - 1 - i) for i, k in enumerate(keys)}
+    return {name: cube.filter(F.col("kind") == sum(bits[k] for k in keys if k not in ks)) for name, ks in FACTS.items()}
+
+
+def run_sensors(spark, sf_dir, newest):
+    """Sensors of the data prep, training, evaluation and deployment of every model run."""
+    run = F.col("run_no")
+    ago = lambda hours: newest - F.make_dt_interval(hours=hours.cast("int"))
+    gate = gated_models(spark, sf_dir).drop("accuracy").withColumnRenamed("accuracy_value", "accuracy")
+    runs = gate.select(
+        run.cast("string").alias("period"), "passed", "accuracy", (run % 6 != 0).alias("prepared"), ((run % 9) * 100).alias("row_count"),
+        (F.col("weights_hash") != "").alias("trained"), (F.col("passed") & (run % 2 == 1)).alias("deployed"),
+        ago(run % 4).alias("written"), ago(run % 5).alias("prepared_at"), ago(run % 3).alias("trained_at"),
+    )
+    return sensor_rows(
+        runs,
+        ("ml-data-prep", "raw_features", "updated_at", "written"),
+        ("ml-data-prep", "data_prep_status", "complete", "prepared"),
+        ("ml-data-prep", "data_prep_status", "row_count", "row_count"),
+        ("ml-training", "data_prep_status", "complete", "prepared"),
+        ("ml-training", "data_prep_status", "updated_at", "prepared_at"),
+        ("ml-training", "training_status", "complete", "trained"),
+        ("ml-evaluation", "training_status", "complete", "trained"),
+        ("ml-evaluation", "training_status", "updated_at", "trained_at"),
+        ("ml-evaluation", "eval_status", "passed", "passed"),
+        ("ml-deployment", "eval_status", "passed", "passed"),
+        ("ml-deployment", "eval_status", "accuracy", "accuracy"),
+        ("ml-deployment", "eval_status", "updated_at", "written"),
+        ("ml-deployment", "deployment_status", "deployed", "deployed"),
+    )
+
+
 def sensor_rows(df, *fields):
-    """One pass over a table for all sensors it feeds: (job, sensor, field[, condition])."""
+    """One pass over a table for all sensors it feeds: (job, sensor, field, column[, condition])."""
     entries = []
-    for job, sensor, field, *condition in fields:
+    for job, sensor, field, column, *condition in fields:
         job = F.lit(job) if isinstance(job, str) else job
         if condition:
             job = F.when(condition[0], job)
         entries.append(
             F.struct(job.alias("job"), F.lit(sensor).alias("sensor"), F.lit(field).alias("field"),
-                     F.col(field).cast("string").alias("value"))
+                     F.col(column).cast("string").alias("value"))
         )
     return (
         df.select("period", F.explode(F.array(*entries)).alias("e"))
@@ -127,90 +191,139 @@ def sensor_rows(df, *fields):
     )
 
 
-def control_sensors(spark, sf_dir):
+def control_sensors(spark, sf_dir, newest):
     """Sensors of all jobs in long form; flags are the texts true and false."""
+    fact = facts(spark, sf_dir, newest)
+    files = fact["files"].select(*FACTS["files"], F.col("n").alias("records"), F.col("newest").alias("arrived_at"))
+    counters = completeness.hourly_counters(files)
     hour_key = ["stream", "par_day", "par_hour"]
-    hours = complete_hours(spark, sf_dir).drop("updated_at")
-    hours = hours.join(audit(spark, sf_dir).select(*hour_key, "match"), hour_key, "full")
+    audited = completeness.reconcile(
+        miscounted(counters), files.groupBy(*hour_key).agg(F.sum("records").alias("stored_count")))
+    hours = completeness.hourly_completeness(with_target(counters, "count")).drop("updated_at")
+    hours = hours.join(audited.select(*hour_key, "match"), hour_key, "full")
     hours = hours.withColumn("period", F.concat("par_day", F.lit("T"), "par_hour"))
-    health = factory(spark, sf_dir).withColumn("period", F.col("par_day"))
-    days = completeness.daily_completeness(completions(spark, sf_dir)).withColumn("period", F.col("par_day"))
-    lags = monitoring.batch_lag(tables.transactions(spark, sf_dir), ["batch_id"]).withColumn("period", F.col("batch_id").cast("string"))
-    batches = monitoring.weather_batches(tables.weather(spark, sf_dir))
-    weather = monitoring.weather_ready(batches)
-    gate = gated_models(spark, sf_dir).withColumn("period", F.col("run_no").cast("string"))
-    written = newest_ts(spark, sf_dir) - F.make_dt_interval(hours=(F.col("run_no") % 4).cast("int"))
-    gate = gate.drop("accuracy").withColumnRenamed("accuracy_value", "accuracy").withColumn("updated_at", written)
+    hourly = fact["machines"].select(
+        *FACTS["machines"], machine_health(*[f"{c}_mean" for c in monitoring.MEASURES]).alias("status"), F.col("newest").alias("updated_at"))
+    health = monitoring.factory_health(monitoring.latest_status(hourly, ["par_day"]), ["par_day"]).withColumn("period", F.col("par_day"))
+    days = completeness.daily_completeness(fact["completions"].select("pipelineId", "date")).withColumn("period", F.col("par_day"))
+    lags = fact["batches"].select(
+        F.col("batch_id").cast("string").alias("period"), monitoring.cob_complete("newest").alias("cob"),
+        F.floor((epoch_micros("newest") - epoch_micros("oldest")) / 1_000_000).cast("bigint").alias("lag"))
+    weather = monitoring.weather_ready(fact["weather"].select(
+        "period", "batch_no", F.col("n").alias("total"), "valid", F.col("newest").alias("arrived_at")))
     bronze, silver = F.concat(F.lit("bronze-"), "stream"), F.concat(F.lit("silver-"), "stream", F.lit("-hour"))
-
+    counted, compared = F.col("complete").isNotNull(), F.col("match").isNotNull()
     parts = [
         sensor_rows(
             hours,
-            (bronze, "hourly-status", "complete", F.col("complete").isNotNull()),
-            (bronze, "hourly-status", "pct_of_expected", F.col("complete").isNotNull()),
-            (silver, "hourly-status", "count", F.col("complete")),
-            (bronze, "audit-result", "match", F.col("match").isNotNull()),
-            (silver, "audit-result", "match", F.col("match").isNotNull()),
+            (bronze, "hourly-status", "complete", "complete", counted),
+            (bronze, "hourly-status", "pct_of_expected", "pct_of_expected", counted),
+            (silver, "hourly-status", "count", "count", F.col("complete")),
+            (bronze, "audit-result", "match", "match", compared),
+            (silver, "audit-result", "match", "match", compared),
         ),
         sensor_rows(
-            health, *[("iot-factory", "factory_health", f) for f in ("all_healthy", "healthy_count", "updated_at")]
+            health, *[("iot-factory", "factory_health", f, f) for f in ("all_healthy", "healthy_count", "updated_at")]
         ),
-        sensor_rows(days, (F.col("pipelineId"), "daily-status", "all_hours_complete")),
+        sensor_rows(days, (F.col("pipelineId"), "daily-status", "all_hours_complete", "all_hours_complete")),
         sensor_rows(
-            lags.withColumnRenamed("cob_complete", "complete"),
-            ("banking-streaming", "cob_status", "complete"),
-            ("banking-streaming", "consumer_lag", "lag_seconds"),
+            lags,
+            ("banking-streaming", "cob_status", "complete", "cob"),
+            ("banking-streaming", "consumer_lag", "lag_seconds", "lag"),
         ),
         sensor_rows(
             weather,
-            ("dryrun-weather", "weather-ready", "complete", F.col("complete")),
-            ("dryrun-weather", "weather-ready", "total_readings"),
-            ("dryrun-weather", "weather-audit", "total_readings"),
-        ),
-        sensor_rows(
-            gate,
-            ("ml-evaluation", "eval_status", "passed"),
-            *[("ml-deployment", "eval_status", f) for f in ("passed", "accuracy", "updated_at")],
+            ("dryrun-weather", "weather-ready", "complete", "complete", F.col("complete")),
+            ("dryrun-weather", "weather-ready", "total_readings", "total_readings"),
+            ("dryrun-weather", "weather-audit", "total_readings", "total_readings"),
         ),
+        run_sensors(spark, sf_dir, newest),
     ]
     return reduce(DataFrame.unionByName, parts)
 
 
+#: The rules once more, as the checking engine reads them: job, phase, sensor, check, field, number.
+_RULES_SQL = """
+    ('banking-streaming', 'trigger', 'cob_status', 'equals', 'complete', 1),
+    ('banking-streaming', 'validation', 'cob_status', 'equals', 'complete', 1),
+    ('banking-streaming', 'validation', 'consumer_lag', 'lte', 'lag_seconds', 300),
+    ('bronze-cdr', 'trigger', 'hourly-status', 'equals', 'complete', 1),
+    ('bronze-cdr', 'validation', 'hourly-status', 'equals', 'complete', 1),
+    ('bronze-cdr', 'validation', 'hourly-status', 'gte', 'pct_of_expected', 0.7),
+    ('bronze-cdr', 'postRun', 'audit-result', 'equals', 'match', 1),
+    ('bronze-seq', 'trigger', 'hourly-status', 'equals', 'complete', 1),
+    ('bronze-seq', 'validation', 'hourly-status', 'equals', 'complete', 1),
+    ('bronze-seq', 'validation', 'hourly-status', 'gte', 'pct_of_expected', 0.7),
+    ('bronze-seq', 'postRun', 'audit-result', 'equals', 'match', 1),
+    ('dryrun-weather', 'trigger', 'weather-ready', 'equals', 'complete', 1),
+    ('dryrun-weather', 'validation', 'weather-ready', 'equals', 'complete', 1),
+    ('dryrun-weather', 'validation', 'weather-ready', 'gte', 'total_readings', 12),
+    ('dryrun-weather', 'postRun', 'weather-audit', 'gte', 'total_readings', 1),
+    ('iot-factory', 'trigger', 'factory_health', 'equals', 'all_healthy', 1),
+    ('iot-factory', 'validation', 'factory_health', 'equals', 'all_healthy', 1),
+    ('iot-factory', 'validation', 'factory_health', 'gte', 'healthy_count', 10),
+    ('iot-factory', 'validation', 'factory_health', 'age_lt', 'updated_at', 300),
+    ('ml-data-prep', 'validation', 'raw_features', 'age_lt', 'updated_at', 7200),
+    ('ml-data-prep', 'postRun', 'data_prep_status', 'equals', 'complete', 1),
+    ('ml-data-prep', 'postRun', 'data_prep_status', 'gte', 'row_count', 1),
+    ('ml-training', 'trigger', 'data_prep_status', 'equals', 'complete', 1),
+    ('ml-training', 'validation', 'data_prep_status', 'equals', 'complete', 1),
+    ('ml-training', 'validation', 'data_prep_status', 'age_lt', 'updated_at', 7200),
+    ('ml-training', 'postRun', 'training_status', 'equals', 'complete', 1),
+    ('ml-evaluation', 'trigger', 'training_status', 'equals', 'complete', 1),
+    ('ml-evaluation', 'validation', 'training_status', 'equals', 'complete', 1),
+    ('ml-evaluation', 'validation', 'training_status', 'age_lt', 'updated_at', 7200),
+    ('ml-evaluation', 'postRun', 'eval_status', 'equals', 'passed', 1),
+    ('ml-deployment', 'trigger', 'eval_status', 'equals', 'passed', 1),
+    ('ml-deployment', 'validation', 'eval_status', 'equals', 'passed', 1),
+    ('ml-deployment', 'validation', 'eval_status', 'gte', 'accuracy', 0.95),
+    ('ml-deployment', 'validation', 'eval_status', 'age_lt', 'updated_at', 7200),
+    ('ml-deployment', 'postRun', 'deployment_status', 'equals', 'deployed', 1),
+    ('silver-cdr-hour', 'trigger', 'audit-result', 'equals', 'match', 1),
+    ('silver-cdr-hour', 'validation', 'audit-result', 'equals', 'match', 1),
+    ('silver-cdr-hour', 'postRun', 'hourly-status', 'gte', 'count', 1),
+    ('silver-seq-hour', 'trigger', 'audit-result', 'equals', 'match', 1),
+    ('silver-seq-hour', 'validation', 'audit-result', 'equals', 'match', 1),
+    ('silver-seq-hour', 'postRun', 'hourly-status', 'gte', 'count', 1),
+    ('silver-cdr-day', 'trigger', 'daily-status', 'equals', 'all_hours_complete', 1),
+    ('silver-cdr-day', 'validation', 'daily-status', 'equals', 'all_hours_complete', 1),
+    ('silver-cdr-day', 'postRun', 'daily-status', 'equals', 'all_hours_complete', 1),
+    ('silver-seq-day', 'trigger', 'daily-status', 'equals', 'all_hours_complete', 1),
+    ('silver-seq-day', 'validation', 'daily-status', 'equals', 'all_hours_complete', 1),
+    ('silver-seq-day', 'postRun', 'daily-status', 'equals', 'all_hours_complete', 1)"""
+
+
 def _rules_sql(phase: str) -> str:
-    listed = ", ".join(
-        f"({i}, '{job}', '{sensor}', '{check}', '{field}', "
-        f"{seconds_of(value) if check == 'age_lt' else 1 if value == 'true' else value})"
-        for i, (job, ph, sensor, check, field, value) in enumerate(RULES)
-        if ph == phase
-    )
+    held = """chk = 'equals' AND num = val OR chk = 'gte' AND num >= val OR chk = 'lte' AND num <= val
+                               OR chk = 'age_lt' AND epoch_us((SELECT max(ts) FROM events)) - epoch_us(written) < val * 1000000"""
     return f"""
-    , r(rule_no, job, sensor, chk, field, val) AS (VALUES {listed})
-    SELECT s.job, s.period,
-           count(DISTINCT CASE WHEN chk = 'equals' AND num = val OR chk = 'gte' AND num >= val OR chk = 'lte' AND num <= val
-                               OR chk = 'age_lt' AND epoch_us((SELECT max(ts) FROM events)) - epoch_us(written) < val * 1000000
-                               THEN rule_no END) AS passed_rules,
-           any_value(n) AS total_rules,
-           count(DISTINCT CASE WHEN chk = 'equals' AND num = val OR chk = 'gte' AND num >= val OR chk = 'lte' AND num <= val
-                               OR chk = 'age_lt' AND epoch_us((SELECT max(ts) FROM events)) - epoch_us(written) < val * 1000000
-                               THEN rule_no END) = any_value(n) AS passed
+    , every(job, phase, sensor, chk, field, val) AS (VALUES {_RULES_SQL}),
+    r AS (SELECT *, row_number() OVER () AS rule_no FROM every WHERE phase = '{phase}')
+    SELECT s.job, s.period, count(DISTINCT CASE WHEN {held} THEN rule_no END) AS passed_rules, any_value(n) AS total_rules,
+           count(DISTINCT CASE WHEN {held} THEN rule_no END) = any_value(n) AS passed
     FROM v_sensors s JOIN (SELECT job, count(*) AS n FROM r GROUP BY job) t USING (job)
     LEFT JOIN r ON r.job = s.job AND r.sensor = s.sensor AND r.field = s.field
     GROUP BY s.job, s.period"""
 
 
+def evaluated(spark, sf_dir, phase):
+    newest = newest_ts(spark, sf_dir)
+    return rules.evaluate(control_sensors(spark, sf_dir, newest), phase, newest)
+
+
 @query(_rules_sql("validation"))
 def rule_eval(spark, sf_dir):
-    return rules.evaluate(control_sensors(spark, sf_dir), "validation", newest_ts(spark, sf_dir))
+    return evaluated(spark, sf_dir, "validation")
 
 
 @query(_rules_sql("trigger"))
 def trigger_ready(spark, sf_dir):
-    return rules.evaluate(control_sensors(spark, sf_dir), "trigger", newest_ts(spark, sf_dir))
+    return evaluated(spark, sf_dir, "trigger")
 
 
 @query(_rules_sql("postRun"))
 def post_run_eval(spark, sf_dir):
-    return rules.evaluate(control_sensors(spark, sf_dir), "postRun", newest_ts(spark, sf_dir))
+    return evaluated(spark, sf_dir, "postRun")
 
 
 def job_runs(spark, sf_dir):

@@ -44,6 +44,39 @@ def iot_hour_summary(spark, sf_dir):
     return monitoring.factory_hours(gappy, hours, ["par_day", "par_hour"], digits=9)
 
 
+@query("""
+    SELECT machine_id, strftime(updated_at, '%Y-%m-%d %H:%M:%S') AS timestamp, temperature, vibration, pressure FROM v_iot""")
+def src_machine_jsonl(spark, sf_dir):
+    """Readings through JSON lines and back."""
+    path = scratch_path(spark, "machine-lines")
+    at = F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss").alias("timestamp")
+    tables.machine_readings(spark, sf_dir).select("machine_id", at, *monitoring.MEASURES).write.json(path)
+    return feeds.machine_readings(spark, path).drop("environment")
+
+
+@query("""
+    SELECT station_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS timestamp, round(quality, 6) AS quality FROM v_wx""")
+def src_weather_array(spark, sf_dir):
+    """Readings through files that each hold one JSON array, as the feed delivers an hour."""
+    path = scratch_path(spark, "weather-arrays")
+    item = F.struct("station_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"), F.round("quality", 6).alias("quality"))
+    hours = tables.weather(spark, sf_dir).groupBy("period").agg(F.collect_list(item).alias("items"))
+    hours.select(F.to_json("items").alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    return feeds.weather_arrays(spark, path).select("station_id", "timestamp", "quality")
+
+
+@query("""
+    SELECT model_version, CAST(s_suppkey % 20 AS VARCHAR) AS loss, coalesce(md5(s_name), '') AS weights_hash
+    FROM supplier JOIN v_model ON s_suppkey = run_no""")
+def src_model_artifacts(spark, sf_dir):
+    """Artifacts through JSON and back; metrics stay text."""
+    path = scratch_path(spark, "artifacts")
+    suppliers = tables.table(spark, sf_dir, "supplier")
+    key = F.col("s_suppkey")
+    suppliers.select(F.concat(F.lit("v1.0."), key).alias("model_version"), (key % 20).alias("loss"), F.md5("s_name").alias("weights_hash")).write.json(path)
+    return feeds.model_artifacts(spark, path).select("model_version", "loss", "weights_hash")
+
+
 # ---- transactions -------------------------------------------------------
 
 
@@ -147,8 +180,10 @@ def ml_quality_gate(spark, sf_dir):
            arg_max(accuracy_value, run_no) AS accuracy, max(run_no) AS run_no
     FROM v_gate WHERE passed GROUP BY 1""")
 def ml_promote(spark, sf_dir):
-    """A run every hour."""
-    return features.promote(gated_models(spark, sf_dir), F.floor(F.col("run_no") / 24).cast("bigint"))
+    """A run every hour; the day's last good model goes into the stored production table."""
+    path = scratch_path(spark, "production")
+    stored = features.deploy(gated_models(spark, sf_dir), F.floor(F.col("run_no") / 24).cast("bigint"), path)
+    return stored.withColumn("par_day", F.col("par_day").cast("bigint"))
 
 
 @query()

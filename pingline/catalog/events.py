@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pingline.catalog.registry import query
 from pingline.functions.columns import severity
 from pingline.operators import eventlog, monitoring
-from pingline.sources import tables
+from pingline.session import scratch_path
+from pingline.sources import eventstore, tables
 
 TYPES = ["JOB_COMPLETED", "JOB_FAILED", "JOB_TRIGGERED", "SLA_BREACH", "SLA_MET", "SLA_WARNING"]
 _DAY_AGO = "(SELECT max(timestamp) - 86400000 FROM v_log)"
+_WEEK_AGO = "(SELECT max(timestamp) - 604800000 FROM v_log)"
+WEEK_MS = 7 * eventlog.ONE_DAY_MS
 
 
 def log(spark, sf_dir):
@@ -49,14 +49,7 @@ def event_severity(spark, sf_dir):
     SELECT feed, event_id, pipelineId, eventType, timestamp FROM feeds
     QUALIFY row_number() OVER (PARTITION BY feed ORDER BY timestamp DESC, event_id DESC) <= 50""")
 def event_feed_top50(spark, sf_dir):
-    events = log(spark, sf_dir)
-    feeds = [
-        eventlog.newest(events.filter(eventlog.feed_filter(name))).select(
-            F.lit(name).alias("feed"), "event_id", "pipelineId", "eventType", "timestamp"
-        )
-        for name in ("all", "failures", "sla")
-    ]
-    return reduce(DataFrame.unionByName, feeds)
+    return eventlog.feeds(log(spark, sf_dir), ["all", "failures", "sla"]).select("feed", "event_id", "pipelineId", "eventType", "timestamp")
 
 
 @query(f"""
@@ -71,33 +64,77 @@ def event_range(spark, sf_dir):
     events = log(spark, sf_dir)
     end = newest_ms(events)
     start = end - eventlog.ONE_DAY_MS
-    modes = {"source": {"source": "bronze-cdr"}, "type": {"event_type": "SLA_BREACH"}, "time": {}}
-    parts = [
-        eventlog.between(events, start, end, **how).select(F.lit(mode).alias("mode"), "event_id", "timestamp")
-        for mode, how in modes.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    # one reading serves all three: what any of them wants, then a tag for each that does
+    wanted = {
+        "source": eventlog.wanted(start, end, source="bronze-cdr"), "type": eventlog.wanted(start, end, event_type="SLA_BREACH"),
+        "time": eventlog.wanted(start, end),
+    }
+    tags = F.array_compact(F.array(*[F.when(test, F.lit(mode)) for mode, test in wanted.items()]))
+    return eventlog.between(events, start, end).select(F.explode(tags).alias("mode"), "event_id", "timestamp")
+
+
+def event_store(spark, sf_dir):
+    """The log in its store: a folder per day, sorted by source."""
+    path = scratch_path(spark, "event-log")
+    eventstore.write_log(log(spark, sf_dir), path)
+    return path
+
+
+def newest_date(events):
+    return events.select(F.max("date")).first()[0]
+
+
+_ROW = "event_id, pipelineId, eventType, timestamp, message"
+
+
+@query(f"SELECT {_ROW} FROM v_log WHERE pipelineId = 'silver-cdr-day' AND timestamp >= {_DAY_AGO} AND timestamp < (SELECT max(timestamp) FROM v_log)")
+def event_store_recent(spark, sf_dir):
+    """The last 24 hours of one source, from the folders of two days."""
+    end = newest_ms(log(spark, sf_dir))
+    return eventstore.read_range(spark, event_store(spark, sf_dir), end - eventlog.ONE_DAY_MS, end, source="silver-cdr-day").select(*_ROW.split(", "))
+
+
+@query(f"SELECT {_ROW} FROM v_log WHERE eventType = 'SLA_BREACH' AND date = (SELECT max(date) FROM v_log)")
+def event_store_day(spark, sf_dir):
+    """One day's events of a type, from its folder."""
+    start, end = eventlog.range_of(newest_date(log(spark, sf_dir)))
+    return eventstore.read_range(spark, event_store(spark, sf_dir), start, end - 1, event_type="SLA_BREACH").select(*_ROW.split(", "))
+
+
+@query(f"SELECT {_ROW} FROM v_log WHERE hour = 0 AND date = (SELECT max(date) FROM v_log)")
+def event_store_hour(spark, sf_dir):
+    """One hour of one day."""
+    start, end = eventlog.range_of(newest_date(log(spark, sf_dir)), "00")
+    return eventstore.read_range(spark, event_store(spark, sf_dir), start, end - 1).select(*_ROW.split(", "))
 
 
 @query("""
     SELECT pipelineId, count(*) AS events, arg_max(eventType, timestamp * 1000000000 + event_id) AS last_type,
            CAST(max(timestamp) AS BIGINT) AS last_timestamp, arg_max(message, timestamp * 1000000000 + event_id) AS last_message
-    FROM (SELECT pipelineId, eventType, message, CAST(timestamp AS HUGEINT) AS timestamp, event_id FROM v_log) GROUP BY 1""")
+    FROM (SELECT pipelineId, eventType, message, CAST(timestamp AS HUGEINT) AS timestamp, event_id FROM v_log
+          WHERE timestamp >= """ + _DAY_AGO + """) GROUP BY 1""")
 def event_overview(spark, sf_dir):
-    return eventlog.overview(log(spark, sf_dir), F.lit(0))
+    """The last 24 hours."""
+    events = log(spark, sf_dir)
+    return eventlog.overview(events, F.lit(newest_ms(events) - eventlog.ONE_DAY_MS))
 
 
-@query("SELECT pipelineId, eventType, count(*) AS n FROM v_log GROUP BY ALL")
+@query(f"SELECT pipelineId, eventType, count(*) AS n FROM v_log WHERE timestamp >= {_WEEK_AGO} GROUP BY ALL")
 def event_type_breakdown(spark, sf_dir):
-    return eventlog.type_breakdown(log(spark, sf_dir), F.lit(0))
+    """The last week."""
+    events = log(spark, sf_dir)
+    return eventlog.type_breakdown(events, F.lit(newest_ms(events) - WEEK_MS))
 
 
-@query("""
+@query(f"""
+    , recent AS (SELECT * FROM v_log WHERE timestamp >= {_WEEK_AGO})
     SELECT p.pipelineId, CAST(h.range AS INT) AS hour, count(l.event_id) AS n
-    FROM (SELECT DISTINCT pipelineId FROM v_log) p CROSS JOIN range(24) h
-    LEFT JOIN v_log l ON l.pipelineId = p.pipelineId AND l.hour = h.range GROUP BY ALL""")
+    FROM (SELECT DISTINCT pipelineId FROM recent) p CROSS JOIN range(24) h
+    LEFT JOIN recent l ON l.pipelineId = p.pipelineId AND l.hour = h.range GROUP BY ALL""")
 def event_hourly_hist(spark, sf_dir):
-    return eventlog.hourly_histogram(log(spark, sf_dir), F.lit(0))
+    """The last week."""
+    events = log(spark, sf_dir)
+    return eventlog.hourly_histogram(events, F.lit(newest_ms(events) - WEEK_MS))
 
 
 @query("SELECT event_id, pipelineId, eventType, timestamp, message, date, scheduleId, hour FROM v_log")
@@ -110,27 +147,38 @@ def event_type_counts(spark, sf_dir):
     return eventlog.type_counts(log(spark, sf_dir))
 
 
-_PIVOT = ", ".join(f"count_if(eventType = '{t}') AS {t}" for t in TYPES)
+def rare_types(spark, sf_dir):
+    """Some events are of types that no list of this module names."""
+    rare = F.when(F.col("event_id") % 11 == 0, "INFRA_FAILURE").when(F.col("event_id") % 13 == 0, "DATA_DRIFT")
+    return log(spark, sf_dir).withColumn("eventType", F.coalesce(rare, "eventType"))
+
 
+_RARE = """, rare AS (SELECT date, pipelineId, CASE WHEN event_id % 11 = 0 THEN 'INFRA_FAILURE' WHEN event_id % 13 = 0 THEN 'DATA_DRIFT' ELSE eventType END AS eventType FROM v_log)"""
 
-@query(f"SELECT date, {_PIVOT} FROM v_log GROUP BY date")
+
+@query(f"{_RARE} PIVOT rare ON eventType USING count(*) GROUP BY date")
 def event_pivot_date(spark, sf_dir):
-    return eventlog.pivot_types(log(spark, sf_dir), "date", TYPES)
+    """A column for every type the log holds."""
+    return eventlog.pivot_types(rare_types(spark, sf_dir), "date")
 
 
-@query(f"SELECT pipelineId, {_PIVOT} FROM v_log GROUP BY pipelineId")
+@query(f"{_RARE} PIVOT rare ON eventType USING count(*) GROUP BY pipelineId")
 def event_pivot_source(spark, sf_dir):
-    return eventlog.pivot_types(log(spark, sf_dir), "pipelineId", TYPES)
+    return eventlog.pivot_types(rare_types(spark, sf_dir), "pipelineId")
 
 
-@query("""
-    SELECT 'total' AS measure, '' AS item, count(*) AS n FROM v_log
-    UNION ALL SELECT 'type', eventType, count(*) FROM v_log GROUP BY 2
-    UNION ALL SELECT 'source', pipelineId, count(*) FROM v_log GROUP BY 2
-    UNION ALL SELECT 'hour', strftime(time, '%Y-%m-%dT%H'), count(*) FROM v_log GROUP BY 2
-    UNION ALL SELECT 'sla', t, count_if(eventType = t) FROM v_log, (VALUES ('SLA_MET'), ('SLA_WARNING'), ('SLA_BREACH')) s(t) GROUP BY t""")
+@query(f"""
+    , week AS (SELECT * FROM v_log WHERE timestamp >= {_WEEK_AGO})
+    SELECT 'total' AS measure, '' AS item, count(*) AS n FROM week
+    UNION ALL SELECT 'type', eventType, count(*) FROM week GROUP BY 2
+    UNION ALL SELECT 'source', pipelineId, count(*) FROM week GROUP BY 2
+    UNION ALL SELECT 'hour', strftime(time, '%Y-%m-%dT%H'), count(*) FROM week GROUP BY 2
+    UNION ALL SELECT 'sla', t, count_if(eventType = t) FROM week, (VALUES ('SLA_MET'), ('SLA_WARNING'), ('SLA_BREACH')) s(t) GROUP BY t""")
 def event_metrics(spark, sf_dir):
-    return eventlog.metrics(log(spark, sf_dir), F.lit(0), F.lit(2**62))
+    """The last week."""
+    events = log(spark, sf_dir)
+    end = newest_ms(events)
+    return eventlog.metrics(events, F.lit(end - WEEK_MS), F.lit(end))
 
 
 @query("""
@@ -221,7 +269,45 @@ def sensor_flatten(spark, sf_dir):
            || ', batches_received=' || batches_received || CASE WHEN l.period IS NULL THEN '' ELSE ', complete=true' END
     FROM v_wx_ready LEFT JOIN (SELECT period FROM v_wx_latch) l USING (period)""")
 def event_sensor_timeline(spark, sf_dir):
+    return eventlog.merged_timeline(log(spark, sf_dir), weather_snapshots(spark, sf_dir))
+
+
+def weather_snapshots(spark, sf_dir):
     state = monitoring.weather_ready(monitoring.weather_batches(tables.weather(spark, sf_dir)))
     snapshots = state.withColumn("sensor", F.lit("weather-ready")).withColumn("complete", F.when(F.col("complete"), True))
-    snapshots = snapshots.withColumn("period", F.to_timestamp_ntz("period", F.lit("yyyyMMdd'T'HH")))
-    return eventlog.merged_timeline(log(spark, sf_dir), snapshots)
+    return snapshots.withColumn("period", F.to_timestamp_ntz("period", F.lit("yyyyMMdd'T'HH")))
+
+
+@query("""
+    SELECT * FROM (SELECT time AS "at", 'event' AS origin, eventType, message FROM v_log WHERE pipelineId = 'bronze-cdr'
+                   ORDER BY timestamp DESC, event_id DESC LIMIT 200)
+    UNION ALL
+    SELECT updated_at, 'sensor', 'weather-ready',
+           'weather-ready [' || substr(period, 1, 4) || '-' || substr(period, 5, 2) || '-' || substr(period, 7, 5)
+           || ']: total_readings=' || total_readings || ', valid_readings=' || valid_readings
+           || ', batches_received=' || batches_received || CASE WHEN l.period IS NULL THEN '' ELSE ', complete=true' END
+    FROM v_wx_ready LEFT JOIN (SELECT period FROM v_wx_latch) l USING (period) WHERE CAST(substr(period, 10, 2) AS INT) % 2 = 0""")
+def event_source_timeline(spark, sf_dir):
+    """One pipeline's newest 200 events with its sensors; every other sensor keeps its time
+    in a nested map only, and those of odd hours belong to another pipeline."""
+    snapshots = weather_snapshots(spark, sf_dir)
+    hour = F.hour("period")
+    inner = F.create_map(F.lit("baseline"), F.create_map(F.lit("updatedAt"), F.col("updated_at").cast("string")))
+    snapshots = snapshots.select(
+        F.when(hour % 2 == 0, "bronze-cdr").otherwise("bronze-seq").alias("pipeline_id"), "sensor", "period", "total_readings",
+        "valid_readings", "batches_received", "complete", F.when(hour % 4 != 0, F.col("updated_at")).alias("updated_at"), inner.alias("nested"),
+    )
+    return eventlog.merged_timeline(log(spark, sf_dir), snapshots, "bronze-cdr", 200)
+
+
+@query("""
+    SELECT sensor, period, field, CAST(v AS VARCHAR) AS value FROM (
+        SELECT 'weather-ready' AS sensor, strptime(replace(period, 'T', ''), '%Y%m%d%H') AS period, total_readings, valid_readings, batches_received,
+               total_readings AS "weather-audit.total_readings" FROM v_wx_ready WHERE CAST(substr(period, 10, 2) AS INT) % 2 = 0)
+    UNPIVOT (v FOR field IN (total_readings, valid_readings, batches_received, "weather-audit.total_readings"))""")
+def sensor_by_source(spark, sf_dir):
+    """The sensors of one of two pipelines."""
+    items = weather_items(spark, sf_dir)
+    even = F.split("sk", "T")[1].cast("int") % 2 == 0
+    items = items.withColumn("pipeline_id", F.when(even, "dryrun-weather").otherwise("other"))
+    return eventlog.sensors_of(items, "dryrun-weather").drop("pipeline_id")

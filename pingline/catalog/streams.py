@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from pingline.catalog.detectors import period_end
 from pingline.catalog.ingest import GLOB, SALT, raw_folder
 from pingline.catalog.registry import query
-from pingline.functions.columns import machine_health, par_day
+from pingline.functions.columns import epoch_micros
+from pingline.operators import monitoring
 from pingline.session import scratch_path
-from pingline.sources import tables
+from pingline.sources import feeds, tables
 from pingline.streaming import jobs
 
 
@@ -25,55 +26,95 @@ def keyed_events(spark, sf_dir):
 @query("""
     SELECT phone_hash_out, phone_hash_in, cell_tower, date_trunc('second', time) AS time, par_day, par_hour FROM v_bcdr""")
 def stream_bronze(spark, sf_dir):
-    folder = raw_folder(spark, tables.calls(spark, sf_dir).drop("par_day", "par_hour"), "cdr")
-    out, checkpoint = paths(spark, "stream-bronze")
-    raw = jobs.raw_stream(spark, folder, "cdr", GLOB, files=500)
-    jobs.bronze_ingest(raw, tables.phone_dimension(spark, sf_dir), SALT, out, checkpoint)
+    out = _ingested(spark, sf_dir, "cdr", tables.calls, 300)
     return jobs.read_batches(spark, f"{out}/bronze").drop("batch")
 
 
-@query("SELECT par_day, par_hour, count(*) AS records, max(ts) AS updated_at FROM v_evt GROUP BY ALL")
+@query("""
+    SELECT phone_hash, cell_tower, host_name, site_name, date_trunc('second', time) AS time, par_day, par_hour FROM v_bseq""")
+def stream_bronze_seq(spark, sf_dir):
+    out = _ingested(spark, sf_dir, "seq", tables.browses, 1000)
+    return jobs.read_batches(spark, f"{out}/bronze").drop("batch")
+
+
+@query("""
+    SELECT phone, sha256('salt' || phone) AS hash
+    FROM (SELECT phone_out AS phone FROM v_cdr UNION SELECT phone_in FROM v_cdr) ANTI JOIN v_dim USING (phone)""")
+def stream_new_phones(spark, sf_dir):
+    """What the ingest of calls inserts into the dimension."""
+    return jobs.inserted_phones(spark, _ingested(spark, sf_dir, "cdr", tables.calls, 1000)).drop("created_at")
+
+
+def _ingested(spark, sf_dir, stream, pings, files):
+    folder = raw_folder(spark, pings(spark, sf_dir).drop("par_day", "par_hour"), stream)
+    out, checkpoint = paths(spark, f"stream-bronze-{stream}")
+    raw = jobs.raw_stream(spark, folder, stream, GLOB, files=files)
+    jobs.bronze_ingest(raw, tables.phone_dimension(spark, sf_dir), SALT, out, checkpoint, stream)
+    return out
+
+
+def delivered(spark, sf_dir):
+    """The event stream with its stream and quarter-hour file."""
+    file_no = F.floor(F.minute("ts") / 15).cast("int")
+    return jobs.event_stream(spark, sf_dir).select(tables.stream_of().alias("stream"), file_no.alias("file_no"), "ts")
+
+
+@query("""
+    SELECT stream, par_day, par_hour, CAST(sum(records) AS BIGINT) AS records, count(*) AS files, max(arrived_at) AS updated_at
+    FROM v_files GROUP BY ALL""")
 def stream_hourly_counts(spark, sf_dir):
     out, checkpoint = paths(spark, "stream-hours")
-    jobs.run_available(jobs.hourly_counts(jobs.event_stream(spark, sf_dir)), jobs.batch_writer(out), checkpoint, "update")
-    return jobs.latest_per_key(jobs.read_batches(spark, out), ["par_day", "par_hour"])
+    jobs.run_available(jobs.hourly_counts(delivered(spark, sf_dir)), jobs.batch_writer(out), checkpoint, "update")
+    return jobs.latest_per_key(jobs.read_batches(spark, out), ["stream", "par_day", "par_hour"])
 
 
-@query("SELECT par_day, string_agg(DISTINCT par_hour, ',' ORDER BY par_hour) AS hours FROM v_evt GROUP BY ALL")
+@query("SELECT * FROM v_daily")
 def stream_daily_hours(spark, sf_dir):
+    event = F.col("event_type")
+    job = F.when(event.isin("view", "click"), "silver-seq-hour").when(event == "error", "bronze-cdr").otherwise("silver-cdr-hour")
+    date = F.when(F.col("k") == 0, F.date_format("ts", "yyyy-MM-dd")).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH"))
+    done = keyed_events(spark, sf_dir).select(job.alias("pipelineId"), date.alias("date"), "ts")
     out, checkpoint = paths(spark, "stream-days")
-    jobs.run_available(jobs.daily_hours(jobs.event_stream(spark, sf_dir)), jobs.batch_writer(out), checkpoint, "update")
-    days = jobs.latest_per_key(jobs.read_batches(spark, out), ["par_day"])
-    return days.withColumn("hours", F.array_join("hours", ","))
+    jobs.run_available(jobs.daily_hours(done), jobs.batch_writer(out), checkpoint, "update")
+    days = jobs.latest_per_key(jobs.read_batches(spark, out), ["pipelineId", "par_day"])
+    return days.withColumn("completed_hours", F.array_join("completed_hours", ","))
 
 
-@query("SELECT par_day, count(*) AS transactions, min(ts) AS oldest, (epoch_us(max(ts)) - epoch_us(min(ts))) // 1000000 AS lag_seconds FROM v_evt GROUP BY 1")
+@query("""
+    SELECT par_day, count(*) AS transactions, min(ts) AS oldest, (epoch_us(max(ts)) - epoch_us(min(ts))) // 1000000 AS lag_seconds,
+           hour(max(ts)) > 17 AS cob_complete FROM v_evt GROUP BY 1""")
 def stream_bank_lag(spark, sf_dir):
-    """Summaries of the micro-batches, folded into days."""
+    """JSON payloads on a stream, summed up per micro-batch; the summaries folded into days."""
+    body = F.struct(F.col("event_id").alias("transaction_id"), F.col("event_type").alias("type"), F.col("value").alias("amount"),
+                    F.col("ts").cast("string").alias("timestamp"))
+    parsed = feeds.parse_transactions(jobs.event_stream(spark, sf_dir).select(F.to_json(body).alias("payload")))
     out, checkpoint = paths(spark, "stream-bank")
-    jobs.transaction_batches(jobs.event_stream(spark, sf_dir), out, checkpoint)
+    jobs.transaction_batches(parsed, out, checkpoint)
     days = jobs.read_batches(spark, out).groupBy("par_day").agg(
-        F.sum("transactions").alias("transactions"), F.min("oldest").alias("oldest"), F.max("newest").alias("newest")
+        F.sum("transactions").alias("transactions"), F.min("oldest").alias("oldest"), F.max("processed_at").alias("newest")
     )
-    lag = F.floor((F.unix_micros("newest") - F.unix_micros("oldest")) / 1_000_000).cast("bigint")
-    return days.select("par_day", "transactions", "oldest", lag.alias("lag_seconds"))
+    lag = F.floor((epoch_micros("newest") - epoch_micros("oldest")) / 1_000_000).cast("bigint")
+    return days.select("par_day", "transactions", "oldest", lag.alias("lag_seconds"), monitoring.cob_complete("newest").alias("cob_complete"))
 
 
 @query("SELECT * FROM v_wx_latch")
 def stream_latch(spark, sf_dir):
     out, checkpoint = paths(spark, "stream-latch")
-    jobs.latch(tables.weather_of(keyed_events(spark, sf_dir)), out, checkpoint)
-    return jobs.read_batches(spark, f"{out}/latched").drop("batch")
+    jobs.run_available(jobs.weather_counts(tables.weather_of(keyed_events(spark, sf_dir))), jobs.batch_writer(out), checkpoint, "update")
+    return monitoring.weather_latch(jobs.latest_per_key(jobs.read_batches(spark, out), ["period", "batch_no"]))
 
 
 @query("""
-    SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS window_start, count(*) AS records FROM events GROUP BY 1
-    HAVING time_bucket(INTERVAL 15 MINUTE, ts) + INTERVAL 15 MINUTE <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""")
+    SELECT stream, window_start, records, CAST(round_even(CASE stream WHEN 'cdr' THEN 100000000 ELSE 500000000 END * weight
+                                                          / (SELECT sum(weight) FROM v_weights), 0) AS BIGINT) AS expected
+    FROM (SELECT stream, time_bucket(INTERVAL 15 MINUTE, ts) AS window_start, count(*) AS records FROM v_deliv GROUP BY ALL)
+    JOIN v_weights ON window_no = hour(window_start) * 4 + minute(window_start) // 15
+    WHERE window_start + INTERVAL 15 MINUTE <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""")
 def stream_window_volume(spark, sf_dir):
-    """Windows the watermark has closed."""
+    """Windows the watermark has closed, beside the volume expected of them."""
     out, checkpoint = paths(spark, "stream-windows")
-    jobs.append_available(jobs.window_volume(jobs.event_stream(spark, sf_dir)), out, checkpoint)
-    return spark.read.parquet(out)
+    jobs.append_available(jobs.window_volume(delivered(spark, sf_dir)), out, checkpoint)
+    return jobs.with_expected(spark.read.parquet(out))
 
 
 @query("""
@@ -96,19 +137,10 @@ def stream_dedup(spark, sf_dir):
     return spark.read.parquet(out)
 
 
-@query("""
-    , s AS (SELECT machine_id, par_day, arg_max(derived_status, epoch_us(updated_at)::HUGEINT * 1000000000 + event_id) AS status,
-                   max(updated_at) AS updated_at FROM v_iot_class GROUP BY ALL)
-    SELECT par_day, count_if(coalesce(status, '') = 'healthy') AS healthy_count, 10 AS total, max(updated_at) AS updated_at,
-           count_if(coalesce(status, '') = 'healthy') = 10 AS all_healthy
-    FROM (SELECT DISTINCT par_day FROM s) CROSS JOIN v_roster LEFT JOIN s USING (machine_id, par_day) GROUP BY par_day""")
+@query("SELECT * FROM v_factory")
 def stream_factory_health(spark, sf_dir):
-    evt = keyed_events(spark, sf_dir)
-    readings = evt.select(
-        F.concat(F.lit("machine_"), F.lpad((F.col("user_id") % 11 + 1).cast("string"), 2, "0")).alias("machine_id"),
-        F.col("ts").alias("updated_at"), par_day("ts").alias("par_day"), "event_id",
-        machine_health(20 + F.col("value") % 60, (F.col("value") * 7) % 100, 1 + (F.col("event_id") % 90) / F.lit(10.0)).alias("status"),
-    )
     out, checkpoint = paths(spark, "stream-factory")
-    jobs.factory_health(readings, out, checkpoint)
-    return jobs.last_batch(spark, f"{out}/health")
+    readings = tables.machine_readings_of(keyed_events(spark, sf_dir))
+    jobs.run_available(jobs.machine_hours(readings), jobs.batch_writer(out), checkpoint, "update")
+    hours = jobs.latest_per_key(jobs.read_batches(spark, out), ["machine_id", "par_day", "par_hour"])
+    return monitoring.factory_health(monitoring.latest_status(hours, ["par_day"]), ["par_day"])

@@ -140,11 +140,11 @@ VIEWS = {
                count(*) AS batches_received, max(arrived_at) AS updated_at FROM v_wx_batch GROUP BY period""",
     "v_wx_run": """
         SELECT *, sum(total) OVER w AS total_then, sum(valid) OVER w AS valid_then FROM v_wx_batch
-        WINDOW w AS (PARTITION BY period ORDER BY batch_no)""",
+        WINDOW w AS (PARTITION BY period ORDER BY arrived_at, batch_no ROWS UNBOUNDED PRECEDING)""",
     "v_wx_latch": """
-        SELECT period, min(batch_no) AS batch_no, min(arrived_at) AS latched_at,
-               CAST(min(total_then) AS BIGINT) AS total_then
-        FROM v_wx_run WHERE total_then >= 12 AND valid_then / total_then >= 0.75 GROUP BY period""",
+        SELECT period, batch_no, arrived_at AS latched_at, CAST(total_then AS BIGINT) AS total_then
+        FROM v_wx_run WHERE total_then >= 12 AND valid_then / total_then >= 0.75
+        QUALIFY row_number() OVER (PARTITION BY period ORDER BY arrived_at, batch_no) = 1""",
     "v_ml": """
         SELECT c_custkey AS row_id, 18 + c_custkey % 63 AS age, 15000 + abs(c_acctbal) * 14 AS income,
                300 + (c_custkey * 37) % 551 AS credit_score,
@@ -162,15 +162,18 @@ VIEWS = {
                CAST(label AS DOUBLE) AS label FROM v_label""",
     "v_model": """
         SELECT s_suppkey AS run_no, concat('v1.0.', s_suppkey) AS model_version,
-               CASE WHEN s_suppkey % 7 = 0 THEN NULL ELSE (90 + s_suppkey % 10) / 100.0::DOUBLE END AS accuracy,
-               CASE WHEN s_suppkey % 11 = 0 THEN 'NaN'::DOUBLE ELSE (s_suppkey % 20) / 100.0::DOUBLE END AS loss,
+               CASE WHEN s_suppkey % 7 = 0 AND s_suppkey % 23 <> 0 THEN NULL ELSE (90 + s_suppkey % 10) / 100.0::DOUBLE END AS accuracy,
+               CASE WHEN s_suppkey % 11 = 0 AND s_suppkey % 19 <> 0 THEN 'NaN'::DOUBLE ELSE (s_suppkey % 20) / 100.0::DOUBLE END AS loss,
+               s_suppkey % 23 = 0 AS odd_accuracy, s_suppkey % 19 = 0 AS odd_loss,
                CASE WHEN s_suppkey % 13 = 0 THEN '' ELSE md5(s_name) END AS weights_hash FROM supplier""",
     "v_gate": """
         SELECT run_no, model_version, reason = 'all checks passed' AS passed, reason,
-               CASE WHEN accuracy IS NULL THEN 0 ELSE accuracy END AS accuracy_value,
-               CASE WHEN isnan(loss) THEN 0 ELSE loss END AS loss_value
+               CASE WHEN accuracy IS NULL OR odd_accuracy THEN 0 ELSE accuracy END AS accuracy_value,
+               CASE WHEN isnan(loss) OR odd_loss THEN 0 ELSE loss END AS loss_value
         FROM (SELECT *, CASE WHEN accuracy IS NULL THEN 'missing required field: accuracy'
                              WHEN isnan(loss) THEN 'NaN detected in loss'
+                             WHEN odd_accuracy THEN 'accuracy is not a number'
+                             WHEN odd_loss THEN 'loss is not a number'
                              WHEN accuracy < 0.95 THEN printf('accuracy %.4f below threshold 0.95', accuracy)
                              WHEN loss >= 0.1 THEN printf('loss %.4f exceeds threshold 0.1', loss)
                              WHEN weights_hash = '' THEN 'missing weights_hash'
@@ -203,6 +206,41 @@ VIEWS = {
                ts + to_minutes(CASE WHEN k % 10 = 0 THEN 100 ELSE 5 END) AS arrived_at,
                strptime(par_day || par_hour, '%Y%m%d%H') + INTERVAL 1 HOUR AS period_end,
                CASE WHEN event_type IN ('view', 'click') THEN 'seq' ELSE 'cdr' END AS stream FROM v_evt""",
+    # rule inputs: calm machines on days of the newest day's parity, transactions in pairs, runs
+    "v_calm_factory": """
+        SELECT par_day, count_if(coalesce(status, '') = 'healthy') AS healthy_count, 10 AS total,
+               count_if(coalesce(status, '') = 'healthy') = 10 AS all_healthy, max(updated_at) AS updated_at
+        FROM (SELECT DISTINCT par_day FROM v_evt) CROSS JOIN v_roster LEFT JOIN (
+            SELECT machine_id, par_day, arg_max(status, updated_at) AS status, max(updated_at) AS updated_at FROM (
+                SELECT machine_id, par_day, par_hour, max(updated_at) AS updated_at,
+                       CASE WHEN CAST(par_day AS INT) % 2 = any_value(parity) THEN 'healthy'
+                            WHEN avg(temperature) >= 75 OR avg(vibration) >= 80 OR avg(pressure) <= 2 THEN 'critical'
+                            WHEN avg(temperature) >= 60 OR avg(vibration) >= 50 OR avg(pressure) <= 3 THEN 'degraded'
+                            ELSE 'healthy' END AS status
+                FROM v_iot, (SELECT CAST(max(par_day) AS INT) % 2 AS parity FROM v_evt) GROUP BY machine_id, par_day, par_hour)
+            GROUP BY machine_id, par_day) USING (machine_id, par_day)
+        GROUP BY par_day""",
+    "v_pairs": """
+        SELECT event_id // 2 AS batch_id, (epoch_us(max(ts)) - epoch_us(min(ts))) // 1000000 AS lag_seconds,
+               hour(max(ts)) > 17 AS cob_complete FROM v_evt GROUP BY 1""",
+    "v_runs": """
+        SELECT run_no, s.* FROM (
+            SELECT g.*, m.weights_hash, (SELECT max(ts) FROM events) AS now FROM v_gate g JOIN v_model m USING (run_no)) g,
+        LATERAL (VALUES
+            ('data-prep', 'raw_features', 'updated_at', NULL::DOUBLE, now - to_hours(CAST(run_no % 4 AS INT))),
+            ('data-prep', 'data_prep_status', 'complete', CAST(run_no % 6 <> 0 AS INT), NULL),
+            ('data-prep', 'data_prep_status', 'row_count', run_no % 9 * 100, NULL),
+            ('training', 'data_prep_status', 'complete', CAST(run_no % 6 <> 0 AS INT), NULL),
+            ('training', 'data_prep_status', 'updated_at', NULL, now - to_hours(CAST(run_no % 5 AS INT))),
+            ('training', 'training_status', 'complete', CAST(weights_hash <> '' AS INT), NULL),
+            ('evaluation', 'training_status', 'complete', CAST(weights_hash <> '' AS INT), NULL),
+            ('evaluation', 'training_status', 'updated_at', NULL, now - to_hours(CAST(run_no % 3 AS INT))),
+            ('evaluation', 'eval_status', 'passed', CAST(passed AS INT), NULL),
+            ('deployment', 'eval_status', 'passed', CAST(passed AS INT), NULL),
+            ('deployment', 'eval_status', 'accuracy', accuracy_value, NULL),
+            ('deployment', 'eval_status', 'updated_at', NULL, now - to_hours(CAST(run_no % 4 AS INT))),
+            ('deployment', 'deployment_status', 'deployed', CAST(passed AND run_no % 2 = 1 AS INT), NULL)
+        ) s(job, sensor, field, num, written)""",
     # rule inputs: job, sensor, period, field, number (flags as 0/1), written at
     "v_sensors": """
         SELECT 'bronze-' || stream AS job, 'hourly-status' AS sensor, par_day || 'T' || par_hour AS period,
@@ -218,15 +256,15 @@ VIEWS = {
         UNION ALL
         SELECT pipelineId, 'daily-status', par_day, 'all_hours_complete', CAST(all_hours_complete AS INT), NULL FROM v_daily
         UNION ALL
-        SELECT 'iot-factory', 'factory_health', par_day, 'all_healthy', CAST(all_healthy AS INT), NULL FROM v_factory
+        SELECT 'iot-factory', 'factory_health', par_day, 'all_healthy', CAST(all_healthy AS INT), NULL FROM v_calm_factory
         UNION ALL
-        SELECT 'iot-factory', 'factory_health', par_day, 'healthy_count', healthy_count, NULL FROM v_factory
+        SELECT 'iot-factory', 'factory_health', par_day, 'healthy_count', healthy_count, NULL FROM v_calm_factory
         UNION ALL
-        SELECT 'iot-factory', 'factory_health', par_day, 'updated_at', NULL, updated_at FROM v_factory
+        SELECT 'iot-factory', 'factory_health', par_day, 'updated_at', NULL, updated_at FROM v_calm_factory
         UNION ALL
-        SELECT 'banking-streaming', 'cob_status', CAST(batch_id AS VARCHAR), 'complete', CAST(cob_complete AS INT), NULL FROM v_bank_batch
+        SELECT 'banking-streaming', 'cob_status', CAST(batch_id AS VARCHAR), 'complete', CAST(cob_complete AS INT), NULL FROM v_pairs
         UNION ALL
-        SELECT 'banking-streaming', 'consumer_lag', CAST(batch_id AS VARCHAR), 'lag_seconds', lag_seconds, NULL FROM v_bank_batch
+        SELECT 'banking-streaming', 'consumer_lag', CAST(batch_id AS VARCHAR), 'lag_seconds', lag_seconds, NULL FROM v_pairs
         UNION ALL
         SELECT 'dryrun-weather', 'weather-ready', period, 'complete', 1, NULL FROM v_wx_latch
         UNION ALL
@@ -234,14 +272,7 @@ VIEWS = {
         UNION ALL
         SELECT 'dryrun-weather', 'weather-audit', period, 'total_readings', total_readings, NULL FROM v_wx_ready
         UNION ALL
-        SELECT 'ml-evaluation', 'eval_status', CAST(run_no AS VARCHAR), 'passed', CAST(passed AS INT), NULL FROM v_gate
-        UNION ALL
-        SELECT 'ml-deployment', 'eval_status', CAST(run_no AS VARCHAR), 'passed', CAST(passed AS INT), NULL FROM v_gate
-        UNION ALL
-        SELECT 'ml-deployment', 'eval_status', CAST(run_no AS VARCHAR), 'accuracy', accuracy_value, NULL FROM v_gate
-        UNION ALL
-        SELECT 'ml-deployment', 'eval_status', CAST(run_no AS VARCHAR), 'updated_at', NULL,
-               (SELECT max(ts) FROM events) - to_hours(CAST(run_no % 4 AS INT)) FROM v_gate""",
+        SELECT 'ml-' || job, sensor, CAST(run_no AS VARCHAR), field, num, written FROM v_runs""",
 }
 
 # name of each view another one reads

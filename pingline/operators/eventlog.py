@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pingline.functions.columns import (
     FAILURE_TYPES, SLA_TYPES, WARNING_TYPES, hour_of_millis, severity_of_rank, severity_rank, time_of_millis,
 )
+from pingline.operators.ordered import newest_rows
 
 # fixed values
 TIMELINE_SOURCES = [
@@ -36,12 +37,15 @@ def between(
 ) -> DataFrame:
     """Events in a time range. Asked for one source the end is exclusive, because
     its key sorts after the bare timestamp; otherwise both ends are inclusive."""
+    return log.filter(wanted(start_ms, end_ms, source, event_type))
+
+
+def wanted(start_ms: Column | int, end_ms: Column | int, source: str | None = None, event_type: str | None = None) -> Column:
     ts = F.col("timestamp")
+    test = (ts >= start_ms) & (ts <= end_ms)
     if source is not None:
-        out = log.filter((F.col("pipelineId") == source) & (ts >= start_ms) & (ts < end_ms))
-    else:
-        out = log.filter((ts >= start_ms) & (ts <= end_ms))
-    return out if event_type is None else out.filter(F.col("eventType") == event_type)
+        test = (F.col("pipelineId") == source) & (ts >= start_ms) & (ts < end_ms)
+    return test if event_type is None else test & (F.col("eventType") == event_type)
 
 
 def range_of(date: str, hour: str | None = None) -> tuple[int, int]:
@@ -56,18 +60,13 @@ def range_of(date: str, hour: str | None = None) -> tuple[int, int]:
 
 def overview(log: DataFrame, since_ms: Column) -> DataFrame:
     """Per source since a cut-off: number of events and the last one."""
-    recent = log.filter(F.col("timestamp") >= since_ms)
-    last = F.max_by(F.struct("eventType", "timestamp", "message"), F.struct("timestamp", "event_id"))
-    return (
-        recent.groupBy(F.coalesce("pipelineId", F.lit("unknown")).alias("pipelineId"))
-        .agg(F.count(F.lit(1)).alias("events"), last.alias("last"))
-        .select(
-            "pipelineId", "events",
-            F.col("last.eventType").alias("last_type"),
-            F.col("last.timestamp").alias("last_timestamp"),
-            F.coalesce("last.message", F.lit("")).alias("last_message"),
-        )
+    recent = log.filter(F.col("timestamp") >= since_ms).withColumn("pipelineId", F.coalesce("pipelineId", F.lit("unknown")))
+    counts = recent.groupBy("pipelineId").agg(F.count(F.lit(1)).alias("events"))
+    last = newest_rows(recent, ["pipelineId"], "timestamp", "event_id").select(
+        "pipelineId", F.col("eventType").alias("last_type"), F.col("timestamp").alias("last_timestamp"),
+        F.coalesce("message", F.lit("")).alias("last_message"),
     )
+    return counts.join(last, "pipelineId")
 
 
 def type_breakdown(log: DataFrame, since_ms: Column) -> DataFrame:
@@ -103,10 +102,18 @@ def type_counts(log: DataFrame) -> DataFrame:
     return log.groupBy("eventType").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "eventType")
 
 
-def pivot_types(log: DataFrame, by: str, types: list[str]) -> DataFrame:
-    """Count per type as columns. The values are named, so no extra pass finds them."""
-    counts = log.groupBy(by).agg(*[F.count_if(F.col("eventType") == t).alias(t) for t in types])
-    return counts.fillna(0)
+def pivot_types(log: DataFrame, by: str, types: list[str] | None = None) -> DataFrame:
+    """Count per event type as columns, for every type in the log. Types a caller names come
+    as they are, all others together as OTHER, so a row always adds up to its events."""
+    cells = log.groupBy(by, F.coalesce("eventType", F.lit("UNKNOWN")).alias("eventType")).agg(F.count(F.lit(1)).alias("n"))
+    found = types
+    if found is None:  # a log has a handful of types, and every type becomes a column
+        found = sorted(r[0] for r in cells.select("eventType").distinct().collect())
+    of = lambda test: F.coalesce(F.sum(F.when(test, F.col("n"))), F.lit(0))
+    columns = [of(F.col("eventType") == t).alias(t) for t in found]
+    if types is not None:
+        columns.append(of(~F.col("eventType").isin(types)).alias("OTHER"))
+    return cells.groupBy(by).agg(*columns)
 
 
 def metrics(log: DataFrame, start_ms: Column, end_ms: Column) -> DataFrame:
@@ -157,6 +164,14 @@ def newest(log: DataFrame, n: int = FEED_SIZE) -> DataFrame:
     return log.orderBy(F.desc("timestamp"), F.desc("event_id")).limit(n)
 
 
+def feeds(log: DataFrame, names: list[str], n: int = FEED_SIZE) -> DataFrame:
+    """The newest ``n`` events of several feeds in one reading; ``feed`` names the feed."""
+    tags = F.array_compact(F.array(*[F.when(feed_filter(name), F.lit(name)) for name in names]))
+    rank = F.row_number().over(Window.partitionBy("feed").orderBy(F.desc("timestamp"), F.desc("event_id")))
+    # Spark keeps n rows per feed and task before the shuffle
+    return log.withColumn("feed", F.explode(tags)).withColumn("__rank", rank).filter(F.col("__rank") <= n).drop("__rank")
+
+
 def oldest(log: DataFrame, n: int = DETAIL_SIZE) -> DataFrame:
     return log.orderBy("timestamp", "event_id").limit(n)
 
@@ -164,6 +179,11 @@ def oldest(log: DataFrame, n: int = DETAIL_SIZE) -> DataFrame:
 # ---- sensors ------------------------------------------------------------
 
 
+def sensors_of(sensors: DataFrame, source: str) -> DataFrame:
+    """The flattened sensors of one pipeline, by period."""
+    return flatten_sensors(sensors.filter(F.col("pipeline_id") == source)).orderBy("period", "sensor", "field")
+
+
 def flatten_sensors(sensors: DataFrame, prefix: str = "SENSOR#") -> DataFrame:
     """Sensor maps as long rows. ``sensors`` has pipeline_id, sk, ``data`` (flat fields)
     and ``nested`` (maps inside). A missing period is made from date and hour, which
@@ -202,16 +222,32 @@ def sensor_message(name: Column, period: Column, fields: list[str]) -> Column:
     return F.when(parts != "", F.concat(head, F.lit(": "), parts)).otherwise(head)
 
 
-def merged_timeline(log: DataFrame, snapshots: DataFrame) -> DataFrame:
-    """Events and sensor snapshots in one ordered table with their origin."""
+def updated_at(own: str, nested: str) -> Column:
+    """A snapshot's own update time, or the first that a map inside it has."""
+    inner = F.filter(
+        F.transform(F.map_values(nested), lambda m: F.try_element_at(m, F.lit("updatedAt"))), lambda t: t.isNotNull()
+    )
+    return F.coalesce(own, F.try_element_at(inner, F.lit(1)).try_cast("timestamp_ntz"))
+
+
+def merged_timeline(log: DataFrame, snapshots: DataFrame, source: str | None = None, limit: int | None = None) -> DataFrame:
+    """Events and sensor snapshots in one table with their origin. With a ``source`` the
+    timeline of that pipeline; ``limit`` takes its newest events only. Rows come in no order:
+    a caller sorts what it shows."""
+    if source is not None:
+        log = log.filter(F.col("pipelineId") == source)
+        snapshots = snapshots.filter(F.col("pipeline_id") == source)
+    if limit is not None:
+        log = newest(log, limit)
     events = log.select(
         time_of_millis("timestamp").alias("at"), F.lit("event").alias("origin"), "eventType", "message"
     )
     fields = ["total_readings", "valid_readings", "batches_received", "complete"]
-    sensors = snapshots.filter(F.col("updated_at").isNotNull()).select(
-        F.col("updated_at").alias("at"),
+    at = updated_at("updated_at", "nested") if "nested" in snapshots.columns else F.col("updated_at")
+    sensors = snapshots.withColumn("__at", at).filter(F.col("__at").isNotNull()).select(
+        F.col("__at").alias("at"),
         F.lit("sensor").alias("origin"),
         F.col("sensor").alias("eventType"),
         sensor_message(F.col("sensor"), F.col("period"), fields).alias("message"),
     )
-    return events.unionByName(sensors).orderBy("at")
+    return events.unionByName(sensors)

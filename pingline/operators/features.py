@@ -11,6 +11,7 @@ from pingline.functions.columns import (
 from pingline.operators.ordered import id_chunk, running_total
 from pingline.operators.quality import require_columns
 from pingline.schemas import FEATURE_COLUMNS
+from pingline.sources.bronze import write_partitioned
 
 TRAIN_RATIO = 0.8
 
@@ -61,13 +62,15 @@ def quality_gate(models: DataFrame, accuracy: str = "accuracy", loss: str = "los
         (is_nan_text(accuracy), F.lit("NaN detected in accuracy")),
         (F.col(loss).isNull(), F.lit("missing required field: loss")),
         (is_nan_text(loss), F.lit("NaN detected in loss")),
+        (a.isNull(), F.lit("accuracy is not a number")),
+        (l.isNull(), F.lit("loss is not a number")),
         (a < MIN_ACCURACY, F.format_string(f"accuracy %.4f below threshold {MIN_ACCURACY}", a)),
         (l >= MAX_LOSS, F.format_string(f"loss %.4f exceeds threshold {MAX_LOSS}", l)),
         (F.coalesce("weights_hash", F.lit("")) == "", F.lit("missing weights_hash")),
     ]
     for failed, text in reversed(steps):
         reason = F.when(failed, text).otherwise(reason)
-    shown = lambda c, v: F.when(F.col(c).isNull() | is_nan_text(c), 0.0).otherwise(v)
+    shown = lambda c, v: F.when(F.col(c).isNull() | is_nan_text(c), 0.0).otherwise(F.coalesce(v, F.lit(0.0)))
     return models.select(
         *models.columns,
         reason.isNull().alias("passed"),
@@ -90,6 +93,13 @@ def promote(gated: DataFrame, day: Column) -> DataFrame:
     )
 
 
+def deploy(gated: DataFrame, day: Column, path: str) -> DataFrame:
+    """Put each day's promoted model into the production table, in a folder of its day: a
+    rerun replaces that day. Returns the table as stored."""
+    write_partitioned(promote(gated, day), path, ["par_day"], "overwrite")
+    return gated.sparkSession.read.parquet(path)
+
+
 def train(prepared: DataFrame) -> DataFrame:
     """Fit a logistic regression on the train rows of a stored, split table and measure
     it on the test rows. The fit reads the table once and then works on cached blocks."""

@@ -10,6 +10,7 @@ from pingline.functions.columns import COB_HOUR, VALID_QUALITY, epoch_micros, ma
 # fixed values
 MACHINES = [f"machine_{i:02d}" for i in range(1, 11)]
 MEASURES = ["temperature", "vibration", "pressure"]
+STATUSES = ["healthy", "degraded", "critical", "unknown"]
 MIN_READINGS = 12
 MIN_VALID_SHARE = 0.75
 
@@ -30,10 +31,13 @@ def machine_status(readings: DataFrame, by: list[str], digits: int = 2) -> DataF
 
 
 def latest_status(statuses: DataFrame, by: list[str]) -> DataFrame:
-    """The status written last per machine."""
-    return statuses.groupBy("machine_id", *by).agg(
-        F.max_by("status", F.struct("updated_at")).alias("status"), F.max("updated_at").alias("updated_at")
+    """The status written last per machine. Statuses travel as their place in a fixed list:
+    numbers keep the aggregate a hash aggregate."""
+    names = F.array(*[F.lit(s) for s in STATUSES])
+    last = statuses.groupBy("machine_id", *by).agg(
+        F.max_by(F.array_position(names, F.col("status")), epoch_micros("updated_at")).alias("place"), F.max("updated_at").alias("updated_at")
     )
+    return last.select("machine_id", *by, F.when(F.col("place") > 0, F.element_at(names, F.greatest("place", F.lit(1)).cast("int"))).alias("status"), "updated_at")
 
 
 def factory_health(latest: DataFrame, by: list[str], roster: list[str] = MACHINES) -> DataFrame:
@@ -123,8 +127,9 @@ def ready(total: Column | str, valid: Column | str) -> Column:
 
 
 def weather_running(batches: DataFrame) -> DataFrame:
-    """Totals as the batches arrive; a period has six batches, so its window is small."""
-    arrivals = Window.partitionBy("period").orderBy("batch_no").rowsBetween(Window.unboundedPreceding, 0)
+    """Totals as the batches arrive, the number breaking ties; a period has six batches, so
+    its window is small."""
+    arrivals = Window.partitionBy("period").orderBy("arrived_at", "batch_no").rowsBetween(Window.unboundedPreceding, 0)
     return batches.withColumn("total_then", F.sum("total").over(arrivals)).withColumn(
         "valid_then", F.sum("valid").over(arrivals)
     )
@@ -143,10 +148,9 @@ def weather_ready(batches: DataFrame) -> DataFrame:
 
 
 def weather_latch(batches: DataFrame) -> DataFrame:
-    """First batch of each period at which it was ready."""
+    """The batch on whose arrival a period was first ready; all columns are that batch's."""
     met = weather_running(batches).filter(ready("total_then", "valid_then"))
-    return met.groupBy("period").agg(
-        F.min("batch_no").alias("batch_no"),
-        F.min("arrived_at").alias("latched_at"),
-        F.min("total_then").alias("total_then"),
+    place = F.row_number().over(Window.partitionBy("period").orderBy("arrived_at", "batch_no"))
+    return met.withColumn("__place", place).filter("__place = 1").select(
+        "period", "batch_no", F.col("arrived_at").alias("latched_at"), "total_then"
     )

@@ -32,6 +32,21 @@ def _at(order: list[str]) -> Column:
     return F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
 
+def order_number(first: Column | str, second: Column | str) -> Column:
+    """Two integers as one number in their joint order. Unlike a struct it keeps a latest-by
+    aggregate a hash aggregate."""
+    wide = lambda c: (F.col(c) if isinstance(c, str) else c).cast("decimal(19,0)")
+    return (wide(first) * F.lit(10**18).cast("decimal(19,0)")).cast("decimal(38,0)") + wide(second)
+
+
+def newest_rows(df: DataFrame, by: list[str], first: Column | str, second: Column | str) -> DataFrame:
+    """The last row per key in the order of two integers, ``second`` being unique. Only the
+    key and the order are aggregated; the few winners then pick their rows."""
+    at = df.withColumn("__at", order_number(first, second))
+    last = at.groupBy(*by).agg(F.max("__at").alias("__at"))
+    return at.join(last, [*by, "__at"], "left_semi").drop("__at")
+
+
 def running_total(
     df: DataFrame, by: list[str], order: list[str], values: dict[str, Column | str], chunk: Column, fan: int = 4096
 ) -> DataFrame:
@@ -70,7 +85,8 @@ def running_total(
 
 
 def carry_last(
-    df: DataFrame, by: list[str], order: list[str], value: str, out: str, chunk: Column, default_first: bool = False
+    df: DataFrame, by: list[str], order: list[str], value: str, out: str, chunk: Column, default_first: bool = False,
+    fan: int = 4096,
 ) -> DataFrame:
     """Latest non-null ``value`` at or before each row; before the first one the
     result is null, or the key's first value when ``default_first``."""
@@ -81,14 +97,23 @@ def carry_last(
         F.max_by(value, at).alias("__last"), F.min_by(value, at).alias("__first"), F.lit(True).alias("__known")
     )
     spine = staged.select(*by, _CHUNK).distinct().join(last, [*by, _CHUNK], "left")
-    chain = Window.partitionBy(*by).orderBy(_CHUNK)
-    carried = spine.select(
-        *by, _CHUNK,
-        F.last("__last", ignorenulls=True).over(chain.rowsBetween(Window.unboundedPreceding, -1)).alias("__carry"),
-        F.first("__first", ignorenulls=True)
-        .over(chain.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    # chunks are chained in two levels, as the running totals are
+    spine = spine.withColumn("__group", F.floor(F.col(_CHUNK) / fan))
+    summary = spine.filter("__known").groupBy(*by, "__group").agg(
+        F.max_by("__last", F.col(_CHUNK)).alias("__glast"), F.min_by("__first", F.col(_CHUNK)).alias("__gfirst")
+    )
+    groups = spine.select(*by, "__group").distinct().join(summary, [*by, "__group"], "left")
+    over = Window.partitionBy(*by).orderBy("__group")
+    groups = groups.select(
+        *by, "__group",
+        F.last("__glast", ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, -1)).alias("__gcarry"),
+        F.first("__gfirst", ignorenulls=True)
+        .over(over.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
         .alias("__origin"),
     )
+    inside = Window.partitionBy(*by, "__group").orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    carried = spine.withColumn("__icarry", F.last("__last", ignorenulls=True).over(inside)).join(groups, [*by, "__group"])
+    carried = carried.select(*by, _CHUNK, F.coalesce("__icarry", "__gcarry").alias("__carry"), "__origin")
     rows = Window.partitionBy(*by, _CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     joined = staged.join(carried, [*by, _CHUNK])
     found = [F.last(value, ignorenulls=True).over(rows), F.col("__carry")]
@@ -98,14 +123,22 @@ def carry_last(
 
 
 def previous(
-    df: DataFrame, by: list[str], order: list[str], values: dict[str, str], chunk: Column
+    df: DataFrame, by: list[str], order: list[str], values: dict[str, str], chunk: Column, fan: int = 4096
 ) -> DataFrame:
     """Value of the row before, ``{new column: column}``, per ``by`` in ``order``."""
     staged = df.withColumn(_CHUNK, chunk)
     at = _at(order)
     tails = staged.groupBy(*by, _CHUNK).agg(*[F.max_by(v, at).alias(f"__{n}") for n, v in values.items()])
-    chain = Window.partitionBy(*by).orderBy(_CHUNK)
-    heads = tails.select(*by, _CHUNK, *[F.lag(f"__{n}").over(chain).alias(f"__{n}") for n in values])
+    # the chunk before is in the same group, or the last of the group before
+    tails = tails.withColumn("__group", F.floor(F.col(_CHUNK) / fan))
+    inside = Window.partitionBy(*by, "__group").orderBy(_CHUNK)
+    over = Window.partitionBy(*by).orderBy("__group")
+    groups = tails.groupBy(*by, "__group").agg(*[F.max_by(f"__{n}", F.col(_CHUNK)).alias(f"__g{n}") for n in values])
+    groups = groups.select(*by, "__group", *[F.lag(f"__g{n}").over(over).alias(f"__g{n}") for n in values])
+    heads = tails.select(
+        *by, "__group", _CHUNK, F.row_number().over(inside).alias("__place"), *[F.lag(f"__{n}").over(inside).alias(f"__{n}") for n in values]
+    ).join(groups, [*by, "__group"])
+    heads = heads.select(*by, _CHUNK, *[F.when(F.col("__place") == 1, F.col(f"__g{n}")).otherwise(F.col(f"__{n}")).alias(f"__{n}") for n in values])
     rows = Window.partitionBy(*by, _CHUNK).orderBy(*order)
     joined = staged.join(heads, [*by, _CHUNK]).withColumn("__row", F.row_number().over(rows))
     for name, v in values.items():

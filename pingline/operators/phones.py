@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from pingline.functions.columns import pseudonym
 from pingline.operators.joins import spread_join
+from pingline.session import stored
+
+#: Rekeyed phones that a plain join takes, which Spark broadcasts if their size allows.
+SMALL = 100_000
 
 
 def distinct_phones(pings: DataFrame, columns: list[str]) -> DataFrame:
@@ -36,16 +40,21 @@ def new_rows(phones: DataFrame, dimension: DataFrame, salt: str, created_at: Col
 def pseudonymise(pings: DataFrame, columns: dict[str, str], dimension: DataFrame, salt: str) -> DataFrame:
     """Replace phone columns, ``{phone column: hash column}``.
 
-    Only phones stored under a hash other than today's need the lookup, so the
-    join side is empty until a salt changes; everything else is a projection.
-    A busy phone's rows are spread over several tasks.
+    Only phones stored under a hash other than today's need the lookup. They are stored
+    first, so that Spark knows their size: none of them means no lookup at all, and the pings
+    are only a projection; a small table is broadcast and the pings stay where they are.
+    Beyond that a busy phone's rows are spread over several tasks.
     """
-    rekeyed = dimension.filter(F.col("hash") != pseudonym("phone", salt)).select("phone", "hash")
+    rekeyed = stored(dimension.filter(F.col("hash") != pseudonym("phone", salt)).select("phone", "hash"), "rekeyed")
+    count = rekeyed.count()
     out = pings
     for phone, hashed in columns.items():
+        if count == 0:
+            out = out.withColumn(hashed, pseudonym(phone, salt)).drop(phone)
+            continue
         side = rekeyed.select(F.col("phone").alias(phone), F.col("hash").alias(f"__{hashed}"))
         out = (
-            spread_join(out, side, [phone], "left")
+            spread_join(out, side, [phone], "left", 1 if count <= SMALL else 64)
             .withColumn(hashed, F.coalesce(F.col(f"__{hashed}"), pseudonym(phone, salt)))
             .drop(f"__{hashed}", phone)
         )

@@ -83,14 +83,17 @@ def require_columns(df: DataFrame, expected: list[str]) -> DataFrame:
 
 
 def payload_drift(payloads: DataFrame, column: str, expected: list[str]) -> DataFrame:
-    """Fields of JSON records against the expected ones, with the number of records concerned."""
-    keys = payloads.select(F.json_object_keys(column).alias("keys"))
+    """Fields of JSON records against the expected ones, with the number of records concerned.
+    A record that is absent, or no JSON object, is counted as such under an empty field."""
+    keys = payloads.select(F.col(column), F.json_object_keys(column).alias("keys"))
     contract = F.array(*[F.lit(c) for c in expected])
+    whole = F.when(F.col(column).isNull(), "absent").when(F.col("keys").isNull(), "malformed")
     changes = keys.select(
-        F.concat(
+        F.when(whole.isNotNull(), F.array(F.struct(F.lit("").alias("field"), whole.alias("change"))))
+        .otherwise(F.concat(
             F.transform(F.array_except("keys", contract), lambda k: F.struct(k.alias("field"), F.lit("added").alias("change"))),
             F.transform(F.array_except(contract, "keys"), lambda k: F.struct(k.alias("field"), F.lit("removed").alias("change"))),
-        ).alias("changes")
+        )).alias("changes")
     )
     return (
         changes.select(F.explode("changes").alias("c"))
@@ -235,5 +238,11 @@ def stale_triggers(done: DataFrame, updates: DataFrame, key: str, window_seconds
     )
 
 
+def false_success(gated: DataFrame, runs: DataFrame, key: str = "run_no") -> DataFrame:
+    """Runs that reported success although a metric of theirs is NaN."""
+    bad = gated.filter(F.col("reason").startswith("NaN detected"))
+    return bad.join(runs.filter(F.col("status") == "SUCCEEDED").select(key), key, "left_semi")
+
+
 def repeated_keys(rows: DataFrame, key: list[str]) -> DataFrame:
     return rows.groupBy(*key).agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)

@@ -14,17 +14,21 @@ DAILY = ("par_day",)
 def aggregate_calls(bronze: DataFrame, period: tuple[str, ...] = HOURLY) -> DataFrame:
     """Per caller: pings, duration, distinct contacts, towers.
 
-    A call repeats (caller, contact, tower) every ten seconds, so the first
-    group-by shrinks the data map-side and spreads a busy caller over its contacts.
+    Two shuffles: by caller and contact, which shrinks the data map-side and spreads a busy
+    caller over its contacts, then by caller. A contact's pings are counted at its first
+    tower only, so neither step needs a distinct expansion, and a task holds no more than
+    the towers of its groups.
     """
     caller = [*period, "phone_hash_out"]
-    pairs = bronze.groupBy(*caller, "phone_hash_in", "cell_tower").agg(F.count(F.lit(1)).alias("n"))
+    pairs = bronze.groupBy(*caller, "phone_hash_in").agg(F.count(F.lit(1)).alias("n"), F.collect_set("cell_tower").alias("towers"))
+    towers = pairs.select(*caller, "phone_hash_in", "n", F.posexplode_outer("towers").alias("pos", "cell_tower"))
+    first = F.coalesce("pos", F.lit(0)) == 0
     return (
-        pairs.groupBy(*caller)
+        towers.groupBy(*caller)
         .agg(
-            F.sum("n").alias("total_calls"),
-            (F.sum("n") * PING_SECONDS).alias("total_duration_s"),
-            F.count_distinct("phone_hash_in").alias("unique_contacts"),
+            F.sum(F.when(first, F.col("n"))).alias("total_calls"),
+            (F.sum(F.when(first, F.col("n"))) * PING_SECONDS).alias("total_duration_s"),
+            F.count_if(first & F.col("phone_hash_in").isNotNull()).alias("unique_contacts"),
             F.array_sort(F.collect_set("cell_tower")).alias("unique_towers"),
         )
         .withColumn("avg_call_duration_s", F.col("total_duration_s") / F.col("total_calls"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,19 +49,23 @@ def build_session(app: str = "pingline", master: str | None = None, **conf: str)
     return configure(builder.getOrCreate())
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
+_ROOTS: set[str] = set()
+
 
-    Tables written there are read by every executor, so a machine-local folder
-    is accepted only when the whole session lives on this machine.
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared folder named by ``spark.checkpoint.dir``, or below the
+    warehouse, which executors share too, where that is unset. The application's folder is
+    deleted when its JVM ends, as lazy results may read from it until then.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="pingline-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/pingline/{name}-{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    mine = f"{root.rstrip('/')}/pingline/{spark.sparkContext.applicationId}"
+    if mine not in _ROOTS:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(mine)
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+        _ROOTS.add(mine)
+    return f"{mine}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -4,22 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from pingline.functions.columns import epoch_micros, par_day, par_hour
 
 SOURCES = ["bronze-cdr", "bronze-seq", "silver-cdr-hour", "silver-seq-hour", "silver-cdr-day", "silver-seq-day"]
 
 
-_SCHEMAS: dict[str, StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. Its footer is read once per path, not for every use in a query."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    """A given table, with the schema it has now."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def with_keys(events: DataFrame) -> DataFrame:
@@ -93,17 +86,27 @@ def files(spark, sf_dir) -> DataFrame:
     )
 
 
-def machine_readings(spark, sf_dir) -> DataFrame:
-    return events(spark, sf_dir).select(
+def with_machine(evt: DataFrame) -> DataFrame:
+    """Events, each also a reading of one of eleven machines."""
+    return evt.select(
+        *evt.columns,
         F.concat(F.lit("machine_"), F.lpad((F.col("user_id") % 11 + 1).cast("string"), 2, "0")).alias("machine_id"),
-        F.col("ts").alias("updated_at"),
         (20 + F.col("value") % 60).alias("temperature"),
         ((F.col("value") * 7) % 100).alias("vibration"),
         (1 + (F.col("event_id") % 90) / F.lit(10.0)).alias("pressure"),
-        "par_day", "par_hour", "event_id", "k",
     )
 
 
+def machine_readings_of(evt: DataFrame) -> DataFrame:
+    return with_machine(evt).select(
+        "machine_id", F.col("ts").alias("updated_at"), "temperature", "vibration", "pressure", "par_day", "par_hour", "event_id", "k"
+    )
+
+
+def machine_readings(spark, sf_dir) -> DataFrame:
+    return machine_readings_of(events(spark, sf_dir))
+
+
 def transactions(spark, sf_dir) -> DataFrame:
     return events(spark, sf_dir).select(
         F.col("event_id").alias("transaction_id"),
@@ -150,8 +153,8 @@ def models(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "supplier").select(
         key.alias("run_no"),
         F.concat(F.lit("v1.0."), key).alias("model_version"),
-        F.when(key % 7 != 0, (90 + key % 10).cast("string")).alias("accuracy_pct"),
-        F.when(key % 11 == 0, "NaN").otherwise((key % 20).cast("string")).alias("loss_pct"),
+        F.when(key % 23 == 0, "abc").when(key % 7 != 0, (90 + key % 10).cast("string")).alias("accuracy_pct"),
+        F.when(key % 19 == 0, "x").when(key % 11 == 0, "NaN").otherwise((key % 20).cast("string")).alias("loss_pct"),
         F.when(key % 13 == 0, "").otherwise(F.md5("s_name")).alias("weights_hash"),
     )
 

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pingline.functions.columns import epoch_micros, par_day, par_hour
-from pingline.operators import monitoring
+from pingline.functions.columns import VALID_QUALITY, epoch_micros, machine_health, par_day, par_hour
+from pingline.operators import monitoring, phones
+from pingline.operators.completeness import DAILY_OF_HOURLY, DAILY_TARGETS, HOURS_PER_DAY, expected_in_window, with_stream_targets
 from pingline.operators.quality import late
 from pingline.sources import bronze
 from pingline.sources.tables import table
@@ -75,8 +76,8 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
 
 def latest_per_key(changes: DataFrame, keys: list[str]) -> DataFrame:
     """The last row written per key of a change table."""
-    rest = [c for c in changes.columns if c not in (*keys, "batch")]
-    return changes.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("r")).select(*keys, "r.*")
+    last = changes.groupBy(*keys).agg(F.max("batch").alias("batch"))
+    return changes.join(last, [*keys, "batch"], "left_semi").drop("batch")
 
 
 # ---- ingest -------------------------------------------------------------
@@ -98,57 +99,89 @@ def raw_stream(spark: SparkSession, path: str, stream: str, glob: str = "*.jsonl
     return bronze.with_period(raw)
 
 
-def bronze_ingest(raw: DataFrame, dimension: DataFrame, salt: str, out: str, checkpoint: str) -> None:
-    """Raw calls to bronze, malformed rows to quarantine.
+SHAPES = {"cdr": bronze.bronze_calls, "seq": bronze.bronze_browses}
+PHONES = {"cdr": ["phone_out", "phone_in"], "seq": ["phone_number"]}
 
-    The period counters are not written beside the rows: they are counted from
-    what a batch stored, so the two cannot disagree.
+
+def bronze_ingest(raw: DataFrame, dimension: DataFrame, salt: str, out: str, checkpoint: str, stream: str = "cdr") -> None:
+    """Raw pings of a stream to bronze, malformed rows to quarantine, unknown phones to the
+    dimension's inserts.
+
+    Bronze has period folders inside the batch's own folder, which a rerun replaces, so
+    ``read_partition`` prunes it like the batch table. The period counters are not written
+    beside the rows: they are counted from what a batch stored, so the two cannot disagree.
     """
 
+    def put(df: DataFrame, name: str, batch_id: int, *keys: str) -> None:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*keys).parquet(f"{out}/{name}/batch={batch_id}")
+
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = bronze.bronze_calls(bronze.good_rows(batch), dimension, salt)
-        rows.write.mode("overwrite").parquet(f"{out}/bronze/batch={batch_id}")
-        bronze.quarantined(batch).write.mode("overwrite").parquet(f"{out}/quarantine/batch={batch_id}")
+        batch.persist()  # parsed once
+        good = bronze.good_rows(batch)
+        put(SHAPES[stream](good, dimension, salt).hint("rebalance", "par_day", "par_hour"), "bronze", batch_id, "par_day", "par_hour")
+        put(bronze.quarantined(batch), "quarantine", batch_id)
+        found = phones.distinct_phones(good, PHONES[stream])
+        put(phones.new_rows(found, dimension, salt, F.current_timestamp().cast("timestamp_ntz")), "phones", batch_id)
         stored = batch.sparkSession.read.parquet(f"{out}/bronze/batch={batch_id}")
         counts = stored.groupBy("par_day", "par_hour").agg(F.count(F.lit(1)).alias("records"))
-        counts.write.mode("overwrite").parquet(f"{out}/counters/batch={batch_id}")
+        put(counts, "counters", batch_id)
+        batch.unpersist()
 
     run_available(raw, on_batch, checkpoint)
 
 
+def inserted_phones(spark: SparkSession, out: str) -> DataFrame:
+    """Phones the ingest found; one that several batches met is one row."""
+    return spark.read.parquet(f"{out}/phones").groupBy("phone", "hash").agg(F.min("created_at").alias("created_at"))
+
+
 # ---- counters and sets --------------------------------------------------
 
 
 def hourly_counts(events: DataFrame, delay: str = "2 hours") -> DataFrame:
-    """Rows per hour. The window in the key lets finished hours leave the state."""
+    """Rows and files per stream and hour. The window in the key lets finished hours leave
+    the state; an hour's files are a handful of numbers."""
     return (
         events.withWatermark("ts", delay)
-        .groupBy(F.window("ts", "1 hour").alias("hour"))
-        .agg(F.count(F.lit(1)).alias("records"), F.max("ts").alias("updated_at"))
-        .select(par_day("hour.start").alias("par_day"), par_hour("hour.start").alias("par_hour"), "records", "updated_at")
+        .groupBy("stream", F.window("ts", "1 hour").alias("hour"))
+        .agg(F.count(F.lit(1)).alias("records"), F.size(F.collect_set("file_no")).cast("bigint").alias("files"), F.max("ts").alias("updated_at"))
+        .select("stream", par_day("hour.start").alias("par_day"), par_hour("hour.start").alias("par_hour"), "records", "files", "updated_at")
     )
 
 
-def daily_hours(events: DataFrame, delay: str = "2 hours") -> DataFrame:
-    """Set of hours seen per day."""
+def daily_hours(completions: DataFrame, delay: str = "2 hours") -> DataFrame:
+    """Completed hours per daily job and day, from the completions of its hourly job
+    (pipelineId, date, ts); the flag is set when all 24 are there."""
+    daily = F.create_map(*[F.lit(x) for pair in DAILY_OF_HOURLY.items() for x in pair])
+    hour = F.regexp_extract("date", r"^.*T([^T]*)$", 1)
     return (
-        events.withWatermark("ts", delay)
-        .groupBy(F.window("ts", "1 day").alias("day"))
-        .agg(F.array_sort(F.collect_set(par_hour("ts"))).alias("hours"))
-        .select(par_day("day.start").alias("par_day"), "hours")
+        completions.withColumn("pipelineId", F.try_element_at(daily, F.col("pipelineId"))).withColumn("hour", hour)
+        .filter("pipelineId IS NOT NULL AND hour <> ''")
+        .withWatermark("ts", delay)
+        .groupBy("pipelineId", F.window("ts", "1 day").alias("day"))
+        .agg(F.array_sort(F.collect_set("hour")).alias("completed_hours"))
+        .select("pipelineId", F.date_format("day.start", "yyyy-MM-dd").alias("par_day"), "completed_hours",
+                (F.size("completed_hours") >= HOURS_PER_DAY).alias("all_hours_complete"))
     )
 
 
 def window_volume(events: DataFrame, delay: str = "10 minutes", width: str = "15 minutes") -> DataFrame:
-    """Rows per window, emitted once when the watermark has passed its end."""
+    """Rows per stream and window, emitted once when the watermark has passed its end."""
     return (
         events.withWatermark("ts", delay)
-        .groupBy(F.window("ts", width).alias("w"))
+        .groupBy("stream", F.window("ts", width).alias("w"))
         .agg(F.count(F.lit(1)).alias("records"))
-        .select(F.col("w.start").alias("window_start"), "records")
+        .select("stream", F.col("w.start").alias("window_start"), "records")
     )
 
 
+def with_expected(volumes: DataFrame, targets: dict[str, int] = DAILY_TARGETS) -> DataFrame:
+    """Window counts beside what the stream's fixed daily target expects of the window."""
+    slot = F.hour("window_start") * 4 + F.floor(F.minute("window_start") / 15)
+    out = with_stream_targets(volumes, targets)
+    return out.withColumn("expected", expected_in_window("daily_target", slot.cast("int"))).drop("daily_target")
+
+
 def suppress_duplicates(events: DataFrame, key: list[str], delay: str = "1 hour") -> DataFrame:
     return events.withWatermark("ts", delay).dropDuplicatesWithinWatermark(key)
 
@@ -156,13 +189,12 @@ def suppress_duplicates(events: DataFrame, key: list[str], delay: str = "1 hour"
 # ---- micro-batch jobs ---------------------------------------------------
 
 
-def transaction_batches(events: DataFrame, path: str, checkpoint: str) -> None:
-    """Count and oldest event of every micro-batch per day."""
+def transaction_batches(events: DataFrame, path: str, checkpoint: str, now: Column | None = None) -> None:
+    """Count, oldest event, lag and close of business of every micro-batch per day, against
+    ``now`` (the batch's newest event when not given)."""
 
     def shape(batch: DataFrame) -> DataFrame:
-        return batch.groupBy(par_day("ts").alias("par_day")).agg(
-            F.count(F.lit(1)).alias("transactions"), F.min("ts").alias("oldest"), F.max("ts").alias("newest")
-        )
+        return monitoring.batch_lag(batch.withColumn("par_day", par_day("ts")), ["par_day"], now)
 
     run_available(events, batch_writer(path, shape), checkpoint)
 
@@ -178,69 +210,23 @@ def split_late(events: DataFrame, arrived: str, period_end, allowed_seconds: int
     run_available(events, on_batch, checkpoint)
 
 
-def _before(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
-    """What the batch before this one left; a batch run again sees the same."""
-    return spark.read.parquet(f"{path}/batch={batch_id - 1}") if batch_id > 0 else None
-
+def weather_counts(readings: DataFrame, delay: str = "2 hours") -> DataFrame:
+    """Ten-minute counts of readings as they change. Spark holds the open batches only; the
+    latch of a period follows from its latest counts."""
+    return (
+        readings.withWatermark("ts", delay)
+        .groupBy(F.window("ts", "10 minutes").alias("w"), "period", "batch_no")
+        .agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("quality") >= VALID_QUALITY).alias("valid"), F.max("ts").alias("arrived_at"))
+        .drop("w")
+    )
 
-def latch(readings: DataFrame, path: str, checkpoint: str) -> None:
-    """Readiness of a period, set once and never unset.
 
-    Carried from batch to batch: the ten-minute counts of periods not yet latched.
-    A latched period keeps its first row, whatever arrives later.
-    """
-
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        counts = monitoring.weather_batches(batch)
-        if batch_id > 0:
-            done = read_batches(spark, f"{path}/latched").filter(F.col("batch") < batch_id).select("period")
-            counts = (
-                counts.unionByName(_before(spark, f"{path}/open", batch_id))
-                .join(done, "period", "left_anti")
-                .groupBy("period", "batch_no")
-                .agg(F.sum("total").alias("total"), F.sum("valid").alias("valid"), F.max("arrived_at").alias("arrived_at"))
-            )
-        counts.write.mode("overwrite").parquet(f"{path}/counts/batch={batch_id}")
-        stored = spark.read.parquet(f"{path}/counts/batch={batch_id}")
-        now = monitoring.weather_latch(stored)
-        now.write.mode("overwrite").parquet(f"{path}/latched/batch={batch_id}")
-        still_open = stored.join(now.select("period"), "period", "left_anti")
-        still_open.write.mode("overwrite").parquet(f"{path}/open/batch={batch_id}")
-
-    run_available(readings, on_batch, checkpoint)
-
-
-def factory_health(readings: DataFrame, path: str, checkpoint: str) -> None:
-    """Latest reading's status per machine and day, and the factory's health after every batch."""
-
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        newest = batch.groupBy("machine_id", "par_day").agg(
-            F.max_by("status", F.struct("updated_at", "event_id")).alias("status"),
-            F.max("updated_at").alias("updated_at"),
-            F.max_by("event_id", F.struct("updated_at", "event_id")).alias("event_id"),
-        )
-        known = _before(spark, f"{path}/latest", batch_id)
-        if known is not None:
-            newest = (
-                newest.unionByName(known)
-                .groupBy("machine_id", "par_day")
-                .agg(
-                    F.max_by("status", F.struct("updated_at", "event_id")).alias("status"),
-                    F.max("updated_at").alias("updated_at"),
-                    F.max_by("event_id", F.struct("updated_at", "event_id")).alias("event_id"),
-                )
-            )
-        newest.write.mode("overwrite").parquet(f"{path}/latest/batch={batch_id}")
-        stored = spark.read.parquet(f"{path}/latest/batch={batch_id}")
-        health = monitoring.factory_health(stored.drop("event_id"), ["par_day"])
-        health.write.mode("overwrite").parquet(f"{path}/health/batch={batch_id}")
-
-    run_available(readings, on_batch, checkpoint)
-
-
-def last_batch(spark: SparkSession, path: str) -> DataFrame:
-    """The newest of the numbered results below a folder."""
-    done = read_batches(spark, path)
-    return done.filter(F.col("batch") == done.select(F.max("batch")).scalar()).drop("batch")
+def machine_hours(readings: DataFrame, delay: str = "2 hours") -> DataFrame:
+    """Status of every machine and hour by the means of its readings, as they change."""
+    return (
+        readings.withWatermark("updated_at", delay)
+        .groupBy("machine_id", F.window("updated_at", "1 hour").alias("w"))
+        .agg(*[F.avg(m).alias(m) for m in monitoring.MEASURES], F.count(F.lit(1)).alias("readings_count"), F.max("updated_at").alias("updated_at"))
+        .select("machine_id", par_day("w.start").alias("par_day"), par_hour("w.start").alias("par_hour"),
+                machine_health(*monitoring.MEASURES).alias("status"), "readings_count", "updated_at")
+    )

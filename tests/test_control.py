@@ -165,6 +165,13 @@ def test_weather_latch(rows, batches, fires_at):
     assert state.complete is (fires_at is not None)
 
 
+def test_latch_columns_are_of_one_batch(rows):
+    at = lambda m: datetime(2026, 3, 1, 10, m)
+    late = rows([("20260301T10", 0, 12, 12, at(30)), ("20260301T10", 1, 20, 20, at(15))],
+                "period string, batch_no int, total long, valid long, arrived_at timestamp_ntz")
+    assert [tuple(r) for r in monitoring.weather_latch(late).collect()] == [("20260301T10", 1, at(15), 20)]
+
+
 def test_dry_run(rows):
     got = rules.dry_run_events(wx(rows, [(6, 6), (6, 6), (2, 2), (1, 0)])).collect()
     kinds = sorted((r.event_type, r.detail) for r in got)

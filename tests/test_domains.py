@@ -43,6 +43,7 @@ def test_latest_status_wins(rows):
     schema = "machine_id string, updated_at timestamp_ntz, status string, par_day string"
     df = rows([("m", T0 + timedelta(hours=1), "healthy", "d"), ("m", T0, "critical", "d")], schema)
     assert monitoring.latest_status(df, ["par_day"]).first().status == "healthy"
+    assert "SortAggregate" not in monitoring.latest_status(df, ["par_day"])._jdf.queryExecution().executedPlan().toString()
 
 
 def test_hour_summary(rows):
@@ -107,6 +108,8 @@ GATES = [
     (("NaN", "0.05", "h"), "NaN detected in accuracy"),
     (("0.97", None, "h"), "missing required field: loss"),
     (("0.97", "nan", "h"), "NaN detected in loss"),
+    (("abc", "x", "h"), "accuracy is not a number"),
+    (("0.97", "x", "h"), "loss is not a number"),
     (("0.9499", "0.5", "h"), "accuracy 0.9499 below threshold 0.95"),
     (("0.95", "0.1", ""), "loss 0.1000 exceeds threshold 0.1"),
     (("0.95", "0.05", ""), "missing weights_hash"),
@@ -118,7 +121,7 @@ def test_gate_reports_the_first_failure(rows):
     df = rows([(i, *g) for i, (g, _) in enumerate(GATES)], "i int, accuracy string, loss string, weights_hash string")
     got = features.quality_gate(df).orderBy("i").collect()
     assert [r.reason for r in got] == [reason for _, reason in GATES]
-    assert [r.passed for r in got] == [False] * 7 + [True]
+    assert [r.passed for r in got] == [False] * 9 + [True]
     assert (got[1].accuracy_value, got[2].loss_value) == (0.0, 0.0)
 
 
@@ -141,6 +144,15 @@ def test_promotion_takes_the_last_that_passed(rows):
     assert [(r.model_version, r.accuracy) for r in features.promote(df, F.lit("d")).collect()] == [("v2", 0.97)]
 
 
+def test_production_is_replaced_by_day(rows, tmp_path):
+    schema = "run_no long, model_version string, passed boolean, accuracy_value double"
+    day = F.floor(F.col("run_no") / 10).cast("string")
+    path = str(tmp_path / "production")
+    features.deploy(rows([(1, "v1", True, 0.96), (11, "v11", True, 0.97)], schema), day, path)
+    table = features.deploy(rows([(12, "v12", True, 0.98), (13, "v13", False, 0.0)], schema), day, path)
+    assert sorted((r.par_day, r.model_version) for r in table.collect()) == [("0", "v1"), ("1", "v12")]
+
+
 # ---- scalars ------------------------------------------------------------
 
 

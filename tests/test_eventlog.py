@@ -87,6 +87,30 @@ def test_feeds(log):
 def test_pivot(log):
     got = {r.pipelineId: r.asDict() for r in eventlog.pivot_types(log, "pipelineId", ["SLA_MET", "JOB_FAILED"]).collect()}
     assert (got["ingest"]["SLA_MET"], got["ingest"]["JOB_FAILED"], got["publish"]["JOB_FAILED"]) == (1, 0, 1)
+    assert (got["ingest"]["OTHER"], got["publish"]["OTHER"]) == (2, 1)
+    strange = log.withColumn("eventType", F.when(F.col("event_id") == 6, "DATA_DRIFT").when(F.col("event_id") != 5, F.col("eventType")))
+    every = {r.pipelineId: r.asDict() for r in eventlog.pivot_types(strange, "pipelineId").collect()}
+    assert every["publish"]["DATA_DRIFT"] == 1 and every["publish"]["UNKNOWN"] == 1
+    assert all(sum(v for k, v in r.items() if k != "pipelineId") == log.filter(F.col("pipelineId") == p).count() for p, r in every.items())
+
+
+def test_feeds_in_one_reading(log):
+    got = eventlog.feeds(log, ["all", "failures", "sla"], 2)
+    assert {f: sorted(r.event_id for r in got.collect() if r.feed == f) for f in ("all", "failures", "sla")} == {
+        "all": [4, 6], "failures": [5, 6], "sla": [2, 4]}
+    assert got._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") == 2
+
+
+def test_timeline_of_one_pipeline(log, rows):
+    snapshots = rows(
+        [("ingest", "ready", datetime(2026, 3, 4, 10), 3, None, {"audit": {"updatedAt": "2026-03-04 11:30:00"}}),
+         ("ingest", "ready", datetime(2026, 3, 4, 11), None, None, {"audit": {"n": "1"}}),
+         ("publish", "ready", datetime(2026, 3, 4, 11), 3, datetime(2026, 3, 4, 11), None)],
+        "pipeline_id string, sensor string, period timestamp_ntz, total_readings int, updated_at timestamp_ntz, nested map<string,map<string,string>>")
+    for c in ("valid_readings", "batches_received", "complete"):
+        snapshots = snapshots.withColumn(c, F.lit(None).cast("int"))
+    got = sorted((r.origin, r.message, r["at"].hour) for r in eventlog.merged_timeline(log, snapshots, "ingest", 2).collect())
+    assert got == [("event", "m1", 10), ("event", "m2", 11), ("sensor", "ready [2026-03-04T10]: total_readings=3", 11)]
 
 
 def test_normalize_defaults(rows):

@@ -170,6 +170,20 @@ def test_calendar(spark):
     assert got.agg(F.min("window_start")).first()[0] == T0
 
 
+def test_sparse_ids_and_a_burst(rows):
+    """Chunks of one row, and a chunk with nearly all rows, in several groups of chunks."""
+    ids = [i * 1_000_003 for i in range(40)] + list(range(50_000_000, 50_000_200))
+    df = rows([("a", i, i if i % 3 == 0 else None) for i in ids], "k string, id long, v long")
+    chunk = id_chunk("id", 1000)
+    before = {r.id: r.prev for r in previous(df, [], ["id"], {"prev": "id"}, chunk, fan=7).collect()}
+    carried = {r.id: r.now for r in carry_last(df, ["k"], ["id"], "v", "now", chunk, fan=7).collect()}
+    last, known = None, None
+    for i in sorted(ids):
+        known = i if i % 3 == 0 else known
+        assert (before[i], carried[i]) == (last, known)
+        last = i
+
+
 def test_spread_join_equals_a_join(spark):
     from pingline.operators.joins import spread_join
 

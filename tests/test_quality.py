@@ -65,6 +65,9 @@ def test_schema_drift(spark, rows):
     payloads = rows([('{"a": 1, "x": 2}',), ('{"a": 1, "b": 2}',), ('{"a": 1, "b": 2}',)], "p string")
     got = quality.payload_drift(payloads, "p", ["a", "b"]).collect()
     assert sorted(map(tuple, got)) == [("b", "removed", 1), ("x", "added", 1)]
+    broken = rows([('{"a": 1',), ("[1]",), (None,), ('{"a": 1, "b": 2}',)], "p string")
+    got = quality.payload_drift(broken, "p", ["a", "b"]).collect()
+    assert sorted(map(tuple, got)) == [("", "absent", 1), ("", "malformed", 2)]
 
 
 def test_replay_and_drift(rows):

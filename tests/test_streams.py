@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from pingline.catalog.ingest import GLOB
 from pingline.operators import monitoring, quality
-from pingline.operators.completeness import stored_counts
+from pingline.functions.columns import par_day, par_hour
+from pingline.operators.completeness import daily_completeness, stored_counts
 from pingline.session import scratch_path
 from pingline.sources import bronze, tables
 from pingline.streaming import jobs
@@ -46,30 +47,41 @@ def same(a, b):
     assert sorted(map(str, a.select(*sorted(a.columns)).collect())) == sorted(map(str, b.select(*sorted(b.columns)).collect()))
 
 
+def delivered(events):
+    file_no = F.floor(F.minute("ts") / 15).cast("int").alias("file_no")
+    return events.select(tables.stream_of().alias("stream"), file_no, "ts", par_day("ts").alias("par_day"), par_hour("ts").alias("par_hour"))
+
+
 def test_hourly_counts(spark, parts):
     out, checkpoint = where(spark)
-    jobs.run_available(jobs.hourly_counts(source(spark, parts)), jobs.batch_writer(out), checkpoint, "update")
+    jobs.run_available(jobs.hourly_counts(delivered(source(spark, parts))), jobs.batch_writer(out), checkpoint, "update")
     changes = jobs.read_batches(spark, out)
     assert changes.select("batch").distinct().count() >= 3
-    want = batch(spark).groupBy("par_day", "par_hour").agg(F.count(F.lit(1)).alias("records"), F.max("ts").alias("updated_at"))
-    same(jobs.latest_per_key(changes, ["par_day", "par_hour"]), want)
+    want = delivered(batch(spark)).groupBy("stream", "par_day", "par_hour").agg(
+        F.count(F.lit(1)).alias("records"), F.count_distinct("file_no").alias("files"), F.max("ts").alias("updated_at"))
+    same(jobs.latest_per_key(changes, ["stream", "par_day", "par_hour"]), want)
 
 
 def test_daily_hours(spark, parts):
     out, checkpoint = where(spark)
-    jobs.run_available(jobs.daily_hours(source(spark, parts)), jobs.batch_writer(out), checkpoint, "update")
-    want = batch(spark).groupBy("par_day").agg(F.array_sort(F.collect_set("par_hour")).alias("hours"))
-    same(jobs.latest_per_key(jobs.read_batches(spark, out), ["par_day"]), want)
+    shape = lambda df: df.select(
+        F.when(F.col("event_type") == "click", "silver-cdr-hour").when(F.col("event_type") == "view", "other").otherwise("silver-seq-hour").alias("pipelineId"),
+        F.when(F.col("event_id") % 5 == 0, F.date_format("ts", "yyyy-MM-dd")).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH")).alias("date"), "ts")
+    jobs.run_available(jobs.daily_hours(shape(source(spark, parts))), jobs.batch_writer(out), checkpoint, "update")
+    want = daily_completeness(shape(batch(spark)))
+    same(jobs.latest_per_key(jobs.read_batches(spark, out), ["pipelineId", "par_day"]), want)
 
 
 def test_window_volume_emits_closed_windows_once(spark, parts):
     out, checkpoint = where(spark)
-    jobs.append_available(jobs.window_volume(source(spark, parts)), out, checkpoint)
-    got = {r.window_start: r.records for r in bronze.as_ntz(spark.read.parquet(out)).collect()}
-    counts = batch(spark).groupBy(F.window("ts", "15 minutes")["start"].alias("w")).count().collect()
+    jobs.append_available(jobs.window_volume(delivered(source(spark, parts))), out, checkpoint)
+    got = {(r.stream, r.window_start): r.records for r in bronze.as_ntz(spark.read.parquet(out)).collect()}
+    counts = delivered(batch(spark)).groupBy("stream", F.window("ts", "15 minutes")["start"].alias("w")).count().collect()
     newest = batch(spark).agg(F.max("ts")).first()[0]
-    want = {r.w: r["count"] for r in counts if r.w + timedelta(minutes=25) <= newest}
+    want = {(r.stream, r.w): r["count"] for r in counts if r.w + timedelta(minutes=25) <= newest}
     assert got == want
+    expected = jobs.with_expected(spark.read.parquet(out), {"cdr": 960, "seq": 96_000}).collect()
+    assert all(r.expected > 0 for r in expected) and max(r.expected for r in expected if r.stream == "cdr") < 40
 
 
 def test_duplicates_are_suppressed(spark, parts):
@@ -82,8 +94,8 @@ def test_duplicates_are_suppressed(spark, parts):
 def test_latch_is_set_once(spark, parts):
     out, checkpoint = where(spark)
     readings = tables.weather_of(tables.with_keys(source(spark, parts)))
-    jobs.latch(readings, out, checkpoint)
-    got = jobs.read_batches(spark, f"{out}/latched").drop("batch")
+    jobs.run_available(jobs.weather_counts(readings), jobs.batch_writer(out), checkpoint, "update")
+    got = monitoring.weather_latch(jobs.latest_per_key(jobs.read_batches(spark, out), ["period", "batch_no"]))
     assert got.count() == got.select("period").distinct().count()
     want = monitoring.weather_latch(monitoring.weather_batches(tables.weather_of(batch(spark))))
     same(got, want)
@@ -98,8 +110,8 @@ def test_latch_survives_poor_batches(spark, rows):
     for data in (good, poor):
         rows(data, schema).coalesce(1).write.mode("append").parquet(path)
     out, checkpoint = where(spark)
-    jobs.latch(source(spark, path, 1), out, checkpoint)
-    got = jobs.read_batches(spark, f"{out}/latched").collect()
+    jobs.run_available(jobs.weather_counts(source(spark, path, 1)), jobs.batch_writer(out), checkpoint, "update")
+    got = monitoring.weather_latch(jobs.latest_per_key(jobs.read_batches(spark, out), ["period", "batch_no"])).collect()
     assert [(r.period, r.batch_no, r.total_then) for r in got] == [("20260301T00", 0, 12)]
 
 
@@ -110,6 +122,16 @@ def test_transaction_batches(spark, parts):
     same(got, batch(spark).groupBy("par_day").agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("oldest")))
 
 
+def test_lag_against_now(spark, parts):
+    out, checkpoint = where(spark)
+    newest = batch(spark).agg(F.max("ts")).first()[0]
+    now = newest.replace(hour=18, minute=0, second=0, microsecond=0) + timedelta(days=1)
+    jobs.transaction_batches(source(spark, parts), out, checkpoint, F.lit(now).cast("timestamp_ntz"))
+    got = jobs.read_batches(spark, out).collect()
+    assert all(r.cob_complete for r in got)
+    assert min(r.lag_seconds for r in got) >= int((now - newest).total_seconds())
+
+
 def test_late_rows_are_kept_apart(spark, parts):
     out, checkpoint = where(spark)
     delay = F.make_dt_interval(mins=F.when(F.col("event_id") % 7 == 0, 200).otherwise(1))
@@ -123,16 +145,10 @@ def test_late_rows_are_kept_apart(spark, parts):
 
 def test_factory_health(spark, parts):
     out, checkpoint = where(spark)
-    shape = lambda df: df.select(
-        F.concat(F.lit("machine_"), F.lpad((F.col("user_id") % 10 + 1).cast("string"), 2, "0")).alias("machine_id"),
-        F.col("ts").alias("updated_at"), F.date_format("ts", "yyyyMMdd").alias("par_day"), "event_id",
-        F.when(F.col("value") > 30, "healthy").otherwise("critical").alias("status"),
-    )
-    jobs.factory_health(shape(source(spark, parts)), out, checkpoint)
-    latest = shape(batch(spark)).groupBy("machine_id", "par_day").agg(
-        F.max_by("status", F.struct("updated_at", "event_id")).alias("status"), F.max("updated_at").alias("updated_at")
-    )
-    same(jobs.last_batch(spark, f"{out}/health"), monitoring.factory_health(latest, ["par_day"]))
+    jobs.run_available(jobs.machine_hours(tables.machine_readings_of(tables.with_keys(source(spark, parts)))), jobs.batch_writer(out), checkpoint, "update")
+    hours = jobs.latest_per_key(jobs.read_batches(spark, out), ["machine_id", "par_day", "par_hour"])
+    want = monitoring.machine_status(tables.machine_readings_of(batch(spark)), ["par_day", "par_hour"])
+    same(hours, want.select("machine_id", "par_day", "par_hour", "status", "readings_count", "updated_at"))
 
 
 def test_bronze_rows_and_counters_agree(spark, tmp_path):
@@ -147,6 +163,8 @@ def test_bronze_rows_and_counters_agree(spark, tmp_path):
     dimension = tables.phone_dimension(spark, SMALL)
     jobs.bronze_ingest(raw, dimension, "salt", out, checkpoint)
     stored = jobs.read_batches(spark, f"{out}/bronze")
+    one_day = bronze.read_partition(spark, f"{out}/bronze", stored.first().par_day)
+    assert "par_day" in one_day._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
     want = bronze.bronze_calls(bronze.good_rows(bronze.read_raw(spark, path, "cdr", GLOB)), dimension, "salt")
     same(stored.drop("batch"), want)
     counters = jobs.read_batches(spark, f"{out}/counters").groupBy("par_day", "par_hour").agg(F.sum("records").alias("stored_count"))
@@ -161,6 +179,20 @@ def test_bronze_rows_and_counters_agree(spark, tmp_path):
     assert jobs.read_batches(spark, f"{out}/again").count() == want.count()
 
 
+def test_new_phones_are_inserted_once(spark):
+    path = f"{scratch_path(spark, 'raw')}/seq"
+    pings = tables.browses(spark, SMALL).limit(400).drop("par_day", "par_hour")
+    bronze.write_raw(pings, path)
+    out, checkpoint = where(spark)
+    dimension = tables.phone_dimension(spark, SMALL)
+    jobs.bronze_ingest(jobs.raw_stream(spark, path, "seq", GLOB, files=9), dimension, "salt", out, checkpoint, "seq")
+    got = jobs.inserted_phones(spark, out)
+    want = pings.select(F.col("phone_number").alias("phone")).distinct().join(dimension, "phone", "left_anti")
+    assert {r.phone for r in got.collect()} == {r.phone for r in want.collect()}
+    same(jobs.read_batches(spark, f"{out}/bronze").drop("batch"),
+         bronze.bronze_browses(bronze.good_rows(bronze.read_raw(spark, path, "seq", GLOB)), dimension, "salt"))
+
+
 def test_malformed_lines_go_to_quarantine(spark):
     import gzip
     import os
