@@ -31,8 +31,8 @@ from pyspark.sql import Window as W
 from pingline.llm.common import chunks_of, stored, text_bytes
 
 WINDOW, END_ID = 2048, 1
-#: Words a worker remembers, and the longest it remembers.
-REMEMBER, LONGEST = 400_000, 64
+#: Words of the newer half of a worker's memory, and the longest it remembers.
+REMEMBER, LONGEST = 600_000, 64
 #: Rounds of the least-squares solver.
 ROUNDS = 200
 
@@ -48,7 +48,10 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # control strings in a text are plain text
+        #: as narrow as the vocabulary allows
+        self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> WordEncoder:
@@ -57,16 +60,19 @@ class WordEncoder:
         return cls.loaded[path]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
+        """Ids of each text, as little-endian numbers of ``dtype``."""
         words = [t.split() for t in texts]
-        if len(self.known) > REMEMBER:
-            self.known.clear()
-        known = self.known
-        missing = list(set().union(*words) - known.keys())
+        if len(self.known) > REMEMBER:  # words met again move from the older half to the newer
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        missing = set().union(*words) - known.keys()
+        again = missing & older.keys()
+        known.update((w, older[w]) for w in again)
+        missing = list(missing - again)
         for at in range(0, len(missing), 10_000):
             some = missing[at:at + 10_000]
             made = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
-            known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(some, made))
+            known.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(some, made))
         out = [b"".join(map(known.__getitem__, ws)) for ws in words]
         for w in missing:
             if len(w) > LONGEST:
@@ -75,21 +81,23 @@ class WordEncoder:
 
 
 def encoded(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> DataFrame:
-    """row, doc_id, n and the ids of each document with its end id. ``vocabulary`` is a file
-    every executor has."""
+    """row, doc_id, n, the bytes of an id, and the ids of each document with its end id.
+    ``vocabulary`` is a file every executor has."""
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    end = np.array([end_id], "<u4").tobytes()
     kind = slim.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks_of(batches, 4 << 20, 1):
-            ids = [x + end for x in WordEncoder.of(vocabulary).encode(text_bytes(batch.column(1)))]
+            encoder = WordEncoder.of(vocabulary)
+            end = np.array([end_id], encoder.dtype).tobytes()
+            ids = [x + end for x in encoder.encode(text_bytes(batch.column(1)))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                ["doc_id", "n", "ids"])
+                [batch.column(0), pa.array([len(x) // len(end) for x in ids], pa.int64()),
+                 pa.array([len(end)] * len(ids), pa.int32()), pa.array(ids, pa.binary())],
+                ["doc_id", "n", "wide", "ids"])
 
-    made = slim.mapInArrow(run, f"doc_id {kind}, n long, ids binary")
-    return made.select(F.monotonically_increasing_id().alias("row"), "doc_id", "n", "ids")
+    made = slim.mapInArrow(run, f"doc_id {kind}, n long, wide int, ids binary")
+    return made.select(F.monotonically_increasing_id().alias("row"), "doc_id", "n", "wide", "ids")
 
 
 def combinations(lengths: np.ndarray, window: int) -> np.ndarray:
@@ -207,11 +215,13 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
             start, at, residual = start + cut, at + cut, residual - cut
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks_of(batches, 8 << 20, 2):
+        for batch in chunks_of(batches, 4 << 20, 3):
             out: list[list] = [[], [], [], [], [], []]
             rows = []
             b = batch.to_pydict()
-            for i, (n, ids, *at) in enumerate(zip(b["n"], b["ids"], b["rank"], b["residual"], b["at"], b["before"])):
+            for i, (n, wide, ids, *at) in enumerate(zip(b["n"], b["wide"], b["ids"], b["rank"], b["residual"], b["at"], b["before"])):
+                if wide != 4:
+                    ids = np.frombuffer(ids, f"<u{wide}").astype("<u4").tobytes()
                 for start, length, sequence, offset in pieces(n, *at):
                     rows.append(i)
                     for column, value in zip(out, (start, length, ids[4 * start:4 * (start + length)], n, sequence, offset)):
@@ -222,5 +232,5 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
                 ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.join(placed, "row").select("doc_id", "n", "ids", "rank", "residual", "at", "before").mapInArrow(
+    return texts.join(placed, "row").select("doc_id", "n", "wide", "ids", "rank", "residual", "at", "before").mapInArrow(
         run, f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
