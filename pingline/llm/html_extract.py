@@ -32,7 +32,7 @@ from pingline.llm.common import chunks_of
 from pingline.llm.html_tree import features, follows, tree
 
 #: Bound of the sample that training words come from, and the number of training pages.
-SAMPLE, WORDS, PAGES, SEED = 64, 200, 500, 11
+SAMPLE, WORDS, PAGES, SEED = 64, 200, 1000, 11
 PLAIN = "a the of and to in is it was for on with as by at from that this one part more time day year work word page line text".split()
 
 
@@ -92,10 +92,12 @@ def compose(words: list[str], rng: random.Random) -> str:
     def menu() -> str:
         return box(["nav"], ["nav", "menu", "navbar", "navigation", "main-menu"], links(2, 10))
 
+    longest = 250 if rng.random() < 0.75 else 6  # a quarter of the pages say little
+
     def main_block() -> str:
         kind = rng.random()
         if kind < 0.74:
-            return f"<p data-main>{say(1, 250)}" + rng.choice(["</p>", "</p>", "</p>", "", "<br>"])
+            return f"<p data-main>{say(1, longest)}" + rng.choice(["</p>", "</p>", "</p>", "", "<br>"])
         if kind < 0.82:
             return f"<h{rng.randint(2, 4)} data-main>{say(1, 10)}</h2>".replace("</h2>", "</h2></h3></h4>")
         if kind < 0.88:
