@@ -1,0 +1,17 @@
+"""The subpackage's queries against their SQL on the smallest tables."""
+
+import duckdb
+import pytest
+
+from check import TABLES, compare
+from pingline.llm.queries import ORACLES
+
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query(spark, name):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
+    assert compare(spark, con, name, SMALL)[0] == "ok"
