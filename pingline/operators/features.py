@@ -117,9 +117,11 @@ def train(prepared: DataFrame) -> DataFrame:
         F.avg((F.col("prediction") == y).cast("double")).alias("accuracy"),
         F.avg(-(y * F.log(p) + (1 - y) * F.log(1 - p))).alias("loss"),
     )
-    trained = fingerprint(prepared.filter(F.col("split") == "train"), FEATURE_COLUMNS)
+    # features have six places, so as whole numbers they read alike everywhere
+    whole = [F.round(F.col(c) * 1_000_000).cast("bigint").alias(c) for c in FEATURE_COLUMNS]
+    trained = fingerprint(prepared.filter(F.col("split") == "train").select(*whole), FEATURE_COLUMNS)
     return measured.select(
         F.lit("v1.0").alias("model_version"), "accuracy", "loss", "test_rows",
         trained.select("row_count").scalar().alias("training_rows"),
-        trained.select(F.hex("fingerprint")).scalar().alias("weights_hash"),
+        trained.select(F.col("fingerprint").cast("string")).scalar().alias("weights_hash"),
     )
