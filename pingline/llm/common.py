@@ -30,6 +30,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     package on the executors, whose Python needs it."""
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     app = spark.sparkContext.applicationId
     if app not in _SHIPPED:
         package = Path(__file__).resolve().parent.parent

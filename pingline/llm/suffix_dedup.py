@@ -36,14 +36,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pingline.llm.common import LAST_ID, chunks_of, fresh, stored
+from pingline.llm.common import LAST_ID, chunks_of, fresh, stored, text_bytes
 
 LENGTH, GRAM = 50, 20
 SPAN = LENGTH - GRAM + 1
 #: Bytes parsed in one array, and bytes whose phrases are combined before the shuffle.
-BLOCK, BATCH = 1 << 20, 16 << 20
+BLOCK, BATCH = 1 << 18, 4 << 20
 #: Windows sorted at a time, if no single context holds more.
-SORTED = 1 << 18
+SORTED = 1 << 17
 #: Buckets per shuffle partition, so that hashing them spreads evenly.
 BUCKETS = 4
 #: The trigger lies up to here behind a window's start: windows to the right are compared by
@@ -172,11 +172,13 @@ def _slices(order: np.ndarray, buckets: np.ndarray) -> Iterator[tuple[int, np.nd
 
 
 def parser(buckets: int):
-    """Batches (id, tag, compressed text) to blobs of phrases per bucket; kind 0: phrases,
+    """Batches (id, tag, text) to blobs of phrases per bucket; kind 0: phrases,
     kind 1: repeated stretches (doc, tag, start, windows)."""
 
     def emit(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
         doc, tag, start, count, reach, key, content = (np.concatenate(x) for x in zip(*held))
+        if not len(doc):
+            return
         order = np.lexsort((doc, content))
         begins = _runs(content[order][1:] != content[order][:-1])
         earliest = np.repeat(doc[order][begins], np.diff(np.concatenate([begins, [len(order)]])))
@@ -215,8 +217,7 @@ def parser(buckets: int):
         for batch in chunks_of(batches, 1 << 20, 2):
             part: list[tuple[int, int, int, bytes]] = []
             filled = 0
-            for doc, tag, packed in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                text = zstandard.decompress(packed) if packed else b""
+            for doc, tag, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), text_bytes(batch.column(2))):
                 for at in range(0, max(1, len(text) - LENGTH + 1), BLOCK - LENGTH):
                     # each block holds the windows that start in its stretch
                     piece = text[at:at + BLOCK - 1]
@@ -402,10 +403,9 @@ def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _slim(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc, tag and the compressed text: texts cross the network in a third of their size."""
+    """doc, tag and text."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    slim = docs.select(order(id_col).alias("doc"), F.crc32(text).alias("tag"), text.alias("packed"))
-    return slim.mapInArrow(_compressed, "doc long, tag long, packed binary")
+    return docs.select(order(id_col).alias("doc"), F.crc32(text).alias("tag"), text.alias("packed"))
 
 
 def order(id_col: str) -> Column:
@@ -422,6 +422,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     found = stored(phrases.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(dictionary, _FOUND), "phrases")
     # a document's phrases and stretches are no longer than the document
     open_ = found.where("NOT settled").groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "end", "reach")).alias("phrases"))
+    # texts cross the network in a third of their size
+    slim = slim.mapInArrow(_compressed, "doc long, tag long, packed binary")
     blobs = slim.join(open_, ["doc", "tag"]).select("doc", "tag", "packed", "phrases").mapInArrow(contexts(buckets), "bucket int, blob binary")
     more = blobs.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(suffixes, _FOUND)
     spans = found.where("settled").select("doc", "tag", "start", "end").union(more.select("doc", "tag", "start", "end"))
