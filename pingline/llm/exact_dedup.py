@@ -49,14 +49,13 @@ def chunks(text: Column, shortest: int = SHORTEST, longest: int = LONGEST) -> Co
 
 def collisions(texts: DataFrame, hash_of: Callable[[Column], Column]) -> DataFrame:
     """(hash, chunk, rank) of the chunks that share their hash with another chunk."""
-    distinct = (
-        texts.select(F.explode(chunks(F.col("text"))).alias("chunk"))
-        .select(hash_of(F.col("chunk")).alias("hash"), "chunk")
-        .groupBy("hash", "chunk").agg(F.lit(1).alias("one"))
-    )
-    # the exchange of the pairs serves both sides
-    shared = distinct.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
-    ranked = distinct.join(shared, "hash")
+    every = texts.select(F.explode(chunks(F.col("text"))).alias("chunk")).select(hash_of(F.col("chunk")).alias("hash"), "chunk")
+    distinct = every.groupBy("hash", "chunk").agg(F.lit(1).alias("one"))
+    # chunks cross the network once; only hashes do again
+    shared = stored(distinct.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "shared-hashes")
+    if shared.isEmpty():
+        return texts.sparkSession.createDataFrame([], "hash long, chunk string, rank int")
+    ranked = every.join(shared, "hash", "left_semi").distinct()
     return ranked.select("hash", "chunk", F.row_number().over(W.partitionBy("hash").orderBy("chunk")).alias("rank"))
 
 
@@ -75,8 +74,9 @@ def recipes(texts: DataFrame, shared: DataFrame, hash_of: Callable[[Column], Col
         .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("at", "hash", "rank"))).alias("all"))
         .select("row", F.transform("all", lambda x: F.struct(x["hash"].alias("hash"), x["rank"].alias("rank"))).alias("exact"))
     )
-    empty = F.filter(plain, lambda x: F.lit(False))
-    return texts.drop("text").join(named, "row", "left").withColumn("recipe", F.coalesce("exact", empty)).drop("exact")
+    # a text without chunks is empty, and so is its plain list
+    return texts.withColumn("plain", plain).drop("text").join(named, "row", "left").withColumn(
+        "recipe", F.coalesce("exact", "plain")).drop("exact", "plain")
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
