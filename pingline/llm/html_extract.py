@@ -160,9 +160,11 @@ def training(words: list[str], pages: int = PAGES, seed: int = SEED) -> tuple[np
 
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> Trees:
     """Trees for the table's language. Reads a bounded number of words of bounded pages."""
-    sample = pages.orderBy(F.col(id_col).asc_nulls_last()).limit(SAMPLE)
+    # ids first, then the words of those pages: no page travels whole, however many tasks read
+    last = pages.select(F.col(id_col).alias("id")).where("id IS NOT NULL").orderBy("id").limit(SAMPLE).agg(F.max("id")).first()[0]
     text = F.regexp_replace(F.coalesce(html_col, F.lit("")), "(?s)<(script|style).*?</\\1>|<[^>]*>|&[a-z]*;?", " ")
-    words = [w for r in sample.select(F.slice(F.split(text, "\\s+"), 1, WORDS).alias("w")).collect() for w in r["w"] if w and len(w) < 40]
+    sample = pages.where(F.col(id_col) <= F.lit(last)).select(F.col(id_col).alias("id"), F.slice(F.split(text, "\\s+"), 1, WORDS).alias("w"))
+    words = [w for r in sample.orderBy("id", "w").limit(SAMPLE).collect() for w in r["w"] if w and len(w) < 40]
     return fit(*training(sorted(words) if len(words) > 100 else PLAIN))
 
 
