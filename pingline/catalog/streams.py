@@ -64,8 +64,8 @@ def delivered(spark, sf_dir):
     FROM v_files GROUP BY ALL""")
 def stream_hourly_counts(spark, sf_dir):
     out, checkpoint = paths(spark, "stream-hours")
-    jobs.run_available(jobs.hourly_counts(delivered(spark, sf_dir)), jobs.batch_writer(out), checkpoint, "update")
-    return jobs.latest_per_key(jobs.read_batches(spark, out), ["stream", "par_day", "par_hour"])
+    jobs.run_available(delivered(spark, sf_dir), jobs.batch_writer(out, jobs.hourly_parts), checkpoint)
+    return jobs.hours_of(jobs.read_batches(spark, out))
 
 
 @query("SELECT * FROM v_daily")
@@ -75,8 +75,8 @@ def stream_daily_hours(spark, sf_dir):
     date = F.when(F.col("k") == 0, F.date_format("ts", "yyyy-MM-dd")).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH"))
     done = keyed_events(spark, sf_dir).select(job.alias("pipelineId"), date.alias("date"), "ts")
     out, checkpoint = paths(spark, "stream-days")
-    jobs.run_available(jobs.daily_hours(done), jobs.batch_writer(out), checkpoint, "update")
-    days = jobs.latest_per_key(jobs.read_batches(spark, out), ["pipelineId", "par_day"])
+    jobs.run_available(done, jobs.batch_writer(out, jobs.daily_parts), checkpoint)
+    days = jobs.days_of(jobs.read_batches(spark, out))
     return days.withColumn("completed_hours", F.array_join("completed_hours", ","))
 
 
@@ -100,8 +100,8 @@ def stream_bank_lag(spark, sf_dir):
 @query("SELECT * FROM v_wx_latch")
 def stream_latch(spark, sf_dir):
     out, checkpoint = paths(spark, "stream-latch")
-    jobs.run_available(jobs.weather_counts(tables.weather_of(keyed_events(spark, sf_dir))), jobs.batch_writer(out), checkpoint, "update")
-    return monitoring.weather_latch(jobs.latest_per_key(jobs.read_batches(spark, out), ["period", "batch_no"]))
+    jobs.run_available(tables.weather_of(keyed_events(spark, sf_dir)), jobs.batch_writer(out, jobs.weather_parts), checkpoint)
+    return monitoring.weather_latch(jobs.weather_of_parts(jobs.read_batches(spark, out)))
 
 
 @query("""
@@ -141,6 +141,6 @@ def stream_dedup(spark, sf_dir):
 def stream_factory_health(spark, sf_dir):
     out, checkpoint = paths(spark, "stream-factory")
     readings = tables.machine_readings_of(keyed_events(spark, sf_dir))
-    jobs.run_available(jobs.machine_hours(readings), jobs.batch_writer(out), checkpoint, "update")
-    hours = jobs.latest_per_key(jobs.read_batches(spark, out), ["machine_id", "par_day", "par_hour"])
+    jobs.run_available(readings, jobs.batch_writer(out, jobs.machine_parts), checkpoint)
+    hours = jobs.machines_of(jobs.read_batches(spark, out))
     return monitoring.factory_health(monitoring.latest_status(hours, ["par_day"]), ["par_day"])

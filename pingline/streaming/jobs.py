@@ -165,6 +165,41 @@ def daily_hours(completions: DataFrame, delay: str = "2 hours") -> DataFrame:
     )
 
 
+# Rows behind the watermark never reach a batch of the four views above and below. The
+# parts are summed up per micro-batch ahead of any state and put together when read back, so
+# the order in which files arrive does not matter and nothing has to expire.
+
+
+def hourly_parts(events: DataFrame) -> DataFrame:
+    """What a micro-batch holds of every stream and hour."""
+    return events.groupBy("stream", par_day("ts").alias("par_day"), par_hour("ts").alias("par_hour")).agg(
+        F.count(F.lit(1)).alias("records"), F.collect_set("file_no").alias("files"), F.max("ts").alias("updated_at"))
+
+
+def hours_of(parts: DataFrame) -> DataFrame:
+    files = F.array_distinct(F.flatten(F.collect_set("files")))
+    return parts.groupBy("stream", "par_day", "par_hour").agg(
+        F.sum("records").alias("records"), F.size(files).cast("bigint").alias("files"), F.max("updated_at").alias("updated_at"))
+
+
+def daily_parts(completions: DataFrame) -> DataFrame:
+    """What a micro-batch holds of every daily job and day."""
+    daily = F.create_map(*[F.lit(x) for pair in DAILY_OF_HOURLY.items() for x in pair])
+    hour = F.regexp_extract("date", r"^.*T([^T]*)$", 1)
+    return (
+        completions.withColumn("pipelineId", F.try_element_at(daily, F.col("pipelineId"))).withColumn("hour", hour)
+        .filter("pipelineId IS NOT NULL AND hour <> ''")
+        .groupBy("pipelineId", F.date_format("ts", "yyyy-MM-dd").alias("par_day"))
+        .agg(F.collect_set("hour").alias("completed_hours"))
+    )
+
+
+def days_of(parts: DataFrame) -> DataFrame:
+    hours = F.array_sort(F.array_distinct(F.flatten(F.collect_set("completed_hours"))))
+    return parts.groupBy("pipelineId", "par_day").agg(hours.alias("completed_hours")).withColumn(
+        "all_hours_complete", F.size("completed_hours") >= HOURS_PER_DAY)
+
+
 def window_volume(events: DataFrame, delay: str = "10 minutes", width: str = "15 minutes") -> DataFrame:
     """Rows per stream and window, emitted once when the watermark has passed its end."""
     return (
@@ -230,3 +265,30 @@ def machine_hours(readings: DataFrame, delay: str = "2 hours") -> DataFrame:
         .select("machine_id", par_day("w.start").alias("par_day"), par_hour("w.start").alias("par_hour"),
                 machine_health(*monitoring.MEASURES).alias("status"), "readings_count", "updated_at")
     )
+
+
+def weather_parts(readings: DataFrame) -> DataFrame:
+    """What a micro-batch holds of every weather batch."""
+    return readings.groupBy("period", "batch_no").agg(
+        F.count(F.lit(1)).alias("total"), F.count_if(F.col("quality") >= VALID_QUALITY).alias("valid"), F.max("ts").alias("arrived_at"))
+
+
+def weather_of_parts(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("period", "batch_no").agg(
+        F.sum("total").alias("total"), F.sum("valid").alias("valid"), F.max("arrived_at").alias("arrived_at"))
+
+
+def machine_parts(readings: DataFrame) -> DataFrame:
+    """Sums a micro-batch holds of every machine and hour."""
+    sums = [f(m).alias(f"{name}_{m}") for m in monitoring.MEASURES for name, f in (("sum", F.sum), ("count", F.count))]
+    return readings.groupBy("machine_id", par_day("updated_at").alias("par_day"), par_hour("updated_at").alias("par_hour")).agg(
+        *sums, F.count(F.lit(1)).alias("readings_count"), F.max("updated_at").alias("updated_at"))
+
+
+def machines_of(parts: DataFrame) -> DataFrame:
+    means = [F.try_divide(F.sum(f"sum_{m}"), F.sum(f"count_{m}")).alias(m) for m in monitoring.MEASURES]
+    return (
+        parts.groupBy("machine_id", "par_day", "par_hour")
+        .agg(*means, F.sum("readings_count").alias("readings_count"), F.max("updated_at").alias("updated_at"))
+        .select("machine_id", "par_day", "par_hour", machine_health(*monitoring.MEASURES).alias("status"), "readings_count", "updated_at")
+    )
