@@ -62,9 +62,9 @@ def whole(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
-def order_key(doc_id: str, row: str) -> Column:
+def order_key(doc_id: str, row: str, null_last: bool = True) -> Column:
     """(id, row number) as one number: hash aggregates keep decimals in place, structs not."""
-    big = F.coalesce(F.col(doc_id), F.lit(LAST_ID)).cast("decimal(19,0)")
+    big = F.coalesce(F.col(doc_id), F.lit(LAST_ID if null_last else -LAST_ID - 1)).cast("decimal(19,0)")
     return (big * F.lit(10**18).cast("decimal(19,0)")).cast("decimal(38,0)") + F.col(row).cast("decimal(19,0)")
 
 

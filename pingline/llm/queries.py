@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pingline.llm import byte_bpe, chat, exact_dedup, html_extract, line_dedup, near_dedup, packing, quality, sharding, sql, suffix_dedup
+from pingline.llm import byte_bpe, chat, exact_dedup, html_extract, line_dedup, near_dedup, packing, quality, sharding, sql, suffix_dedup, turn_repair
 from pingline.llm.common import prepare, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,3 +112,9 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group, survivor and digest of every document."""
     return exact_dedup.exact_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cheapest repair of every conversation after damage, and its faults."""
+    return turn_repair.after_damage(read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
