@@ -117,3 +117,23 @@ k AS (
 SELECT page_id, host, len(coalesce(lines, []))::BIGINT AS n_lines, (len(coalesce(lines, [])) - len(coalesce(kept, [])))::BIGINT AS n_dropped,
   sha256(coalesce(array_to_string(kept, chr(10)), '')) AS kept_sha256 FROM k
 """
+
+
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+op12_lexical_search = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {_TERMS} AS terms FROM documents),
+lengths AS (SELECT row, doc_id, len(terms) AS n FROM d WHERE len(terms) > 0),
+whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM lengths),
+items AS (SELECT row_number() OVER () AS item, item_id, list_distinct({_TERMS}) AS terms FROM benchmark),
+wanted AS (SELECT item, item_id, unnest(terms) AS term FROM items),
+tf AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM d) WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+weight AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, whole GROUP BY term, docs),
+room AS (SELECT row, doc_id, 100 - 90 + (90 * n * docs) // total AS m FROM lengths, whole),
+scores AS (
+  SELECT item, item_id, row, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM wanted JOIN tf USING (term) JOIN weight USING (term) JOIN room USING (row) GROUP BY ALL)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+WHERE rank <= 10
+"""
