@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pingline.llm import byte_bpe, chat, exact_dedup, html_extract, lexical_search, line_dedup, near_dedup, packing, quality, sharding, sql, suffix_dedup, turn_repair
+from pingline.llm import byte_bpe, chat, exact_dedup, html_extract, lexical_search, line_dedup, near_dedup, packing, projected_search, quality, sharding, sql, suffix_dedup, turn_repair
 from pingline.llm.common import prepare, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,6 +114,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read(spark, sf_dir, "documents"))
 
 
+@query
+def op11_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest found of every fiftieth vector."""
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return projected_search.nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 @query
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents of every benchmark item."""

@@ -51,7 +51,7 @@ def test_empty_tables(ready, tmp_path):
 
 
 def test_queries_are_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality rules", "exact dedup", "near dedup", "suffix dedup", "packing"]
     assert packing.WINDOW == 2048
 
