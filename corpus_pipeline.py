@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pingline.llm import exact_dedup, packing, quality, shingle_dedup, suffix_dedup
+from pingline.llm import exact_dedup, near_dedup, packing, quality, suffix_dedup
 from pingline.llm.common import prepare, read
 from pingline.session import scratch_path
 
@@ -27,9 +27,9 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Near-dedup (7) on five-word shingles: one document of each group at Jaccard 0.8 or more stays."""
+    """SimHash near-dedup (7) with the operator's shingle length and bit distance: one document of each group stays."""
     prepare(spark)
-    return shingle_dedup.keep_one(docs)
+    return near_dedup.keep_one(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
