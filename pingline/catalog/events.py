@@ -101,6 +101,18 @@ def event_store_day(spark, sf_dir):
     return eventstore.read_range(spark, event_store(spark, sf_dir), start, end - 1, event_type="SLA_BREACH").select(*_ROW.split(", "))
 
 
+@query(f"SELECT {_ROW} FROM v_log WHERE pipelineId = 'bronze-seq' ORDER BY timestamp DESC, event_id DESC LIMIT 100")
+def event_store_newest(spark, sf_dir):
+    """The newest hundred of a source, from as many days as it takes."""
+    return eventstore.read_newest(spark, event_store(spark, sf_dir), 100, source="bronze-seq").select(*_ROW.split(", "))
+
+
+@query(f"SELECT {_ROW} FROM v_log WHERE eventType = 'SLA_WARNING'")
+def event_store_type(spark, sf_dir):
+    """Every event of a type, from the row groups that hold it."""
+    return eventstore.read_type(spark, event_store(spark, sf_dir), "SLA_WARNING").select(*_ROW.split(", "))
+
+
 @query(f"SELECT {_ROW} FROM v_log WHERE hour = 0 AND date = (SELECT max(date) FROM v_log)")
 def event_store_hour(spark, sf_dir):
     """One hour of one day."""
@@ -156,13 +168,17 @@ def rare_types(spark, sf_dir):
 _RARE = """, rare AS (SELECT date, pipelineId, CASE WHEN event_id % 11 = 0 THEN 'INFRA_FAILURE' WHEN event_id % 13 = 0 THEN 'DATA_DRIFT' ELSE eventType END AS eventType FROM v_log)"""
 
 
-@query(f"{_RARE} PIVOT rare ON eventType USING count(*) GROUP BY date")
+# named types: a pivot over whatever is there cannot stand in a view
+_TYPES = "('DATA_DRIFT', 'INFRA_FAILURE', 'JOB_COMPLETED', 'JOB_FAILED', 'JOB_TRIGGERED', 'SLA_BREACH', 'SLA_MET', 'SLA_WARNING')"
+
+
+@query(f"{_RARE} SELECT * FROM (PIVOT rare ON eventType IN {_TYPES} USING count(*) GROUP BY date)")
 def event_pivot_date(spark, sf_dir):
     """A column for every type the log holds."""
     return eventlog.pivot_types(rare_types(spark, sf_dir), "date")
 
 
-@query(f"{_RARE} PIVOT rare ON eventType USING count(*) GROUP BY pipelineId")
+@query(f"{_RARE} SELECT * FROM (PIVOT rare ON eventType IN {_TYPES} USING count(*) GROUP BY pipelineId)")
 def event_pivot_source(spark, sf_dir):
     return eventlog.pivot_types(rare_types(spark, sf_dir), "pipelineId")
 

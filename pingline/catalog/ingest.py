@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pingline import session
 from pingline.catalog.registry import query
 from pingline.functions.columns import par_day
 from pingline.operators import phones, silver
@@ -124,6 +125,15 @@ def cdr_agg_day(spark, sf_dir):
     return _flat(bronze_calls(spark, sf_dir).transform(silver.aggregate_calls, silver.DAILY))
 
 
+@query(CDR_SQL.format(keys="par_day"))
+def cdr_agg_day_partials(spark, sf_dir):
+    """The day from the hours' stored partials: bronze is read once, by the hours."""
+    rows = bronze_calls(spark, sf_dir)
+    numbers = session.stored(silver.number_contacts(rows), "contact-numbers")
+    partials = stored(spark, silver.call_partials(rows, numbers), "silver-cdr-partials")
+    return _flat(silver.calls_of_partials(spark.read.parquet(partials)))
+
+
 @query(SEQ_SQL.format(keys="par_day, par_hour"))
 def seq_agg_hour(spark, sf_dir):
     return _flat(bronze_browses(spark, sf_dir).transform(silver.aggregate_browsing, silver.HOURLY))

@@ -1,4 +1,5 @@
-"""Hourly and daily silver aggregates. The day re-reads bronze: distinct counts do not add up."""
+"""Hourly and daily silver aggregates. A day re-reads bronze, as distinct counts do not add up,
+or comes from hourly partials that hold the contacts themselves, as bitmaps, which do."""
 
 from __future__ import annotations
 
@@ -35,6 +36,45 @@ def aggregate_calls(bronze: DataFrame, period: tuple[str, ...] = HOURLY) -> Data
     )
 
 
+def number_contacts(bronze: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(phone_hash_in, number) for contacts without one in ``known``. Numbers are dense within
+    the partitions that hand them out, so a bitmap's 32768 bits are shared by neighbours, and
+    no number is given twice. Store the result before use: it then stays as it is."""
+    new = bronze.select("phone_hash_in").where("phone_hash_in IS NOT NULL").distinct()
+    start = 0
+    if known is not None:
+        new = new.join(known, "phone_hash_in", "left_anti")
+        # above every number in use, at the next multiple of a partition's span
+        start = ((known.agg(F.coalesce(F.max("number"), F.lit(-1))).first()[0] >> 33) + 1) << 33
+    return new.select("phone_hash_in", (F.monotonically_increasing_id() + F.lit(start)).alias("number"))
+
+
+def call_partials(bronze: DataFrame, numbers: DataFrame, period: tuple[str, ...] = HOURLY) -> DataFrame:
+    """What of an hour adds up to a day: per caller and bucket of contact numbers the pings, the
+    towers and a bitmap of the contacts. A busy caller is spread over its buckets."""
+    numbered = bronze.join(numbers, "phone_hash_in", "left")
+    return numbered.groupBy(*period, "phone_hash_out", F.expr("bitmap_bucket_number(number)").alias("bucket")).agg(
+        F.expr("bitmap_construct_agg(bitmap_bit_position(number))").alias("contacts"),
+        F.count(F.lit(1)).alias("n"), F.collect_set("cell_tower").alias("towers"))
+
+
+def calls_of_partials(partials: DataFrame, period: tuple[str, ...] = DAILY) -> DataFrame:
+    """The aggregate of calls from stored partials: bitmaps of one bucket are united, their
+    bits counted, so bronze is not read again."""
+    caller = [*period, "phone_hash_out"]
+    buckets = partials.groupBy(*caller, "bucket").agg(
+        F.expr("bitmap_count(bitmap_or_agg(contacts))").alias("contacts"), F.sum("n").alias("n"),
+        F.array_distinct(F.flatten(F.collect_set("towers"))).alias("towers"))
+    return (
+        buckets.groupBy(*caller)
+        .agg(
+            F.sum("n").alias("total_calls"), (F.sum("n") * PING_SECONDS).alias("total_duration_s"),
+            F.sum("contacts").alias("unique_contacts"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("towers")))).alias("unique_towers"),
+        )
+        .withColumn("avg_call_duration_s", F.col("total_duration_s") / F.col("total_calls"))
+    )
+
+
 def aggregate_browsing(bronze: DataFrame, period: tuple[str, ...] = HOURLY) -> DataFrame:
     """Per phone and host: pings, towers, duration. A host has one site name, so the
     first step may group by it too, which keeps it a hash aggregate."""

@@ -11,7 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from pingline import schemas
 from pingline.functions.columns import VALID_QUALITY, epoch_micros, machine_health, par_day, par_hour
 from pingline.operators import monitoring, phones
 from pingline.operators.completeness import DAILY_OF_HOURLY, DAILY_TARGETS, HOURS_PER_DAY, expected_in_window, with_stream_targets
@@ -83,14 +85,13 @@ def latest_per_key(changes: DataFrame, keys: list[str]) -> DataFrame:
 # ---- ingest -------------------------------------------------------------
 
 
-def raw_stream(spark: SparkSession, path: str, stream: str, glob: str = "*.jsonl.gz", files: int = FILES_PER_TRIGGER) -> DataFrame:
-    from pyspark.sql import types as T
+def raw_schema(stream: str) -> T.StructType:
+    return T.StructType([*schemas.RAW[stream].fields, T.StructField("_corrupt_record", T.StringType())])
 
-    from pingline import schemas
 
-    schema = T.StructType([*schemas.RAW[stream].fields, T.StructField("_corrupt_record", T.StringType())])
+def raw_stream(spark: SparkSession, path: str, stream: str, glob: str = "*.jsonl.gz", files: int = FILES_PER_TRIGGER) -> DataFrame:
     raw = (
-        spark.readStream.schema(schema)
+        spark.readStream.schema(raw_schema(stream))
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files)
@@ -103,33 +104,64 @@ SHAPES = {"cdr": bronze.bronze_calls, "seq": bronze.bronze_browses}
 PHONES = {"cdr": ["phone_out", "phone_in"], "seq": ["phone_number"]}
 
 
+def store_pings(batch: DataFrame, dimension: DataFrame, salt: str, stream: str, put: Callable[..., str]) -> None:
+    """What a micro-batch of raw pings adds to bronze, quarantine, phones and counters.
+    ``put`` writes a table by name, foldered by keys, and returns where.
+
+    The period counters are not written beside the rows: they are counted from what was
+    stored, so the two cannot disagree.
+    """
+    batch.persist()  # parsed once
+    try:
+        good = bronze.good_rows(batch)
+        stored = put(SHAPES[stream](good, dimension, salt).hint("rebalance", "par_day", "par_hour"), "bronze", "par_day", "par_hour")
+        put(bronze.quarantined(batch), "quarantine")
+        found = phones.distinct_phones(good, PHONES[stream])
+        put(phones.new_rows(found, dimension, salt, F.current_timestamp().cast("timestamp_ntz")), "phones")
+        counts = batch.sparkSession.read.schema("par_day string, par_hour string").parquet(stored).groupBy("par_day", "par_hour")
+        put(counts.agg(F.count(F.lit(1)).alias("records")), "counters")
+    finally:
+        batch.unpersist()
+
+
 def bronze_ingest(raw: DataFrame, dimension: DataFrame, salt: str, out: str, checkpoint: str, stream: str = "cdr") -> None:
     """Raw pings of a stream to bronze, malformed rows to quarantine, unknown phones to the
     dimension's inserts.
 
     Bronze has period folders inside the batch's own folder, which a rerun replaces, so
-    ``read_partition`` prunes it like the batch table. The period counters are not written
-    beside the rows: they are counted from what a batch stored, so the two cannot disagree.
+    ``read_partition`` prunes it like the batch table.
     """
 
-    def put(df: DataFrame, name: str, batch_id: int, *keys: str) -> None:
-        df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*keys).parquet(f"{out}/{name}/batch={batch_id}")
-
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()  # parsed once
-        good = bronze.good_rows(batch)
-        put(SHAPES[stream](good, dimension, salt).hint("rebalance", "par_day", "par_hour"), "bronze", batch_id, "par_day", "par_hour")
-        put(bronze.quarantined(batch), "quarantine", batch_id)
-        found = phones.distinct_phones(good, PHONES[stream])
-        put(phones.new_rows(found, dimension, salt, F.current_timestamp().cast("timestamp_ntz")), "phones", batch_id)
-        stored = batch.sparkSession.read.parquet(f"{out}/bronze/batch={batch_id}")
-        counts = stored.groupBy("par_day", "par_hour").agg(F.count(F.lit(1)).alias("records"))
-        put(counts, "counters", batch_id)
-        batch.unpersist()
+        def put(df: DataFrame, name: str, *keys: str) -> str:
+            path = f"{out}/{name}/batch={batch_id}"
+            df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*keys).parquet(path)
+            return path
+
+        store_pings(batch, dimension, salt, stream, put)
 
     run_available(raw, on_batch, checkpoint)
 
 
+def ping_files(dimension: DataFrame, salt: str, stream: str = "cdr") -> tuple[Callable, Callable]:
+    """The same for a list of raw files: what ``isolate.isolating`` stores and probes with."""
+
+    def read(spark: SparkSession, paths: list[str]) -> DataFrame:
+        return bronze.with_period(spark.read.schema(raw_schema(stream)).json(paths))
+
+    def store(spark: SparkSession, paths: list[str], folder: Callable[[str], str]) -> None:
+        def put(df: DataFrame, name: str, *keys: str) -> str:
+            df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*keys).parquet(folder(name))
+            return folder(name)
+
+        store_pings(read(spark, paths), dimension, salt, stream, put)
+
+    def probe(spark: SparkSession, paths: list[str]) -> None:
+        read(spark, paths).write.mode("overwrite").format("noop").save()
+
+    return store, probe
+
+
 def inserted_phones(spark: SparkSession, out: str) -> DataFrame:
     """Phones the ingest found; one that several batches met is one row."""
     return spark.read.parquet(f"{out}/phones").groupBy("phone", "hash").agg(F.min("created_at").alias("created_at"))
@@ -182,6 +214,12 @@ def hours_of(parts: DataFrame) -> DataFrame:
         F.sum("records").alias("records"), F.size(files).cast("bigint").alias("files"), F.max("updated_at").alias("updated_at"))
 
 
+def merged_hours(parts: DataFrame) -> DataFrame:
+    """Parts of several micro-batches as one."""
+    return parts.groupBy("stream", "par_day", "par_hour").agg(
+        F.sum("records").alias("records"), F.array_distinct(F.flatten(F.collect_set("files"))).alias("files"), F.max("updated_at").alias("updated_at"))
+
+
 def daily_parts(completions: DataFrame) -> DataFrame:
     """What a micro-batch holds of every daily job and day."""
     daily = F.create_map(*[F.lit(x) for pair in DAILY_OF_HOURLY.items() for x in pair])
@@ -194,6 +232,10 @@ def daily_parts(completions: DataFrame) -> DataFrame:
     )
 
 
+def merged_days(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("pipelineId", "par_day").agg(F.array_distinct(F.flatten(F.collect_set("completed_hours"))).alias("completed_hours"))
+
+
 def days_of(parts: DataFrame) -> DataFrame:
     hours = F.array_sort(F.array_distinct(F.flatten(F.collect_set("completed_hours"))))
     return parts.groupBy("pipelineId", "par_day").agg(hours.alias("completed_hours")).withColumn(
@@ -285,6 +327,12 @@ def machine_parts(readings: DataFrame) -> DataFrame:
         *sums, F.count(F.lit(1)).alias("readings_count"), F.max("updated_at").alias("updated_at"))
 
 
+def merged_machines(parts: DataFrame) -> DataFrame:
+    sums = [F.sum(f"{name}_{m}").alias(f"{name}_{m}") for m in monitoring.MEASURES for name in ("sum", "count")]
+    return parts.groupBy("machine_id", "par_day", "par_hour").agg(
+        *sums, F.sum("readings_count").alias("readings_count"), F.max("updated_at").alias("updated_at"))
+
+
 def machines_of(parts: DataFrame) -> DataFrame:
     means = [F.try_divide(F.sum(f"sum_{m}"), F.sum(f"count_{m}")).alias(m) for m in monitoring.MEASURES]
     return (

@@ -26,7 +26,7 @@ def newest_first(spark):
     return folder
 
 
-@pytest.mark.parametrize("name", ["stream_hourly_counts", "stream_daily_hours", "stream_latch", "stream_factory_health"])
+@pytest.mark.parametrize("name", ["stream_hourly_counts", "stream_daily_hours", "stream_latch", "stream_factory_health", "stream_window_volume", "stream_dedup", "stream_late", "stream_bank_lag"])
 def test_no_row_is_lost(spark, newest_first, name):
     got, want = (sorted(map(str, bronze.as_ntz(QUERIES[name](spark, d)).collect())) for d in (newest_first, SMALL))
     assert want and got == want
