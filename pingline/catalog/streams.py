@@ -151,7 +151,7 @@ def stream_window_volume(spark, sf_dir):
     return jobs.with_expected(windows.current().drop("revision"))
 
 
-SLOTS_PER_BATCH = 10  # of six hours
+SLOTS_PER_BATCH = 20  # of six hours
 
 
 @query(f"""
