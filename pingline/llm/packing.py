@@ -20,38 +20,48 @@ common, meets in one task.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from pingline.llm.common import chunks_of, stored, text_bytes
+from pingline.llm.common import chunks_of, stored
 
 WINDOW, END_ID = 2048, 1
-#: Words of the newer half of a worker's memory, and the longest it remembers.
-REMEMBER, LONGEST = 600_000, 64
+#: Words a worker remembers before it starts afresh, and the longest of them.
+REMEMBER, LONGEST = 1_000_000, 64
 #: Rounds of the least-squares solver.
 ROUNDS = 200
 
 
 class WordEncoder:
     """Ids of texts through the tokenizers library. No token spans white space, so a text's
-    ids are its words' ids in a row, and words recur."""
+    ids are its words' ids in a row, and words recur: a batch is split and its words numbered
+    in Arrow, and only words not met before reach the library. Control strings in a text get
+    the ids the library gives them."""
 
     loaded: dict[str, WordEncoder] = {}
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # control strings in a text are plain text
         #: as narrow as the vocabulary allows
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        #: word to its slot; a slot is a stretch of ``ids``
+        self.known: dict[bytes, int] = {}
+        self.ids = np.zeros(0, self.dtype)
+        self.starts = self.sizes = np.zeros(0, np.int32)
 
     @classmethod
     def of(cls, path: str) -> WordEncoder:
@@ -59,26 +69,38 @@ class WordEncoder:
             cls.loaded[path] = cls(path)
         return cls.loaded[path]
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text, as little-endian numbers of ``dtype``."""
-        words = [t.split() for t in texts]
-        if len(self.known) > REMEMBER:  # words met again move from the older half to the newer
-            self.older, self.known = self.known, {}
-        known, older = self.known, self.older
-        missing = set().union(*words) - known.keys()
-        again = missing & older.keys()
-        known.update((w, older[w]) for w in again)
-        missing = list(missing - again)
-        for at in range(0, len(missing), 10_000):
-            some = missing[at:at + 10_000]
-            made = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
-            known.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(some, made))
-        out = [b"".join(map(known.__getitem__, ws)) for ws in words]
+    def _slots(self, words: list[bytes]) -> np.ndarray:
+        if len(self.known) > REMEMBER:
+            self.forget()
+        missing = [w for w in words if w not in self.known]
+        if missing:
+            made = [self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in missing[at:at + 10_000]], add_special_tokens=False)
+                    for at in range(0, len(missing), 10_000)]
+            lists = [e.ids for some in made for e in some]
+            first = len(self.sizes)
+            self.known.update(zip(missing, range(first, first + len(missing))))
+            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(lists), self.dtype)])
+            self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, lists), np.int32, len(lists))])
+            self.starts = np.cumsum(self.sizes, dtype=np.int32) - self.sizes
+        out = np.fromiter(map(self.known.__getitem__, words), np.int32, len(words))
         for w in missing:
             if len(w) > LONGEST:
-                del known[w]
+                del self.known[w]
         return out
 
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and where each text's begin and end."""
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        words = split.flatten().dictionary_encode()
+        slots = self._slots(words.dictionary.cast(pa.binary()).to_pylist())[np.asarray(words.indices)]
+        sizes = self.sizes[slots] if len(slots) else self.sizes[:0]
+        ends = np.zeros(len(sizes) + 1, np.int32)  # a batch holds a few million ids
+        np.cumsum(sizes, out=ends[1:])
+        at = np.arange(ends[-1], dtype=np.int32)
+        at += np.repeat(self.starts[slots] - ends[:-1], sizes) if len(slots) else 0
+        bounds = np.asarray(split.offsets).astype(np.int64)
+        return self.ids[at], ends[bounds - bounds[0]].astype(np.int64)
+
 
 def encoded(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> DataFrame:
     """row, doc_id, n, the bytes of an id, and the ids of each document with its end id.
@@ -89,11 +111,16 @@ def encoded(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks_of(batches, 4 << 20, 1):
             encoder = WordEncoder.of(vocabulary)
-            end = np.array([end_id], encoder.dtype).tobytes()
-            ids = [x + end for x in encoder.encode(text_bytes(batch.column(1)))]
+            ids, bounds = encoder.encode(batch.column(1))
+            n = batch.num_rows
+            # each text's ids move up by the end ids of the texts before it
+            whole = np.full(len(ids) + n, end_id, encoder.dtype)
+            whole[np.arange(len(ids)) + np.repeat(np.arange(n), np.diff(bounds))] = ids
+            wide = whole.itemsize
+            offsets = ((bounds + np.arange(n + 1)) * wide).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(x) // len(end) for x in ids], pa.int64()),
-                 pa.array([len(end)] * len(ids), pa.int32()), pa.array(ids, pa.binary())],
+                [batch.column(0), pa.array(np.diff(bounds) + 1, pa.int64()), pa.array(np.full(n, wide), pa.int32()),
+                 pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(whole)])],
                 ["doc_id", "n", "wide", "ids"])
 
     made = slim.mapInArrow(run, f"doc_id {kind}, n long, wide int, ids binary")

@@ -265,6 +265,7 @@ def texts():
     words = ["alpha", "beta", "it's", "don't", "naïve", "中文", "X-1", "😀", "q" * 80, "123", "<|endoftext|>"]
     out = [(i, " ".join(rng.choice(words) for _ in range(int(rng.paretovariate(0.9) * 6)))) for i in range(250)]
     out = [(i, t[:60_000]) for i, t in out]
+    out += [(310, "a<|endoftext|>b <|startoftext|> <|endoftext|><|endoftext|>"), (311, "<|endoftext|"), (312, " lead\ttab\x0bvt\x1cfs\x85nel\u2003em\u00a0nbsp ")]
     return out + [(300, None), (301, ""), (302, " \n "), (None, "no id"), (400, "twice"), (400, "twice"), (303, "word " * 3000)]
 
 
@@ -273,7 +274,6 @@ def test_packing_loses_and_doubles_nothing(docs, texts, window):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(WORDS)
-    library.encode_special_tokens = True
     pieces = packing.pack(docs(texts), WORDS, window=window).collect()
     want = Counter((i, tuple([*library.encode(t or "", add_special_tokens=False).ids, 1])) for i, t in texts)
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
