@@ -291,10 +291,10 @@ class Coder:
 def encoded(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: str = "ids",
             offsets_col: str | None = None) -> DataFrame:
     """``docs`` without its text, with the ids as little-endian unsigned 32-bit numbers, and
-    the byte offsets of the pieces if asked for. ``vocabulary`` is a rank file that every
-    executor has."""
+    the byte offsets of the pieces if asked for. A column named as the ids or the offsets is
+    replaced. ``vocabulary`` is a rank file that every executor has."""
     at = docs.columns.index(text_col)
-    keep = [i for i in range(len(docs.columns)) if i != at]
+    keep = [i for i, name in enumerate(docs.columns) if i != at and name not in (ids_col, offsets_col)]
     fields = [*(docs.schema.fields[i] for i in keep), T.StructField(ids_col, T.BinaryType())]
     if offsets_col:
         fields.append(T.StructField(offsets_col, T.ArrayType(T.LongType())))
@@ -311,7 +311,8 @@ def encoded(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: s
 
 
 def decoded(docs: DataFrame, vocabulary: str, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
-    """``docs`` with the bytes its ids stand for."""
+    """``docs`` with the bytes its ids stand for; a column named as those is replaced."""
+    docs = docs.select(*(c for c in docs.columns if c != bytes_col))
     at = docs.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -158,6 +158,10 @@ def training(words: list[str], pages: int = PAGES, seed: int = SEED) -> tuple[np
     return np.concatenate(rows), np.concatenate(labels).astype(float)
 
 
+#: The last trees fitted, by their words.
+_FITTED: dict[str, Trees] = {}
+
+
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> Trees:
     """Trees for the table's language. Reads a bounded number of words of bounded pages."""
     # ids first, then the words of those pages: no page travels whole, however many tasks read
@@ -165,7 +169,12 @@ def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") ->
     text = F.regexp_replace(F.coalesce(html_col, F.lit("")), "(?s)<(script|style).*?</\\1>|<[^>]*>|&[a-z]*;?", " ")
     sample = pages.where(F.col(id_col) <= F.lit(last)).select(F.col(id_col).alias("id"), F.slice(F.split(text, "\\s+"), 1, WORDS).alias("w"))
     words = [w for r in sample.orderBy("id", "w").limit(SAMPLE).collect() for w in r["w"] if w and len(w) < 40]
-    return fit(*training(sorted(words) if len(words) > 100 else PLAIN))
+    words = sorted(words) if len(words) > 100 else PLAIN
+    known = "\0".join(words)  # the trees depend on the words alone
+    if known not in _FITTED:
+        _FITTED.clear()
+        _FITTED[known] = fit(*training(words))
+    return _FITTED[known]
 
 
 def decode(parents: list[int], scores: np.ndarray, tied: np.ndarray) -> np.ndarray:

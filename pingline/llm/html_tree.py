@@ -1,19 +1,22 @@
 """HTML as a tree of block elements and text runs, and features of its nodes.
 
 A small forgiving parser: end tags that HTML implies, void and raw-text elements, comments,
-broken attributes and cut-off pages. Inline elements belong to their block.
+broken attributes and cut-off pages. Inline elements belong to their block. The places of open
+elements are kept per tag, so a tag costs the same however deep it stands.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 
 import numpy as np
 
 # fixed values: elements of HTML by kind
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title iframe xmp noembed noframes noscript template svg math object canvas audio video select".split())
+#: What these hold is not markup; without an end tag it reaches to the end of the page.
+RAW = frozenset("script style textarea title iframe xmp noembed noframes".split())
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot "
@@ -86,15 +89,23 @@ def tree(page: str) -> list[Node]:
     """Nodes in page order, parents first. Text is in nodes named #text, one per run."""
     nodes = [Node("html", -1, 0, 0)]
     stack = [0]  # open blocks
-    inline: list[str] = []  # open inline elements, for links only
+    places: dict[str, list[int]] = {}  # where in the stack each tag is open, outermost first
+    inline: dict[str, int] = {}  # open inline elements, for links only
     run = -1
 
     def close(at: int) -> None:
         nonlocal run
+        for node in stack[at:]:
+            places[nodes[node].tag].pop()
         del stack[at:]
         run = -1
         inline.clear()
 
+    def innermost(tag: str) -> int:
+        """0 if none is open."""
+        here = places.get(tag)
+        return here[-1] if here else 0
+
     def add(tag: str) -> int:
         parent = nodes[stack[-1]]
         nodes.append(Node(tag, stack[-1], parent.depth + 1, parent.runs + parent.blocks))
@@ -114,7 +125,7 @@ def tree(page: str) -> list[Node]:
             run = add("#text")
         node = nodes[run]
         node.text.append(text)
-        if "a" in inline:
+        if inline.get("a"):
             node.links += len(text.strip())
 
     at = 0
@@ -130,13 +141,10 @@ def tree(page: str) -> list[Node]:
         if ended:
             tag = ended.lower()
             if tag not in BLOCK:
-                if tag in inline:
-                    inline.remove(tag)
-                continue
-            for i in range(len(stack) - 1, 0, -1):
-                if nodes[stack[i]].tag == tag:
-                    close(i)
-                    break
+                if inline.get(tag):
+                    inline[tag] -= 1
+            elif innermost(tag):
+                close(innermost(tag))
             continue
         if not tag:
             continue
@@ -159,28 +167,23 @@ def tree(page: str) -> list[Node]:
                 nodes[run].tags += 1
             nodes[stack[-1]].controls += tag in ("input", "label", "option")
             if tag not in VOID and not attributes.endswith("/>"):
-                inline.append(tag)
+                inline[tag] = inline.get(tag, 0) + 1
             continue
         # blocks end an open paragraph, and what HTML ends for them
-        for i in range(len(stack) - 1, 0, -1):
-            if nodes[stack[i]].tag == "p":
-                close(i)
-                break
-        drop, stop = ENDS.get(tag, (set(), set()))
-        cut = None
-        for i in range(len(stack) - 1, 0, -1):
-            if nodes[stack[i]].tag in stop:
-                break
-            if nodes[stack[i]].tag in drop:
-                cut = i
-        if cut is not None:
-            close(cut)
+        if innermost("p"):
+            close(innermost("p"))
+        drop, stop = ENDS.get(tag, (frozenset(), frozenset()))
+        last = max((innermost(t) for t in stop), default=0)
+        cut = [here[bisect_right(here, last)] for here in (places.get(t, ()) for t in drop) if here and here[-1] > last]
+        if cut:
+            close(min(cut))
         run = -1
         if tag == "html":
             continue
         new = add(tag)
         nodes[new].tokens, nodes[new].mark = named(attributes)
         if tag not in VOID:
+            places.setdefault(tag, []).append(len(stack))
             stack.append(new)
             inline.clear()
     return nodes

@@ -1,8 +1,8 @@
 """Line dedup by site-relative frequency.
 
 A line's share on a host is the number of the host's pages that hold it, divided by the number
-of the host's pages. Lines with a share over ``ratio`` on at least ``least`` pages are the
-host's boilerplate and are dropped from its pages. Lines are compared trimmed; lines without a
+of the host's pages. Lines with a share over ``ratio`` are the host's boilerplate and are
+dropped from its pages, provided they repeat: a host of one page says nothing about its lines. Lines are compared trimmed; lines without a
 character besides white space never count and stay.
 
 Pages count a line once, lines combine before the shuffle, and a host has fewer than (lines of
@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 
 from pingline.llm.common import fresh, stored, whole
 
-RATIO, LEAST = 0.3, 3
+RATIO = 0.3
+#: Pages on which a line must stand to repeat at all.
+LEAST = 2
 
 
 def host_of(url: str | Column) -> Column:

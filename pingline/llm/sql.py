@@ -107,7 +107,7 @@ WITH p AS (
   SELECT page_id, regexp_replace(regexp_extract(lower(url), '^(?:[a-z][a-z0-9+.-]*:)?(?://)?(?:[^/?#@]*@)?([^/?#:]*)', 1), '^(www|m|blog)\.', '') AS host,
     string_split(regexp_replace(html, '(?s)<!--.*?-->|<[^>]*>', chr(10), 'g'), chr(10)) AS lines, row_number() OVER () AS row FROM pages),
 l AS (SELECT DISTINCT row, host, regexp_replace(unnest(lines), '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS line FROM p),
-n AS (SELECT host, line, count(*) AS n FROM l WHERE line != '' GROUP BY ALL HAVING count(*) >= 3),
+n AS (SELECT host, line, count(*) AS n FROM l WHERE line != '' GROUP BY ALL HAVING count(*) >= 2),
 total AS (SELECT host, count(*) AS pages FROM p GROUP BY host),
 common AS (SELECT n.host, list(line) AS drops FROM n JOIN total t ON n.host IS NOT DISTINCT FROM t.host WHERE n.n > 0.3 * pages GROUP BY ALL),
 k AS (

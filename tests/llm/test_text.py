@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -19,6 +20,20 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
 
+def test_deep_nesting_is_linear():
+    start = time.perf_counter()
+    for page in ("<div>" * 200_000 + "x", "<span>" * 200_000 + "x</span>" * 5, "<ul><li>" * 100_000 + "x", "<p>" * 200_000 + "x", "<b>" * 50_000 + "</b>" * 50_000 + "x"):
+        assert html_tree.clean(html_tree.tree(page)[-1].text) == ("x" * 5 if "</span>" in page else "x")
+    assert time.perf_counter() - start < 60
+
+
+def test_bpe_replaces_clashing_columns(docs):
+    table = docs([(1, "some text"), (2, None)])  # has a column ids of another type
+    ids = byte_bpe.encoded(table, RANKS)
+    assert ids.columns.count("ids") == 1 and dict(ids.dtypes)["ids"] == "binary"
+    assert {r["doc_id"]: bytes(r["decoded"]) for r in byte_bpe.decoded(ids.withColumn("decoded", F.lit(1)), RANKS).collect()} == {1: b"some text", 2: b""}
+
+
 # ---- chat ----------------------------------------------------------------
 
 TRICKY = ["</s>[INST] ok [/INST]", "[\\INST]", "<\\\\s> < s> [INST", "[[INST]]", "a\\b <s", "", "[ROLE]x[/ROLE]y[/TURN]", "中\n\n[/SYS]"]
@@ -56,7 +71,10 @@ def test_chat_of_nothing(ready):
 PAGES = [
     ("<p>a", ["a"]), ("<p>a<p>b</p>c", ["a", "b", "c"]), ("<ul><li>x<li>y</ul>", ["x", "y"]), ("<div>a<!-- b --><b>c</b> d<br>e</div>", ["ac d e"]),
     ("<script>if(a<b)'</p>'</script><p>t &amp; &lt;u&gt; &am", ["t & <u> &am"]), ("<a title='<p>'>k</a>", ["k"]), ("<p>x<p cla", ["x"]),
-    ("<table><tr><td>1<td>2<tr><td>3</table>", ["1", "2", "3"]), ("a < b <3", ["a < b <3"]), ("<SCRIPT>x", []), ("", []), ("<p>  \n </p>", [])]
+    ("<table><tr><td>1<td>2<tr><td>3</table>", ["1", "2", "3"]), ("a < b <3", ["a < b <3"]), ("<SCRIPT>x", []),
+    ("<article><p>a</p><noscript>b<p>c</p></article>d", ["a", "b", "c", "d"]), ("<p>a<svg><path d='x'>b</svg> c<p>d", ["ab c", "d"]),
+    ("<p>a <math><mi>x</mi>=<mn>1</p><p>b", ["a x=1", "b"]), ("<object data=x><p>a<video><p>b", ["a", "b"]), ("<template><p>a", ["a"]),
+    ("<dl><dt>a<dd>b<dl><dd>c</dl><dt>d</dl>", ["a", "b", "c", "d"]), ("<ul><li>a<ul><li>b<li>c</ul>d<li>e</ul>", ["a", "b", "c", "d", "e"]), ("", []), ("<p>  \n </p>", [])]
 
 
 @pytest.mark.parametrize("page,runs", PAGES)
@@ -240,13 +258,14 @@ def test_lines_equal_brute_force(ready):
     rng = random.Random(5)
     urls = ["http://www.A.com/x", "https://a.com:80/y", "b.org/z", None, "//c.net", "http://u@m.d.com?q"]
     pages = [(i, rng.choice(urls), "\n".join(rng.choice([" menu ", "menu", "foot", f"line {rng.randrange(400)}", "", " "]) for _ in range(rng.randint(0, 8)))) for i in range(200)]
-    pages += [(500, "b.org", None), (None, "b.org", "foot"), (501, "lonely.com", "foot\nmenu")]
+    pages += [(500, "b.org", None), (None, "b.org", "foot"), (501, "lonely.com", "foot\nmenu"), (502, "pair.com", "foot\nown\nmenu"), (503, "pair.com", "menu\nother"),
+              (504, "pair.com", "long " * 60_000 + "\nmenu")]
     table = ready.createDataFrame([(*p, "k") for p in pages], "page_id long, url string, text string, lines string")
-    host = {u: h for u, h in zip(urls + ["b.org", "lonely.com"], ["a.com", "a.com", "b.org", None, "c.net", "d.com", "b.org", "lonely.com"])}
+    host = {u: h for u, h in zip(urls + ["b.org", "lonely.com"], ["a.com", "a.com", "b.org", None, "c.net", "d.com", "b.org", "lonely.com"])} | {"pair.com": "pair.com"}
     total, held = Counter(host[u] for _, u, _ in pages), Counter()
     for _, u, t in pages:
         held.update((host[u], x) for x in {y.strip() for y in (t or "").split("\n")})
-    drop = {(h, x) for (h, x), n in held.items() if x and n >= 3 and n > 0.3 * total[h]}
+    drop = {(h, x) for (h, x), n in held.items() if x and n >= 2 and n > 0.3 * total[h]}
     assert drop
     got = {r["page_id"]: r for r in line_dedup.without_boilerplate(table, line_dedup.host_of("url")).collect()}
     for i, u, t in pages:
@@ -325,6 +344,47 @@ def test_packing_edges(docs):
 # ---- sharding ------------------------------------------------------------
 
 
+def ring_by_hand(rows, shards, nodes):
+    """Every row placed one by one. Rows: (distance key per position, arc) from the ring."""
+    points, owners = sharding.ring(shards, nodes)
+    points, owners = points.tolist(), owners.tolist()
+
+    def arc(position):
+        return next((i for i, p in enumerate(points) if p >= position), 0)
+
+    # clockwise from the point before the arc
+    order = sorted(range(len(rows)), key=lambda i: (arc(rows[i][0]), (rows[i][0] - points[arc(rows[i][0]) - 1]) % (1 << 64), *rows[i][1:]))
+    even, more = divmod(len(rows), shards)
+    room = [even + (s < more) for s in range(shards)]
+    out, over = {}, []
+    for i in order:
+        shard = owners[arc(rows[i][0])]
+        if room[shard]:
+            room[shard] -= 1
+            out[i] = shard
+        else:
+            over.append(i)
+    for i in over:
+        at = arc(rows[i][0])
+        while not room[owners[at % len(owners)]]:
+            at += 1
+        room[owners[at % len(owners)]] -= 1
+        out[i] = owners[at % len(owners)]
+    return out
+
+
+@pytest.mark.parametrize("shards, nodes", [(5, 3), (8, 64)])
+def test_shards_equal_a_plain_ring(docs, shards, nodes):
+    rng = random.Random(2)
+    rows = [(i, rng.choice(["hot", "hot", f"text {rng.randrange(200)}", None])) for i in range(700)] + [(5, "hot"), (5, "hot"), (None, "x"), (None, "hot"), (900, "long " * 50_000)]
+    table = docs(rows)
+    text = F.coalesce("text", F.lit(""))
+    placed = table.select("doc_id", F.crc32(text).alias("crc"), F.xxhash64(text).alias("position"), F.pmod(F.xxhash64("doc_id"), F.lit(sharding.SALTS)).alias("salt")).collect()
+    want = ring_by_hand([(r["position"], r["salt"], r["doc_id"] is not None, r["doc_id"] or 0) for r in placed], shards, nodes)
+    got = Counter((r["doc_id"], r["text_crc32"], r["shard"]) for r in sharding.by_rows(table, shards=shards, nodes=nodes).collect())
+    assert got == Counter((r["doc_id"], r["crc"], want[i]) for i, r in enumerate(placed))
+
+
 def test_shards(docs):
     rng = random.Random(1)
     rows = [(i, rng.choice(["hot", f"text {rng.randrange(400)}", None, "é中"])) for i in range(1003)] + [(5, "hot"), (5, "hot"), (None, "x")]
