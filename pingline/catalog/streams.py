@@ -12,7 +12,7 @@ from pingline.catalog.registry import query
 from pingline.functions.columns import epoch_micros, time_of_millis
 from pingline.operators import monitoring
 from pingline.session import scratch_path
-from pingline.sources import bronze, feeds, tables
+from pingline.sources import bronze, feeds, records, tables
 from pingline.streaming import isolate, jobs, keyed
 from pingline.streaming.corrections import CorrectedWindows
 from pingline.streaming.seen import SeenKeys
@@ -117,6 +117,22 @@ def stream_bank_lag(spark, sf_dir):
     return days.select("par_day", "transactions", "oldest", lag.alias("lag_seconds"), monitoring.cob_complete("newest").alias("cob_complete"))
 
 
+@query("SELECT batch_id, transactions, oldest, lag_seconds, cob_complete FROM v_bank_batch")
+def stream_inline_batches(spark, sf_dir):
+    """Transactions as inline records of a log, consumed in batches of a hundred."""
+    body = F.struct(F.col("event_id").alias("transaction_id"), F.col("event_type").alias("type"), F.col("value").alias("amount"),
+                    F.col("ts").cast("string").alias("timestamp"))
+    base = scratch_path(spark, "inline")
+    records.append_records(tables.table(spark, sf_dir, "events").sort("event_id").select(F.to_json(body).alias("payload")), f"{base}/log")
+    parsed = feeds.parse_transactions(records.record_stream(spark, f"{base}/log"))
+    jobs.run_available(parsed, jobs.batch_writer(f"{base}/out", lambda df: monitoring.batch_lag(df, ["batch"]), "micro"), f"{base}/checkpoint")
+    # a batch that two micro-batches share is one batch
+    whole = jobs.read_batches(spark, f"{base}/out", "micro").groupBy(F.col("batch").alias("batch_id")).agg(
+        F.sum("transactions").alias("transactions"), F.min("oldest").alias("oldest"), F.max("processed_at").alias("newest"))
+    lag = F.floor((epoch_micros("newest") - epoch_micros("oldest")) / 1_000_000).cast("bigint")
+    return whole.select("batch_id", "transactions", "oldest", lag.alias("lag_seconds"), monitoring.cob_complete("newest").alias("cob_complete"))
+
+
 @query("SELECT * FROM v_wx_latch")
 def stream_latch(spark, sf_dir):
     out, checkpoint = paths(spark, "stream-latch")

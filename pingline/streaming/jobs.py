@@ -65,15 +65,17 @@ def append_available(stream: DataFrame, path: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def batch_writer(path: str, shape: Callable[[DataFrame], DataFrame] = lambda df: df) -> Callable[[DataFrame, int], None]:
+def batch_writer(path: str, shape: Callable[[DataFrame], DataFrame] = lambda df: df, name: str = "batch") -> Callable[[DataFrame, int], None]:
+    """A folder per micro-batch, ``name`` being the column its number is read back as."""
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        shape(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        shape(batch).write.mode("overwrite").parquet(f"{path}/{name}={batch_id}")
 
     return write
 
 
-def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).withColumn("batch", F.col("batch").cast("bigint"))
+def read_batches(spark: SparkSession, path: str, name: str = "batch") -> DataFrame:
+    return spark.read.parquet(path).withColumn(name, F.col(name).cast("bigint"))
 
 
 def latest_per_key(changes: DataFrame, keys: list[str]) -> DataFrame:

@@ -275,3 +275,27 @@ def test_storing_that_fails_is_halved(spark):
         on_batch(batch, 0)
         assert sorted(r.path for r in spark.read.parquet(f"{out}/t").collect()) == list("abde")
         assert [(r.path, r.batch) for r in isolate.dead_letters(spark, out).collect()] == [("c", 0)]
+
+
+# ---- records by offset ---------------------------------------------------------
+
+
+def test_records_come_once_in_batches(spark):
+    from pingline.sources import records
+
+    folder, out, checkpoint = where(spark)
+    payloads = lambda low, high: spark.range(low, high, 1, 3).select(F.concat(F.lit("é"), F.col("id")).alias("payload"))
+    assert records.append_records(payloads(0, 23), folder, 4) == 23
+    run = lambda: jobs.append_available(records.record_stream(spark, folder, records.NOTIFICATION_BATCH), out, checkpoint)
+    run()
+    run()  # nothing new
+    assert spark.read.parquet(out).count() == 23
+    assert records.append_records(payloads(23, 31), folder) == 31
+    run()
+    got = sorted(tuple(r) for r in spark.read.parquet(out).select("record", "batch", "payload").collect())
+    assert got == [(i, i // 5, f"é{i}") for i in range(31)]
+    reader = records.RecordReader(folder, 5)
+    assert reader.latestOffset() == {"record": 31} and records.RecordReader(folder, 5).partitions({"record": 31}, {"record": 31}) == []
+    # a planned batch is read again just as it was
+    again = [r for p in reader.partitions({"record": 7}, {"record": 25}) for r in reader.read(p)]
+    assert again == [(i, i // 5, f"é{i}") for i in range(7, 25)]
