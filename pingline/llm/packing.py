@@ -222,15 +222,9 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
     placed = _chained(_chained(ranked, "residual", "at"), "whole", "before").select("row", "rank", "residual", "at", "before")
     key = (places[:, 0] << 44) + places[:, 1] if len(places) else np.zeros(0, np.int64)
 
-    def pieces(n: int, rank: int, residual: int, at: int, before: int) -> Iterator[tuple[int, int, int, int]]:
-        """(start, length, sequence, offset)"""
-        full, rest = divmod(n, window)
-        for k in range(full):
-            yield k * window, window, whole_from + before + k, 0
-        start = full * window
-        if rest and not residual:
-            _, first, _, sequence, offset = places[np.searchsorted(key, (rest << 44) + rank, "right") - 1].tolist()
-            yield start, rest, sequence + rank - first, offset
+    def residual_pieces(n: int, residual: int, at: int) -> Iterator[tuple[int, int, int, int]]:
+        """(start, length, sequence, offset) of a rest that lies end to end with others."""
+        start = n - residual
         while residual:
             sequence, offset = divmod(at, window)
             most, sequence = window - offset, sequence + planned
@@ -241,21 +235,33 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
             yield start, cut, sequence, offset
             start, at, residual = start + cut, at + cut, residual - cut
 
+    def pieces(n: np.ndarray, rank: np.ndarray, residual: np.ndarray, at: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """(row, start, length, sequence, offset) of all pieces of a batch, in order."""
+        full, rest = np.divmod(n, window)
+        row = np.repeat(np.arange(len(n)), full)
+        k = np.arange(len(row)) - np.repeat(np.cumsum(full) - full, full)
+        found = [np.stack([row, k * window, np.full(len(row), window), whole_from + before[row] + k, np.zeros(len(row), np.int64)])]
+        in_plan = np.flatnonzero((rest > 0) & (residual == 0))
+        if len(in_plan):
+            place = places[np.searchsorted(key, (rest[in_plan] << 44) + rank[in_plan], "right") - 1]
+            found.append(np.stack([in_plan, full[in_plan] * window, rest[in_plan], place[:, 3] + rank[in_plan] - place[:, 1], place[:, 4]]))
+        some = [(i, *p) for i in np.flatnonzero(residual).tolist() for p in residual_pieces(int(n[i]), int(residual[i]), int(at[i]))]
+        if some:
+            found.append(np.array(some, np.int64).T)
+        out = np.concatenate(found, axis=1)
+        return out[:, np.lexsort((out[1], out[0]))]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks_of(batches, 4 << 20, 3):
-            out: list[list] = [[], [], [], [], [], []]
-            rows = []
-            b = batch.to_pydict()
-            for i, (n, wide, ids, *at) in enumerate(zip(b["n"], b["wide"], b["ids"], b["rank"], b["residual"], b["at"], b["before"])):
-                if wide != 4:
-                    ids = np.frombuffer(ids, f"<u{wide}").astype("<u4").tobytes()
-                for start, length, sequence, offset in pieces(n, *at):
-                    rows.append(i)
-                    for column, value in zip(out, (start, length, ids[4 * start:4 * (start + length)], n, sequence, offset)):
-                        column.append(value)
-            types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+            n, rank, residual, at, before = (np.asarray(batch.column(c)).astype(np.int64) for c in ("n", "rank", "residual", "at", "before"))
+            wide = batch.column("wide")[0].as_py()
+            # pieces in order are the ids in order, so they share one buffer
+            ids = np.frombuffer(b"".join(batch.column("ids").to_pylist()), f"<u{wide}").astype("<u4")
+            row, start, length, sequence, offset = pieces(n, rank, residual, at, before)
+            bounds = np.concatenate([[0], np.cumsum(length * 4)]).astype(np.int32)
+            data = pa.Array.from_buffers(pa.binary(), len(length), [None, pa.py_buffer(bounds), pa.py_buffer(ids)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rows, pa.int64())), *(pa.array(c, t) for c, t in zip(out, types))],
+                [batch.column(0).take(pa.array(row)), pa.array(start), pa.array(length), data, pa.array(n[row]), pa.array(sequence), pa.array(offset)],
                 ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
 
     kind = texts.schema["doc_id"].dataType.simpleString()
