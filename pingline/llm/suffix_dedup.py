@@ -16,7 +16,7 @@ neighbouring phrases overlap, so each window lies in exactly one phrase.
    equal content are one string; it is repeated in all but its earliest document.
 4. The repeated windows' bytes are removed from the texts.
 
-Contents are compared by a 56-bit hash under a 46-bit key in step 2, byte by byte in step 3.
+Contents are compared by a 48-bit hash under a 46-bit key in step 2, byte by byte in step 3.
 
 * null or empty text: nothing to remove
 * null id: orders after every other id; rows with the same id are never earlier than one
@@ -139,8 +139,8 @@ def _unpacked(data: bytes, types: list[str]) -> list[np.ndarray]:
     return out
 
 
-#: key: 5 bytes and 7 bytes of hash as bytes, so that columns stay short
-_PARSED = ["<i8", "<u4", "<u4", "u1", "u1", "V5", "V7"]
+#: key: 5 bytes and 6 bytes of hash as bytes, so that columns stay short
+_PARSED = ["<i8", "<u4", "<u4", "u1", "u1", "V5", "V6"]
 
 
 def _short(values: np.ndarray, size: int) -> np.ndarray:
@@ -191,7 +191,7 @@ def parser(buckets: int):
         for name, of in _slices(on, bucket):
             kinds.append(0)
             names.append(name)
-            blobs.append(_packed([doc[of], tag[of], start[of], count[of], reach[of], _short(key[of], 5), _short(content[of], 7)]))
+            blobs.append(_packed([doc[of], tag[of], start[of], count[of], reach[of], _short(key[of], 5), _short(content[of], 6)]))
         gone = np.flatnonzero(copy)
         gone = gone[np.lexsort((start[gone], tag[gone], doc[gone]))]
         if len(gone):
@@ -315,7 +315,8 @@ def contexts(buckets: int):
             for doc, tag, packed, phrases in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 text = zstandard.decompress(packed)
                 for p in phrases:
-                    first, end, trigger = p["start"], p["end"], p["start"] + p["reach"]
+                    first, trigger = p >> 16, (p >> 16) + (p & 255)
+                    end = first + (p >> 8 & 255)
                     middle = min(max(first, trigger - NEAR), end)
                     for a, b, x, y in ((first, middle, trigger - NEAR - 1, trigger + GRAM),
                                        (middle, end, trigger, trigger + LENGTH - NEAR)):
@@ -413,7 +414,7 @@ def order(id_col: str) -> Column:
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc, tag (the text's CRC) and spans: start and end of stretches to remove."""
+    """doc, tag (the text's CRC) and spans: start * 2^32 + end of stretches to remove."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = BUCKETS * parts
@@ -421,13 +422,15 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     phrases = slim.mapInArrow(parser(buckets), "bucket int, kind int, blob binary")
     found = stored(phrases.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(dictionary, _FOUND), "phrases")
     # a document's phrases and stretches are no longer than the document
-    open_ = found.where("NOT settled").groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "end", "reach")).alias("phrases"))
+    # and one number each: start, number of windows, distance to the trigger
+    phrase = F.shiftleft("start", 16) + F.shiftleft(F.col("end") - F.col("start"), 8) + F.col("reach")
+    open_ = found.where("NOT settled").groupBy("doc", "tag").agg(F.collect_list(phrase).alias("phrases"))
     # texts cross the network in a third of their size
     slim = slim.mapInArrow(_compressed, "doc long, tag long, packed binary")
     blobs = slim.join(open_, ["doc", "tag"]).select("doc", "tag", "packed", "phrases").mapInArrow(contexts(buckets), "bucket int, blob binary")
     more = blobs.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(suffixes, _FOUND)
     spans = found.where("settled").select("doc", "tag", "start", "end").union(more.select("doc", "tag", "start", "end"))
-    return spans.groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    return spans.groupBy("doc", "tag").agg(F.collect_list(F.shiftleft("start", 32) + F.col("end")).alias("spans"))
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", characters: bool = False) -> DataFrame:
@@ -461,10 +464,10 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return both.mapInArrow(run, T.StructType([*both.schema.fields[:at], T.StructField("found", out)]))
 
 
-def cut(text: bytes, spans: list[dict]) -> tuple[int, int, int, list[bytes]]:
+def cut(text: bytes, spans: list[int]) -> tuple[int, int, int, list[bytes]]:
     """Bytes in all, bytes removed, maximal removed stretches, and the parts that stay."""
     kept, at, removed, count, last = [], 0, 0, 0, -1
-    for a, b in sorted((s["start"], s["end"]) for s in spans):
+    for a, b in (divmod(s, 1 << 32) for s in sorted(spans)):
         count += a > last
         last = max(last, b)
         if a > at:
