@@ -14,7 +14,7 @@ from pingline.operators.eventlog import between
 #: so few values that they fit a dictionary, the dictionary answers the same question instead.
 BY_VALUE = ("pipelineId", "eventType")
 #: Distinct values a row group's Bloom filter is sized for.
-BLOOM_VALUES = 10_000
+BLOOM_VALUES = 100_000
 
 
 def write_log(log: DataFrame, path: str, mode: str = "append", row_group_bytes: int | None = None) -> None:

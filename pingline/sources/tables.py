@@ -4,15 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pingline.functions.columns import epoch_micros, par_day, par_hour
 
 SOURCES = ["bronze-cdr", "bronze-seq", "silver-cdr-hour", "silver-seq-hour", "silver-cdr-day", "silver-seq-day"]
 
 
+#: Schemas by path and modification time: a footer is read once, and again when the table changes.
+_SCHEMAS: dict[tuple[str, int], T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table, with the schema it has now."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    changed = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(folder).getModificationTime()
+    if (path, changed) not in _SCHEMAS:
+        _SCHEMAS[path, changed] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path, changed]).parquet(path)
 
 
 def with_keys(events: DataFrame) -> DataFrame:
