@@ -304,15 +304,16 @@ def dictionary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _found(doc[at], tag[at], start[at], start[at] + count[at], reach[at])
 
 
-def contexts(buckets: int):
-    """Documents with the phrases to compare to blobs of phrase bytes per bucket. Windows that
+def contexts(buckets: int, at: int):
+    """Documents with the phrases to compare (doc, tag, text, phrases, from column ``at`` on) to
+    blobs of phrase bytes per bucket. Windows that
     start at most ``NEAR`` before the trigger hold the 35 bytes from it; the others hold the
     36 around it. What they hold decides the bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks_of(batches, 1 << 20, 2):
+        for batch in chunks_of(batches, 1 << 20, at + 2):
             routes, places, texts = [], [], []
-            for doc, tag, packed, phrases in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            for doc, tag, packed, phrases in zip(*(batch.column(at + i).to_pylist() for i in range(4))):
                 text = zstandard.decompress(packed)
                 for p in phrases:
                     first, trigger = p >> 16, (p >> 16) + (p & 255)
@@ -413,21 +414,34 @@ def order(id_col: str) -> Column:
     return F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID))
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc, tag (the text's CRC) and spans: start * 2^32 + end of stretches to remove."""
+def _texts(docs: DataFrame, id_col: str, text_col: str, others: list[str], doc: str, tag: str, packed: str) -> DataFrame:
+    """``others``, then doc, tag and the compressed text: a third of its size crosses the network."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(*others, order(id_col).alias(doc), F.crc32(text).alias(tag), text.alias(packed))
+    # never null, so that an inner and a left join shuffle the very same rows, and do it once
+    small = T.StructType([*rows.schema.fields[:-3], T.StructField(doc, T.LongType(), False), T.StructField(tag, T.LongType(), False),
+                          T.StructField(packed, T.BinaryType())])
+    return rows.mapInArrow(_compressed, small)
+
+
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts: DataFrame | None = None) -> DataFrame:
+    """doc, tag (the text's CRC) and spans: start * 2^32 + end of stretches to remove. ``texts``
+    is what ``_texts`` makes of ``docs``, for callers that join it again."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = BUCKETS * parts
-    slim = _slim(docs, id_col, text_col)
-    phrases = slim.mapInArrow(parser(buckets), "bucket int, kind int, blob binary")
+    phrases = _slim(docs, id_col, text_col).mapInArrow(parser(buckets), "bucket int, kind int, blob binary")
     found = stored(phrases.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(dictionary, _FOUND), "phrases")
     # a document's phrases and stretches are no longer than the document
     # and one number each: start, number of windows, distance to the trigger
     phrase = F.shiftleft("start", 16) + F.shiftleft(F.col("end") - F.col("start"), 8) + F.col("reach")
     open_ = found.where("NOT settled").groupBy("doc", "tag").agg(F.collect_list(phrase).alias("phrases"))
-    # texts cross the network in a third of their size
-    slim = slim.mapInArrow(_compressed, "doc long, tag long, packed binary")
-    blobs = slim.join(open_, ["doc", "tag"]).select("doc", "tag", "packed", "phrases").mapInArrow(contexts(buckets), "bucket int, blob binary")
+    if texts is None:
+        texts = _texts(docs, id_col, text_col, [], "doc", "tag", "packed")
+    doc, tag, _ = texts.columns[-3:]
+    # all columns of texts are asked for, so that this join reads the same shuffle as the caller's
+    both = texts.join(open_.withColumnsRenamed({"doc": doc, "tag": tag}), [doc, tag]).select(*texts.columns, "phrases")
+    blobs = both.mapInArrow(contexts(buckets, len(texts.columns) - 3), "bucket int, blob binary")
     more = blobs.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(suffixes, _FOUND)
     spans = found.where("settled").select("doc", "tag", "start", "end").union(more.select("doc", "tag", "start", "end"))
     return spans.groupBy("doc", "tag").agg(F.collect_list(F.shiftleft("start", 32) + F.col("end")).alias("spans"))
@@ -439,11 +453,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     without those of a character that a removal cuts in two)."""
     doc, tag, packed, spans = (fresh(x) for x in ("doc", "tag", "packed", "spans"))
     others = [c for c in docs.columns if c not in (text_col, "found")]
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(*others, order(id_col).alias(doc), F.crc32(text).alias(tag), text.alias(packed))
-    small = T.StructType([*rows.schema.fields[:-1], T.StructField(packed, T.BinaryType())])
-    rows = rows.mapInArrow(_compressed, small)
-    gone = repeats(docs, id_col, text_col).withColumnsRenamed({"doc": doc, "tag": tag, "spans": spans})
+    rows = _texts(docs, id_col, text_col, others, doc, tag, packed)
+    gone = repeats(docs, id_col, text_col, rows).withColumnsRenamed({"doc": doc, "tag": tag, "spans": spans})
     both = rows.join(gone, [doc, tag], "left").select(*others, packed, spans)
     made = pa.struct([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
     at = len(others)
