@@ -35,7 +35,7 @@ from pingline.llm.common import chunks_of, stored
 
 WINDOW, END_ID = 2048, 1
 #: Words a worker remembers before it starts afresh, and the longest of them.
-REMEMBER, LONGEST = 1_000_000, 64
+REMEMBER, LONGEST = 600_000, 64
 #: Rounds of the least-squares solver.
 ROUNDS = 200
 
@@ -74,13 +74,15 @@ class WordEncoder:
             self.forget()
         missing = [w for w in words if w not in self.known]
         if missing:
-            made = [self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in missing[at:at + 10_000]], add_special_tokens=False)
-                    for at in range(0, len(missing), 10_000)]
-            lists = [e.ids for some in made for e in some]
+            ids, sizes = [self.ids], [self.sizes]
+            for at in range(0, len(missing), 10_000):  # what the library returns is large
+                made = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in missing[at:at + 10_000]], add_special_tokens=False)
+                lists = [e.ids for e in made]
+                sizes.append(np.fromiter(map(len, lists), np.int32, len(lists)))
+                ids.append(np.fromiter(chain.from_iterable(lists), self.dtype))
             first = len(self.sizes)
             self.known.update(zip(missing, range(first, first + len(missing))))
-            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(lists), self.dtype)])
-            self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, lists), np.int32, len(lists))])
+            self.ids, self.sizes = np.concatenate(ids), np.concatenate(sizes)
             self.starts = np.cumsum(self.sizes, dtype=np.int32) - self.sizes
         out = np.fromiter(map(self.known.__getitem__, words), np.int32, len(words))
         for w in missing:
@@ -252,6 +254,7 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
         return out[:, np.lexsort((out[1], out[0]))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        WordEncoder.loaded.clear()  # all words are encoded; a worker that did so holds many
         for batch in chunks_of(batches, 4 << 20, 3):
             n, rank, residual, at, before = (np.asarray(batch.column(c)).astype(np.int64) for c in ("n", "rank", "residual", "at", "before"))
             wide = batch.column("wide")[0].as_py()
