@@ -100,6 +100,10 @@ def deploy(gated: DataFrame, day: Column, path: str) -> DataFrame:
     return gated.sparkSession.read.parquet(path)
 
 
+#: Keeps the weights finite where few rows leave the classes separable.
+PENALTY = 0.001
+
+
 def train(prepared: DataFrame) -> DataFrame:
     """Fit a logistic regression on the train rows of a stored, split table and measure
     it on the test rows. The fit reads the table once and then works on cached blocks."""
@@ -108,7 +112,7 @@ def train(prepared: DataFrame) -> DataFrame:
     from pyspark.ml.functions import vector_to_array
 
     vectors = VectorAssembler(inputCols=list(FEATURE_RANGES), outputCol="features").transform(prepared)
-    model = LogisticRegression(maxIter=50, labelCol="label").fit(vectors.filter(F.col("split") == "train"))
+    model = LogisticRegression(maxIter=50, regParam=PENALTY, labelCol="label").fit(vectors.filter(F.col("split") == "train"))
     p = F.element_at(vector_to_array("probability"), 2)
     p = F.least(F.greatest(p, F.lit(1e-15)), F.lit(1 - 1e-15))
     y = F.col("label")
