@@ -20,9 +20,12 @@ common, meets in one task.
 
 from __future__ import annotations
 
+import json
 import os
+import re
+import string
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,17 +37,47 @@ from pyspark.sql import Window as W
 from pingline.llm.common import chunks_of, stored
 
 WINDOW, END_ID = 2048, 1
-#: Words a worker remembers before it starts afresh, and the longest of them.
-REMEMBER, LONGEST = 600_000, 64
+#: Words a worker remembers before it starts afresh, the ids it holds for them, and the longest of them.
+REMEMBER, HOLD, LONGEST = 600_000, 10_000_000, 64
+#: About the bytes the library gets at once, a word counting as 100 at least; what it returns is large.
+LOT = 1 << 20
+#: Letters that are whole by themselves: normal forms leave them alone, and each has one lower-case letter.
+LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]*"
+PLAIN = LETTERS + "[" + re.escape(string.punctuation) + "]*"
+#: What a vocabulary file must say for a word to fall into letters, in lower case, and signs behind them.
+SEPARABLE = (
+    [("NFC", None, None), ("Replace", {"Regex": "\\s+"}, " "), ("Lowercase", None, None)],
+    [("Split", {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "Removed", True), ("ByteLevel", None, None, None)],
+    ("BPE", None, "</w>"))
 #: Rounds of the least-squares solver.
 ROUNDS = 200
 
 
+def _stretches(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stretches of ``values`` in a row, and where each begins; the last entry is their end."""
+    ends = np.zeros(len(sizes) + 1, np.int32)  # a batch holds a few million ids
+    np.cumsum(sizes, out=ends[1:])
+    at = np.arange(ends[-1], dtype=np.int32)
+    at += np.repeat(starts - ends[:-1], sizes)
+    return values[at], ends
+
+
+def _listed(words: pa.Array) -> list[bytes]:
+    """The words, none of which holds a space, as bytes."""
+    row = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words.cast(pa.binary()))
+    return pc.binary_join(row, b" ")[0].as_py().split(b" ") if len(words) else []
+
+
 class WordEncoder:
     """Ids of texts through the tokenizers library. No token spans white space, so a text's
     ids are its words' ids in a row, and words recur: a batch is split and its words numbered
     in Arrow, and only words not met before reach the library. Control strings in a text get
-    the ids the library gives them."""
+    the ids the library gives them.
+
+    With a vocabulary that lower-cases and takes runs of letters and runs of signs apart, a word
+    of letters and ASCII signs behind them is remembered as two, the letters in lower case, so
+    that its other forms are not new. New runs of letters reach the library many in one text;
+    each ends with the one of its ids that stands for the end of a word."""
 
     loaded: dict[str, WordEncoder] = {}
 
@@ -53,15 +86,31 @@ class WordEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
         #: as narrow as the vocabulary allows
-        self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.dtype = "<u2" if len(vocabulary) <= 1 << 16 else "<u4"
+        self.separable = self._separable(path)
+        #: whether an id ends a word
+        self.last = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.last[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
         self.forget()
 
+    @staticmethod
+    def _separable(path: str) -> bool:
+        with open(path, encoding="utf-8") as file:
+            rules = json.load(file)
+        normal, cut, model = rules.get("normalizer") or {}, rules.get("pre_tokenizer") or {}, rules["model"]
+        made = ([(x["type"], x.get("pattern"), x.get("content")) for x in normal.get("normalizers", [])],
+                [(x["type"], x.get("pattern"), x.get("behavior"), x.get("invert")) for x in cut.get("pretokenizers", [])],
+                (model["type"], model.get("dropout"), model.get("end_of_word_suffix")))
+        # a control string of letters and signs behind them would be cut
+        return made == SEPARABLE and not any(re.fullmatch(PLAIN, x["content"]) for x in rules.get("added_tokens", []))
+
     def forget(self) -> None:
         #: word to its slot; a slot is a stretch of ``ids``
-        self.known: dict[bytes, int] = {}
+        self.known: dict[bytes, int] = {b"": 0}
         self.ids = np.zeros(0, self.dtype)
-        self.starts = self.sizes = np.zeros(0, np.int32)
+        self.starts = self.sizes = np.zeros(1, np.int32)
 
     @classmethod
     def of(cls, path: str) -> WordEncoder:
@@ -69,39 +118,65 @@ class WordEncoder:
             cls.loaded[path] = cls(path)
         return cls.loaded[path]
 
-    def _slots(self, words: list[bytes]) -> np.ndarray:
-        if len(self.known) > REMEMBER:
-            self.forget()
-        missing = [w for w in words if w not in self.known]
-        if missing:
-            ids, sizes = [self.ids], [self.sizes]
-            for at in range(0, len(missing), 10_000):  # what the library returns is large
-                made = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in missing[at:at + 10_000]], add_special_tokens=False)
-                lists = [e.ids for e in made]
-                sizes.append(np.fromiter(map(len, lists), np.int32, len(lists)))
-                ids.append(np.fromiter(chain.from_iterable(lists), self.dtype))
-            first = len(self.sizes)
-            self.known.update(zip(missing, range(first, first + len(missing))))
-            self.ids, self.sizes = np.concatenate(ids), np.concatenate(sizes)
+    def _made(self, words: list[bytes], letters: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words by the library, and how many each has."""
+        if letters:
+            made = self.tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)
+            ids = np.array(made[0].ids, self.dtype)
+            sizes = np.diff(np.flatnonzero(self.last[ids]), prepend=-1).astype(np.int32)
+            if len(sizes) == len(words):
+                return ids, sizes
+        made = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
+        lists = [e.ids for e in made]
+        return np.fromiter(chain.from_iterable(lists), self.dtype), np.fromiter(map(len, lists), np.int32, len(lists))
+
+    def _slots(self, distinct: pa.Array, letters: bool) -> np.ndarray:
+        words = _listed(distinct)
+        out = np.fromiter(map(self.known.get, words, repeat(-1)), np.int32, len(words))
+        new = np.flatnonzero(out < 0)
+        if len(new):
+            missing, first = [words[i] for i in new.tolist()], len(self.sizes)
+            lots = np.cumsum(np.fromiter((max(len(w), 100) for w in missing), np.int64, len(missing))) // LOT
+            cuts = [0, *(np.flatnonzero(np.diff(lots)) + 1).tolist(), len(missing)]
+            made = [self._made(missing[a:b], letters) for a, b in pairwise(cuts)]
+            self.ids = np.concatenate([self.ids, *(ids for ids, _ in made)])
+            self.sizes = np.concatenate([self.sizes, *(sizes for _, sizes in made)])
             self.starts = np.cumsum(self.sizes, dtype=np.int32) - self.sizes
-        out = np.fromiter(map(self.known.__getitem__, words), np.int32, len(words))
-        for w in missing:
-            if len(w) > LONGEST:
-                del self.known[w]
+            self.known.update((w, i) for i, w in enumerate(missing, first) if len(w) <= LONGEST)
+            out[new] = np.arange(first, first + len(new))
         return out
 
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words in a row, and where each word's begin and end."""
+        if len(self.sizes) > REMEMBER or len(self.ids) > HOLD:
+            self.forget()
+        if not len(words):
+            return self.ids[:0], np.zeros(1, np.int32)
+        front = pc.ascii_rtrim(words, string.punctuation)
+        plain = pc.match_substring_regex(front, f"^{LETTERS}$") if self.separable else pa.array(np.zeros(len(words), bool))
+        front = pc.if_else(plain, front, "")
+        lower = pc.utf8_lower(front).dictionary_encode()
+        # a word that is not plain is all behind
+        _, offsets, data = words.buffers()
+        starts = np.frombuffer(offsets, np.int32)[words.offset:words.offset + len(words)]
+        skip = np.asarray(pc.binary_length(front))
+        behind, bounds = _stretches(np.frombuffer(data, np.uint8), starts + skip, np.asarray(pc.binary_length(words)) - skip)
+        behind = pa.Array.from_buffers(pa.binary(), len(words), [None, pa.py_buffer(bounds), pa.py_buffer(behind)]).dictionary_encode()
+        slots = np.empty(2 * len(words), np.int32)
+        slots[::2] = self._slots(lower.dictionary, True)[np.asarray(lower.indices)]
+        slots[1::2] = self._slots(behind.dictionary, False)[np.asarray(behind.indices)]
+        ids, ends = _stretches(self.ids, self.starts[slots], self.sizes[slots])
+        return ids, ends[::2]
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's begin and end."""
-        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.string()), ""))
         words = split.flatten().dictionary_encode()
-        slots = self._slots(words.dictionary.cast(pa.binary()).to_pylist())[np.asarray(words.indices)]
-        sizes = self.sizes[slots] if len(slots) else self.sizes[:0]
-        ends = np.zeros(len(sizes) + 1, np.int32)  # a batch holds a few million ids
-        np.cumsum(sizes, out=ends[1:])
-        at = np.arange(ends[-1], dtype=np.int32)
-        at += np.repeat(self.starts[slots] - ends[:-1], sizes) if len(slots) else 0
+        ids, ends = self._words(words.dictionary)
+        at = np.asarray(words.indices)
+        ids, ends = _stretches(ids, ends[:-1][at], np.diff(ends)[at])
         bounds = np.asarray(split.offsets).astype(np.int64)
-        return self.ids[at], ends[bounds - bounds[0]].astype(np.int64)
+        return ids, ends[bounds - bounds[0]].astype(np.int64)
 
 
 def encoded(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> DataFrame:
@@ -255,6 +330,7 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         WordEncoder.loaded.clear()  # all words are encoded; a worker that did so holds many
+        pa.default_memory_pool().release_unused()
         for batch in chunks_of(batches, 4 << 20, 3):
             n, rank, residual, at, before = (np.asarray(batch.column(c)).astype(np.int64) for c in ("n", "rank", "residual", "at", "before"))
             wide = batch.column("wide")[0].as_py()
