@@ -38,9 +38,11 @@ from pingline.llm.common import chunks_of, stored
 
 WINDOW, END_ID = 2048, 1
 #: Words a worker remembers before it starts afresh, the ids it holds for them, and the longest of them.
-REMEMBER, HOLD, LONGEST = 600_000, 10_000_000, 64
+REMEMBER, HOLD, LONGEST = 300_000, 5_000_000, 64
 #: About the bytes the library gets at once, a word counting as 100 at least; what it returns is large.
-LOT = 1 << 20
+LOT = 1 << 17
+#: About the bytes of texts or ids a task works on at once.
+CHUNK = 1 << 20
 #: Letters that are whole by themselves: normal forms leave them alone, and each has one lower-case letter.
 LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]*"
 PLAIN = LETTERS + "[" + re.escape(string.punctuation) + "]*"
@@ -186,7 +188,7 @@ def encoded(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col:
     kind = slim.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks_of(batches, 4 << 20, 1):
+        for batch in chunks_of(batches, CHUNK, 1):
             encoder = WordEncoder.of(vocabulary)
             ids, bounds = encoder.encode(batch.column(1))
             n = batch.num_rows
@@ -331,7 +333,7 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         WordEncoder.loaded.clear()  # all words are encoded; a worker that did so holds many
         pa.default_memory_pool().release_unused()
-        for batch in chunks_of(batches, 4 << 20, 3):
+        for batch in chunks_of(batches, CHUNK, 3):
             n, rank, residual, at, before = (np.asarray(batch.column(c)).astype(np.int64) for c in ("n", "rank", "residual", "at", "before"))
             wide = batch.column("wide")[0].as_py()
             # pieces in order are the ids in order, so they share one buffer
