@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -121,38 +122,46 @@ def absent_windows(events: DataFrame, name: str, roster: list[str], since_micros
 
 # ---- follow-ups ----------------------------------------------------------------
 
+_NEVER = np.iinfo("int64").max  # later than any deadline
+
+
+def _ends(times: np.ndarray, width: int) -> np.ndarray:
+    """The first and the last time of every ``width`` wide slot, ascending. A start has a later
+    time within ``width`` among these just when it has one among all: one in its own slot if
+    the slot's last is later, one in the next slot if that slot's first comes early enough."""
+    times = np.sort(times)
+    turns = np.diff(times // width) != 0
+    return times[np.append(True, turns) | np.append(turns, True)] if len(times) else times
+
 
 def _follow(within: int):
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        ids, times, follows = map(list, state.get) if state.exists else ([], [], [])
+        ids, times, follows = (np.array(x, "int64") for x in (state.get if state.exists else ([], [], [])))
         if not state.hasTimedOut:
+            held = [(ids, times, follows)]
             for frame in frames:
-                starts = frame[frame["starts"]]
-                ids.extend(int(x) for x in starts["event_id"])
-                times.extend(int(x) for x in starts["us"])
-                follows.extend(int(x) for x in frame[~frame["starts"]]["us"])
+                starts = frame["starts"].to_numpy("bool")
+                begun, came = frame[starts].astype({"event_id": "int64", "us": "int64"}), frame["us"][~starts].astype("int64")
+                held.append((begun["event_id"].to_numpy(), begun["us"].to_numpy(), _ends(came.to_numpy(), within)))
+            ids, times, follows = map(np.concatenate, zip(*held))
+            follows = _ends(follows, within)
         now = state.getCurrentWatermarkMs() * 1000
-        follows.sort()
-        late, open_ = [], []
-        for i, t in zip(ids, times):
-            if t + within > now:  # a follow-up may still come
-                open_.append((i, t))
-            else:
-                after = pd.Index(follows).searchsorted(t, side="right") if follows else 0
-                if after == len(follows) or follows[after] > t + within:
-                    late.append((key[0], i, t))
+        first = np.searchsorted(follows, times, side="right")  # later than the start
+        answered = np.append(follows, _NEVER)[first] <= times + within
+        due = times + within <= now  # no follow-up can come any more
+        late, open_ = ~answered & due, ~answered & ~due
         # what has not arrived yet is later than the watermark, and so is what it looks for
-        follows = [u for u in follows if u > now - within]
-        if open_:
-            state.update(([i for i, _ in open_], [t for _, t in open_], follows))
-            state.setTimeoutTimestamp(max(min(t for _, t in open_) + within, now + 1000) // 1000 + 1)
-        elif follows:
-            state.update(([], [], follows))
-            state.setTimeoutTimestamp((follows[-1] + within) // 1000 + 2)
+        follows = follows[follows > now - within]
+        if open_.any():
+            state.update((ids[open_].tolist(), times[open_].tolist(), follows.tolist()))
+            state.setTimeoutTimestamp(max(int(times[open_].min()) + within, now + 1000) // 1000 + 1)
+        elif len(follows):
+            state.update(([], [], follows.tolist()))
+            state.setTimeoutTimestamp((int(follows[-1]) + within) // 1000 + 2)
         elif state.exists:
             state.remove()
-        if late:
-            yield pd.DataFrame(late, columns=["name", "event_id", "us"])
+        if late.any():
+            yield pd.DataFrame({"name": key[0], "event_id": ids[late], "us": times[late]})
 
     return run
 

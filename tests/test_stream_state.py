@@ -2,9 +2,12 @@
 
 import gzip
 import os
+import time
 from collections import defaultdict
 from datetime import datetime, timedelta
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -194,6 +197,52 @@ def test_unanswered_starts(spark):
     assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == [2, 4, 9, 10]
 
 
+class HeldState:
+    """A state as the timers' functions see it, in one process."""
+
+    def __init__(self):
+        self.get, self.mark, self.hasTimedOut = None, 0, False
+
+    exists = property(lambda self: self.get is not None)
+
+    def update(self, value):
+        self.get = value
+
+    def remove(self):
+        self.get = None
+
+    def setTimeoutTimestamp(self, millis):
+        assert millis > self.mark
+
+    def getCurrentWatermarkMs(self):
+        return self.mark
+
+
+def test_a_busy_name_costs_no_time_per_pair_and_no_state_per_row():
+    within, hour, n = 1_800_000_000, 3_600_000_000, 10_000
+    draw = np.random.default_rng(4)
+    base = int((T0 - datetime(1970, 1, 1)).total_seconds()) * 1_000_000
+    us = base + draw.integers(0, 3 * hour, 2 * n) + np.repeat([0, 6 * hour], n)  # two busy spells, quiet between
+    starts = draw.random(2 * n) < 0.5
+    frame = pd.DataFrame({"event_id": np.arange(2 * n), "us": us, "starts": starts})
+    last = np.sort(us[~starts])
+    after = np.append(last, 2**62)[np.searchsorted(last, us, side="right")]
+    want = frame.event_id[starts & (after > us + within)].tolist()
+    follow, state, got, sizes = keyed._follow(within), HeldState(), [], []
+    began = time.perf_counter()
+    for spell in (0, 1):
+        chunks = [frame[i:min(i + 3000, (spell + 1) * n)] for i in range(spell * n, (spell + 1) * n, 3000)]
+        got += [i for out in follow(("j",), iter(chunks), state) for i in out["event_id"]]
+        sizes.append(sum(map(len, state.get)))
+        state.mark = (base + (6 * spell + 3) * hour) // 1000 - 600_000
+    state.hasTimedOut, state.mark = True, (base + 10 * hour) // 1000
+    got += [i for out in follow(("j",), iter(()), state) for i in out["event_id"]]
+    assert time.perf_counter() - began < 5
+    assert sorted(got) == want and want
+    # unanswered starts, and two follow-ups for each half hour
+    assert max(sizes) < 100 and not state.exists
+
+
 # ---- tiers -------------------------------------------------------------------
 
 
