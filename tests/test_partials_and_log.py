@@ -27,6 +27,20 @@ def test_the_day_from_partials_is_the_day(spark, rows):
     assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
 
 
+def test_a_partial_holds_no_more_than_a_long_of_contacts(spark, rows):
+    """Every number of a bucket, the sign bit's too, in wide ranges of numbers; without a contact, repeated, without a caller."""
+    numbers = rows([(f"q{i}", i + (i % 3 << 33)) for i in range(300)], "phone_hash_in string, number bigint")
+    data = [("d", h, "busy", f"q{i}", "a") for i in range(300) for h in ("01", "01", "02")]
+    data += [("d", "01", "alone", None, None), ("d", "02", "alone", None, "b"), ("d", "01", "last", "q63", "a"), ("d", "02", None, "q1", "a"), (None, None, "busy", "q2", "c")]
+    bronze = rows(data, "par_day string, par_hour string, phone_hash_out string, phone_hash_in string, cell_tower string")
+    partials = stored(silver.call_partials(bronze, numbers), "partials")
+    assert partials.schema["contacts"].dataType.simpleString() == "bigint" and partials.count() <= bronze.count()
+    days = silver.calls_of_partials(partials)
+    want = bronze.transform(silver.aggregate_calls, silver.DAILY)
+    assert sorted(map(str, days.select(want.columns).collect())) == sorted(map(str, want.collect()))
+    assert {r.phone_hash_out: r.unique_contacts for r in days.where("par_day = 'd'").collect()} == {"busy": 300, "alone": 0, "last": 1, None: 1}
+
+
 def test_numbers_are_given_once(spark, rows):
     first = stored(silver.number_contacts(rows([("a",), ("b",), (None,), ("a",)], "phone_hash_in string")), "numbers")
     later = stored(silver.number_contacts(rows([("b",), ("c",), ("d",)], "phone_hash_in string"), first), "numbers")
