@@ -18,6 +18,7 @@ from pingline.functions.columns import VALID_QUALITY, epoch_micros, machine_heal
 from pingline.operators import monitoring, phones
 from pingline.operators.completeness import DAILY_OF_HOURLY, DAILY_TARGETS, HOURS_PER_DAY, expected_in_window, with_stream_targets
 from pingline.operators.quality import late
+from pingline.session import stored
 from pingline.sources import bronze
 from pingline.sources.tables import table
 
@@ -110,17 +111,21 @@ def store_pings(batch: DataFrame, dimension: DataFrame, salt: str, stream: str,
     """What a micro-batch of raw pings adds to bronze, quarantine, phones and counters.
     ``put`` writes a table by name, foldered by keys, and returns where.
 
+    The batch's phones come first: they choose the few rows of the dimension that the rest is
+    joined with, and a file that cannot be read fails before any ping is shuffled.
+
     The period counters are not written beside the rows: they are counted from what was
     stored, so the two cannot disagree.
     """
     batch.persist()  # parsed once
     try:
         good = bronze.good_rows(batch)
-        stored = put(SHAPES[stream](good, dimension, salt).hint("rebalance", "par_day", "par_hour"), "bronze", "par_day", "par_hour")
+        found = stored(phones.distinct_phones(good, PHONES[stream]), "batch-phones")
+        known = phones.known_phones(found, dimension)
+        path = put(SHAPES[stream](good, known, salt).hint("rebalance", "par_day", "par_hour"), "bronze", "par_day", "par_hour")
         put(bronze.quarantined(batch), "quarantine")
-        found = phones.distinct_phones(good, PHONES[stream])
-        put(phones.new_rows(found, dimension, salt, F.current_timestamp().cast("timestamp_ntz")), "phones")
-        counts = batch.sparkSession.read.schema("par_day string, par_hour string").parquet(stored).groupBy("par_day", "par_hour")
+        put(phones.new_rows(found, known, salt, F.current_timestamp().cast("timestamp_ntz")), "phones")
+        counts = batch.sparkSession.read.schema("par_day string, par_hour string").parquet(path).groupBy("par_day", "par_hour")
         put(counts.agg(F.count(F.lit(1)).alias("records")), "counters")
     finally:
         batch.unpersist()

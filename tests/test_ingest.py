@@ -1,4 +1,5 @@
 import gzip
+import hashlib
 import json
 import os
 from datetime import datetime, timezone
@@ -7,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from pingline.operators import phones, silver
+from pingline.session import stored
 from pingline.sources import bronze, feeds
+from pingline.streaming import jobs
 
 PING = {"phone_out": "1", "phone_in": "2", "cell_tower": "t", "time": "2026-03-01T14:30:00Z"}
 
@@ -83,6 +86,43 @@ def test_stored_hash_wins_and_new_phones_are_inserted(spark, rows):
     assert sorted(map(tuple, hidden.select("a", "b").collect())) == sorted([("kept", sha("2")), (sha("2"), "kept"), (sha("3"), "kept")])
 
 
+def shuffles(df):
+    df._jdf.queryExecution().toRdd().count()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.split("== Initial Plan ==")[0].count("Exchange hashpartitioning")
+
+
+def test_phones_of_all_columns_take_one_shuffle(spark, rows):
+    pings = rows([("1", "2"), ("2", "1"), (None, "1"), ("3", None), ("", "3")], "phone_out string, phone_in string")
+    found = phones.distinct_phones(pings, ["phone_out", "phone_in"])
+    assert sorted(map(str, found.collect())) == sorted(map(str, rows([("1",), ("2",), ("3",), ("",), (None,)], "phone string").collect()))
+    assert shuffles(found) == 1
+
+
+def test_a_batch_of_pings_meets_only_its_own_phones(spark, rows, tmp_path):
+    """Phones known, rekeyed, twice in the dimension, without a hash, null or new: as the whole dimension gives them."""
+    now, today = datetime(2026, 1, 1), hashlib.sha256(b"s2").hexdigest()
+    dimension = stored(rows([("1", "old", now), ("2", today, now), ("4", "a", now), ("4", "b", now), ("5", None, now), (None, "none", now)]
+                            + [(f"other{i}", "old", now) for i in range(50)], "phone string, hash string, created_at timestamp_ntz"), "dimension")
+    data = [(o, i, "T", now, "20260301", f"{h:02d}") for h in range(3) for o, i in (("1", "2"), ("2", "4"), ("5", None), (None, "1"), ("new", "1"))]
+    batch = rows(data, "phone_out string, phone_in string, cell_tower string, time timestamp_ntz, par_day string, par_hour string").withColumn(
+        "_corrupt_record", F.lit(None).cast("string"))
+    read = {}
+
+    def put(df, name, *keys):
+        read[name] = df.inputFiles()
+        df.write.partitionBy(*keys).parquet(path := str(tmp_path / name))
+        return path
+
+    jobs.store_pings(batch, dimension, "s", "cdr", put)
+    good, got = bronze.good_rows(batch), spark.read.parquet(str(tmp_path / "bronze"))
+    want = bronze.bronze_calls(good, dimension, "s")
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect())) and got.count() == 18
+    assert sorted(r.phone or "" for r in spark.read.parquet(str(tmp_path / "phones")).collect()) == ["", "new"]
+    assert not any("/dimension-" in file for file in read["bronze"] + read["phones"])
+    assert phones.known_phones(phones.distinct_phones(good, ["phone_out", "phone_in"]), dimension).count() == 5
+
+
 def call(spark, n=50):
     return spark.range(n).select(
         (F.col("id") % 3).cast("string").alias("phone_hash_out"), (F.col("id") % 7).cast("string").alias("phone_hash_in"),
