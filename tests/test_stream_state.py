@@ -310,6 +310,20 @@ def test_bad_files_go_alone(spark, rows):
     assert counted == 60
 
 
+def test_an_unreadable_file_fails_before_pings_are_shuffled(spark, rows):
+    folder, out, _ = where(spark)
+    os.makedirs(hour := f"{folder}/par_day=20260301/par_hour=04")
+    data = gzip.compress(b'{"phone_out": "1", "phone_in": "2", "cell_tower": "T", "time": "2026-03-01T04:00:00Z"}\n' * 50)
+    for name, content in (("good", data), ("truncated", data[:-9])):
+        with open(f"{hour}/{name}.jsonl.gz", "wb") as f:
+            f.write(content)
+    asked = []
+    store, _ = jobs.ping_files(rows([("1", "known", T0)], "phone string, hash string, created_at timestamp_ntz"), "salt")
+    with pytest.raises(Exception):
+        store(spark, [f"{hour}/{name}.jsonl.gz" for name in ("good", "truncated")], lambda table: asked.append(table) or f"{out}/{table}")
+    assert asked == []
+
+
 def test_storing_that_fails_is_halved(spark):
     _, out, _ = where(spark)
 
